@@ -1,0 +1 @@
+"""No operators: every input of this engine is a bounded table."""
