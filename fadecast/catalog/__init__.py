@@ -1,5 +1,5 @@
 """All registered queries and their SQL, one module per group of operators."""
 
-from fadecast.catalog import cleaning, ordering, scoring, timeseries
+from fadecast.catalog import cleaning, models, ordering, scoring, timeseries
 
-MODULES = (cleaning, scoring, ordering, timeseries)
+MODULES = (cleaning, scoring, ordering, timeseries, models)

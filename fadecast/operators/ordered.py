@@ -100,35 +100,35 @@ def sorted_positions(
     ranged = (
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("__id", F.monotonically_increasing_id())
     )
     ranged = checkpointed(ranged)
     # The id holds the partition number above bit 33 and the row number below.
-    part = F.shiftright("_id", 33).cast("int")
-    row = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = ranged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    part = F.shiftright("__id", 33).cast("int")
+    row = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ranged.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
     # One row per shuffle partition: the size of this side is a setting.
     rows = (
-        ranged.withColumn("_p", part)
-        .join(F.broadcast(offsets), "_p")
-        .withColumn("_rank", F.col("_off") + row)
+        ranged.withColumn("__p", part)
+        .join(F.broadcast(offsets), "__p")
+        .withColumn("__rank", F.col("__off") + row)
     )
     if not keys and not total:
-        return rows.withColumn(pos, F.col("_rank").cast("long")).drop(
-            "_id", "_p", "_off", "_rank"
+        return rows.withColumn(pos, F.col("__rank").cast("long")).drop(
+            "__id", "__p", "__off", "__rank"
         )
-    rows = rows.withColumn("_g", F.struct(*keys) if keys else F.struct(F.lit(0).alias("_0")))
-    first = rows.groupBy("_g").agg(
-        F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_tot")
+    rows = rows.withColumn("__g", F.struct(*keys) if keys else F.struct(F.lit(0).alias("_0")))
+    first = rows.groupBy("__g").agg(
+        F.min("__rank").alias("__first"), F.count(F.lit(1)).alias("__tot")
     )
-    out = rows.join(first, "_g").withColumn(
-        pos, (F.col("_rank") - F.col("_first")).cast("long")
+    out = rows.join(first, "__g").withColumn(
+        pos, (F.col("__rank") - F.col("__first")).cast("long")
     )
     if total:
-        out = out.withColumn(total, F.col("_tot"))
-    return out.drop("_id", "_p", "_off", "_rank", "_g", "_first", "_tot")
+        out = out.withColumn(total, F.col("__tot"))
+    return out.drop("__id", "__p", "__off", "__rank", "__g", "__first", "__tot")
 
 
 def haloed(
