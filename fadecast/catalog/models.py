@@ -10,6 +10,7 @@ from fadecast.operators import score
 from fadecast.plans import battery_models, forecast, search
 from fadecast.plans.battery_features import numbered_features
 from fadecast.plans.forecast import WindowModel
+from fadecast.session import checkpointed
 from fadecast.sources import tables
 
 QUERIES, ORACLES = {}, {}
@@ -50,19 +51,11 @@ def _global(cal, static):
 def _run(spark, sf, make, folds, static):
     (grid, stats, cal, flags), hist = _table(spark, sf, static)
     model = make(cal, flags)
-    sums = forecast.fold_sums(grid, KEYS, model)
-    w = search_solve(sums, model)
+    w = forecast.fit(grid, KEYS, model)
     p = forecast.predict(grid, KEYS, model, w, folds)
     return forecast.unscaled(p, stats, hist, KEYS, "ds", "y", 3600)
 
 
-def search_solve(sums, model):
-    from fadecast.plans import gram
-
-    labels = [c for c in sums.columns if c not in ("i", "stripe")]
-    return gram.solve(sums, labels, list(model.penalties))
-
-
 def _scores(spark, sf, p, by=()):
     a = score.align(p, hourly_grid(spark, sf), KEYS, "ds", "y0")
     return score.nested_rmse(a, KEYS, "fold", by=by)
@@ -107,7 +100,7 @@ def _search(spark, sf):
     (grid, stats, cal, flags), hist = _table(spark, sf, True)
     shapes = sorted({(c["input_chunk_length"], c["covariate_lags"]) for c in configs})
     model = _model(cal, flags, future=COVARIATES, inputs=tuple(shapes), penalties=tuple(SEARCH.lists["ridge"]))
-    w = search_solve(forecast.fold_sums(grid, KEYS, model), model)
+    w = forecast.fit(grid, KEYS, model)
     chosen = F.array(
         *[
             F.struct(
@@ -126,7 +119,8 @@ def _search(spark, sf):
         & (c["penalty_id"] == F.col("penalty_id")),
     )
     w = w.withColumn("config_id", F.get(mine, F.lit(0))["config_id"]).filter(F.col("config_id").isNotNull())
-    return configs, (grid, stats, hist, model, w)
+    # Bounded by the settings and used for scoring and for the final forecast.
+    return configs, (grid, stats, hist, model, checkpointed(w))
 
 
 def _search_scores(spark, sf):
@@ -156,8 +150,7 @@ def forecast_future(spark, sf):
 def _importance(spark, sf, by):
     (grid, _, cal, flags), _ = _table(spark, sf, True)
     model = _global(cal, flags)
-    sums = forecast.fold_sums(grid, KEYS, model).filter(F.col("fold") == model.folds)
-    return forecast.importance(sums, model, by, model.penalties[0]).select(by, "loss_rise")
+    return forecast.importance(grid, KEYS, model, by).select(by, "loss_rise")
 
 
 @query()

@@ -104,31 +104,25 @@ def sorted_positions(
     )
     ranged = checkpointed(ranged)
     # The id holds the partition number above bit 33 and the row number below.
-    part = F.shiftright("__id", 33).cast("int")
-    row = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = ranged.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    # One row per shuffle partition: the size of this side is a setting.
-    rows = (
-        ranged.withColumn("__p", part)
-        .join(F.broadcast(offsets), "__p")
-        .withColumn("__rank", F.col("__off") + row)
+    rows = ranged.withColumn("__part", F.shiftright("__id", 33).cast("int")).withColumn(
+        "__row", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     )
-    if not keys and not total:
-        return rows.withColumn(pos, F.col("__rank").cast("long")).drop(
-            "__id", "__p", "__off", "__rank"
-        )
-    rows = rows.withColumn("__g", F.struct(*keys) if keys else F.struct(F.lit(0).alias("_0")))
-    first = rows.groupBy("__g").agg(
-        F.min("__rank").alias("__first"), F.count(F.lit(1)).alias("__tot")
-    )
-    out = rows.join(first, "__g").withColumn(
-        pos, (F.col("__rank") - F.col("__first")).cast("long")
+    rows = rows.withColumn("__g", F.struct(*keys, "__part"))
+    # A key lies in one partition or in neighbouring ones, so this table has at
+    # most as many rows as there are keys and partitions together.
+    runs = rows.groupBy("__g").agg(F.min("__row").alias("__r0"), F.count(F.lit(1)).alias("__n"))
+    parts = [F.col(f"__g.{k}") for k in keys]
+    w = Window.partitionBy(*parts).orderBy("__g.__part")
+    before = F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(
+        "__g",
+        (F.coalesce(before, F.lit(0)) - F.col("__r0")).alias("__off"),
+        F.sum("__n").over(Window.partitionBy(*parts)).alias("__tot"),
     )
+    out = rows.join(runs, "__g").withColumn(pos, (F.col("__row") + F.col("__off")).cast("long"))
     if total:
         out = out.withColumn(total, F.col("__tot"))
-    return out.drop("__id", "__p", "__off", "__rank", "__g", "__first", "__tot")
+    return out.drop("__id", "__part", "__row", "__g", "__off", "__tot")
 
 
 def haloed(

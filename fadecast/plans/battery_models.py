@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fadecast.operators.ordered import CHUNK, haloed, running, segments, sorted_positions
+from fadecast.operators.ordered import CHUNK, running, segments, sorted_positions
 from fadecast.operators.sequences import latest_window, sequences
 from fadecast.plans import gram
+from fadecast.session import checkpointed
 
 # Regressors and targets of the battery models, the longest
 # sequence and encoder, and the fold step of the forecasts.
@@ -133,7 +134,7 @@ def arimax_by_cycle(
         F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"),
         F.col("cycle").cast("long").alias("cycle"),
     )
-    history = gram.cumulate(sums, [key, "target"], "cycle", wanted=wanted, inclusive=False)
+    history = gram.cumulate(sums, [key, "target"], "cycle", wanted)
     fit_schema = T.StructType([*labels, T.StructField("alpha", _A), T.StructField("arma", _A)])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -143,7 +144,8 @@ def arimax_by_cycle(
             return pd.DataFrame(columns=fit_schema.names)
         return pd.DataFrame({**head, "alpha": [got[0]], "arma": [got[1]]})
 
-    models = history.groupBy(*names).applyInPandas(fit, fit_schema)
+    # Small (one line per model) and read twice below: written once.
+    models = checkpointed(history.groupBy(*names).applyInPandas(fit, fit_schema))
     return _arima_paths(rows, starts, models, key, targets, exog, need, size)
 
 
@@ -151,38 +153,41 @@ def _arima_paths(rows, starts, models, key, targets, exog, need, size) -> DataFr
     """Run the recursion over each cycle, chunk by chunk.
 
     Within a chunk the path from a zero state is computed; the state at the
-    chunk's start adds phi^k and a geometric sum to it. Only the chunk ends are
-    chained, one line per chunk.
+    chunk's start adds phi^k and a geometric sum to it. Only the chunk ends of
+    cycles longer than one chunk are chained, one line per chunk.
     """
-    tail = tails(rows, starts, [*targets, *exog], need, key)
-    r = rows.join(starts.select(key, "cycle", "cycle_start"), [key, "cycle"])
-    r = r.withColumn("step", F.col("pos") - F.col("cycle_start"))
-    seg = segments(r, [key, "cycle"], "step", ["event_id", *exog], back=2, size=size)
-    seg = seg.join(tail, [key, "cycle"])
+    tail = tails(rows, starts, [*targets, *exog], need, key).drop("cycle_start")
+    r = rows.join(starts, [key, "cycle"]).withColumn("step", F.col("pos") - F.col("cycle_start"))
+    seg = segments(
+        r, [key, "cycle", "cycle_rows"], "step", ["event_id", *exog], back=2, size=size
+    )
+    seg = seg.join(tail, [key, "cycle"], "left")
+    seg = seg.withColumn("target", F.explode(F.array(*[F.lit(t) for t in targets])))
     m = models.withColumn("cycle", F.col("cycle").cast("int"))
-    seg = seg.join(m, [key, "cycle"])
+    seg = seg.join(m, [key, "cycle", "target"], "left")
+    ident = [rows.schema[key], rows.schema["cycle"], T.StructField("target", T.StringType()),
+             T.StructField("own_from", _L)]
     out_schema = T.StructType(
-        [rows.schema[key], rows.schema["cycle"], T.StructField("target", T.StringType()),
-         T.StructField("own_from", _L), T.StructField("phi", _D), T.StructField("y_last", _D),
-         T.StructField("event_id", T.ArrayType(_L)), T.StructField("d", _A), T.StructField("c", _A)]
+        [*ident, T.StructField("phi", _D), T.StructField("y_last", _D),
+         T.StructField("event_id", T.ArrayType(_L)), T.StructField("c", _A), T.StructField("d_end", _D)]
     )
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                out.append(_chunk_path(row, key, exog))
+            out = [_chunk_path(row, key, exog) for row in pdf.itertuples(index=False)]
             yield pd.DataFrame(out, columns=out_schema.names)
 
     paths = seg.mapInPandas(run, out_schema)
-    ends = paths.select(
-        key, "cycle", "target", "own_from", "phi",
-        F.size("d").alias("len"), F.element_at("d", -1).alias("d_end"), F.element_at("c", -1).alias("c_end"),
-    )
-    carry_schema = T.StructType(
-        [rows.schema[key], rows.schema["cycle"], T.StructField("target", T.StringType()),
-         T.StructField("own_from", _L), T.StructField("d_in", _D), T.StructField("c_in", _D)]
+    ends = (
+        seg.filter(F.col("cycle_rows") > size)
+        .mapInPandas(run, out_schema)
+        .filter(F.col("phi").isNotNull())
+        .select(
+            key, "cycle", "target", "own_from", "phi", "d_end",
+            F.size("c").alias("len"), F.element_at("c", -1).alias("c_end"),
+        )
     )
+    carry_schema = T.StructType([*ident, T.StructField("d_in", _D), T.StructField("c_in", _D)])
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("own_from")
@@ -190,62 +195,57 @@ def _arima_paths(rows, starts, models, key, targets, exog, need, size) -> DataFr
         ins = []
         for r in pdf.itertuples(index=False):
             ins.append((d, c))
-            with np.errstate(over="ignore", invalid="ignore"):
-                powers = np.power(r.phi, np.arange(1, r.len + 1))
-                c = c + r.c_end + d * powers.sum()
-                d = d * powers[-1] + r.d_end
+            powers = np.power(r.phi, np.arange(1, r.len + 1))
+            c = c + r.c_end + d * powers.sum()
+            d = d * powers[-1] + r.d_end
         out = pdf[[key, "cycle", "target", "own_from"]].copy()
         out["d_in"], out["c_in"] = [i[0] for i in ins], [i[1] for i in ins]
         return out
 
     carried = ends.groupBy(key, "cycle", "target").applyInPandas(chain, carry_schema)
     on = [key, "cycle", "target", "own_from"]
-    long = paths.join(carried, on).select(
+    long = paths.join(carried, on, "left").select(
         *on, "phi", "y_last", "d_in", "c_in", F.posexplode(F.arrays_zip("event_id", "c")).alias("k", "_z")
     )
     k = F.col("k") + 1
     phi = F.col("phi")
     geometric = F.when(phi == 1, k.cast("double")).otherwise(phi * (1 - F.pow(phi, k)) / (1 - phi))
-    # A zero state adds nothing, also where the geometric sum has overflowed.
-    added = F.when(F.col("d_in") == 0, F.lit(0.0)).otherwise(F.col("d_in") * geometric)
-    got = long.select(
+    carry = F.coalesce("c_in", F.lit(0.0)) + F.coalesce(F.col("d_in") * geometric, F.lit(0.0))
+    yhat = F.col("y_last") + F.col("_z.c") + carry
+    return long.select(
         key, "cycle", "target", F.col("_z.event_id").alias("event_id"),
-        (F.col("y_last") + F.col("_z.c") + F.col("c_in") + added).alias("yhat"),
+        (F.col("own_from") + k).alias("step"), F.when(~F.isnan(yhat), yhat).alias("yhat"),
     )
-    every = r.select(
-        key, "cycle", "event_id", (F.col("step") + 1).alias("step"),
-        F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"),
-    )
-    return every.join(got, [key, "cycle", "target", "event_id"], "left")
 
 
 def _chunk_path(row, key, exog):
+    """Path of one chunk from a zero state; nulls where there is no model."""
+    ids = np.asarray(row.event_id)[int(row.own_from - row.start):]
+    ident = (getattr(row, key), row.cycle, row.target, row.own_from)
+    if row.arma is None:
+        return (*ident, None, None, ids, np.full(len(ids), np.nan), None)
     k = len(exog)
-    phi, beta = row.arma[0], np.asarray(row.arma[1 : 1 + k], dtype=float)
-    gamma, theta = np.asarray(row.arma[1 + k : 1 + 2 * k], dtype=float), row.arma[-1]
+    phi, beta = float(row.arma[0]), np.asarray(row.arma[1 : 1 + k], dtype=float)
+    gamma, theta = np.asarray(row.arma[1 + k : 1 + 2 * k], dtype=float), float(row.arma[-1])
     x = np.column_stack([np.asarray(getattr(row, c), dtype=float) for c in exog])
     past_x = np.column_stack([np.asarray(getattr(row, f"tail_{c}"), dtype=float) for c in exog])
     past_y = np.asarray(getattr(row, f"tail_{row.target}"), dtype=float)
     offset = int(row.own_from - row.start)
-    if offset == 0:
+    if row.own_from == 0:
         # The cycle's first rows follow the end of the history.
         x, offset = np.vstack([past_x[-2:], x]), min(2, len(past_x))
     dx = np.vstack([np.zeros((1, k)), np.diff(x, axis=0)])
-    drive = dx @ beta + np.vstack([np.zeros((1, k)), dx[:-1]]) @ gamma
-    drive = drive[offset:]
-    n = len(drive)
+    before = np.vstack([np.zeros((1, k)), dx[:-1]])
+    drive = (dx @ beta + before @ gamma)[offset:]
     if row.own_from == 0 and len(past_y) >= LONG_ORDER + 3:
         dy, pdx = np.diff(past_y), np.diff(past_x, axis=0)
         z = np.concatenate([dy[-2 : -2 - LONG_ORDER : -1], pdx[-1], pdx[-2]])
-        drive[0] += phi * dy[-1] + theta * (dy[-1] - np.asarray(row.alpha) @ z)
-    d = np.empty(n)
-    state = 0.0
-    for i in range(n):
-        state = phi * state + drive[i]
+        drive[0] += phi * dy[-1] + theta * (dy[-1] - np.asarray(row.alpha, dtype=float) @ z)
+    d, state = np.empty(len(drive)), 0.0
+    for i, v in enumerate(drive):
+        state = phi * state + v
         d[i] = state
-    ids = np.asarray(row.event_id)[int(row.own_from - row.start):]
-    return (getattr(row, key), row.cycle, row.target, row.own_from, float(phi),
-            float(past_y[-1]), ids[:n], d, np.cumsum(d))
+    return (*ident, phi, float(past_y[-1]), ids, np.cumsum(d), float(d[-1]))
 
 
 # --- additive trend, seasonality and regressors
@@ -280,8 +280,8 @@ def cycle_models(
     parts = gram.partial_sums_of_rows(rows, [key, "cycle"], x, y)
     sums = gram.add_up(parts, [key, "cycle"])
     wanted = rows.select(key, "cycle").distinct()
-    history = gram.cumulate(sums, [key], "cycle", wanted=wanted, inclusive=False)
-    return gram.solve(history, [key, "cycle"], penalty)
+    history = gram.cumulate(sums, [key], "cycle", wanted)
+    return gram.solve(history, [key, "cycle"], [penalty])
 
 
 def _with_models(rows, models, x, targets, key):
@@ -359,7 +359,7 @@ def capacity_next(
     sums = gram.add_up(gram.partial_sums(seg, labels, design), [key, "cycle"])
     starts = cycle_starts(rows, key)
     wanted = starts.select(key, F.col("cycle").cast("long").alias("cycle"))
-    history = gram.cumulate(sums, [key], "cycle", wanted=wanted, inclusive=False)
+    history = gram.cumulate(sums, [key], "cycle", wanted)
 
     ranges = rows.groupBy(key, "cycle").agg(
         *[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))]
@@ -501,7 +501,7 @@ def sequence_regression(
     s = sequences(features, [key], "pos", inputs, length, size=size)
     train = s.select(key, F.flatten("x").alias("x"), F.array(*targets).alias("y"))
     parts = gram.partial_sums_of_rows(train, [key], "x", "y")
-    models = gram.solve(gram.add_up(parts, [key]), [key], penalty)
+    models = gram.solve(gram.add_up(parts, [key]), [key], [penalty])
     last = latest_window(features, [key], "pos", "n", inputs, length)
     names = F.array(*[F.lit(t) for t in targets])
     out = last.filter(F.size("x") == length).withColumn("x", F.flatten("x")).join(models, key)

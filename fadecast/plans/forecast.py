@@ -134,21 +134,25 @@ def _scope(model: WindowModel, keys: Sequence[str]) -> list[str]:
     return [*(keys if model.local else ()), "lags", "cov_lags"]
 
 
-def fold_sums(
-    grid: DataFrame, keys: Sequence[str], model: WindowModel, *, size: int = 4096
-) -> DataFrame:
-    """[X'X | X'Y] of the training windows of every fold.
-
-    Fold f trains on the windows whose outputs end before its origin; the last
-    level, ``folds``, trains on everything and serves the final forecast.
-    """
+def _window_sums(grid, keys, model, size) -> tuple[DataFrame, list[str]]:
     design = _Design(model, keys)
     key_fields = [grid.schema[k] for k in keys] if model.local else []
     labels = [*key_fields, *_SHAPE, _BLOCK]
     parts = gram.partial_sums(_segments(grid, model, keys, size), labels, design.training)
-    names = [f.name for f in labels]
-    summed = gram.add_up(parts, names)
-    return gram.cumulate(summed, names[:-1], "fold", levels=range(model.folds + 1))
+    return parts, [f.name for f in labels]
+
+
+def fit(
+    grid: DataFrame, keys: Sequence[str], model: WindowModel, *, size: int = 4096
+) -> DataFrame:
+    """Coefficients of every fold: ``lags, cov_lags, fold, penalty_id, step, w``.
+
+    Fold f is trained on the windows whose outputs end before its origin; the
+    last one, ``folds``, on everything, for the final forecast.
+    """
+    parts, names = _window_sums(grid, keys, model, size)
+    sums = gram.add_up(parts, names)
+    return gram.solve_levels(sums, names[:-1], "fold", model.folds + 1, model.penalties)
 
 
 def predict(
@@ -257,14 +261,18 @@ def unscaled(
     return p.join(t0, list(keys)).withColumn(time, at).drop("_t0")
 
 
-def importance(sums: DataFrame, model: WindowModel, by: str, penalty: float) -> DataFrame:
+def importance(
+    grid: DataFrame, keys: Sequence[str], model: WindowModel, by: str, *, size: int = 4096
+) -> DataFrame:
     """Expected rise of the squared error when inputs are permuted over rows.
 
     ``by`` is ``variable`` (all inputs of one column move together) or ``lag``.
     The mean over all permutations follows from X'X and X'Y, so no row has to
     be shuffled or scored again.
     """
-    scope = [c for c in sums.columns if c not in ("i", "stripe")]
+    parts, names = _window_sums(grid, keys, model, size)
+    scope, penalty = names[:-1], model.penalties[0]
+    sums = gram.add_up(parts, scope)
     kind = T.StringType() if by == "variable" else T.LongType()
     schema = T.StructType(
         [*[sums.schema[c] for c in scope], T.StructField(by, kind), T.StructField("loss_rise", T.DoubleType())]

@@ -30,9 +30,8 @@ def partial_sums(
 ) -> DataFrame:
     """Per task and label, the rows of [X'X | X'Y].
 
-    ``design`` turns one input row into labelled ``(label, X, Y)`` blocks; a
-    block without rows still announces its label. A task holding many labels
-    hands its sums on before they fill its memory.
+    ``design`` turns one input row into labelled ``(label, X, Y)`` blocks. A task
+    holding many labels hands its sums on before they fill its memory.
     """
     names = [f.name for f in labels]
 
@@ -73,100 +72,64 @@ def partial_sums_of_rows(
 ) -> DataFrame:
     """As ``partial_sums`` for a table with arrays ``x`` (no constant) and ``y``.
 
-    A row whose ``x`` or ``y`` is null only announces its label.
+    Rows whose ``x`` or ``y`` is null do not take part.
     """
-    fields = [df.schema[c] for c in labels]
     names = list(labels)
+    schema = T.StructType([*[df.schema[c] for c in names], *STRIPE])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, np.ndarray] = {}
         floats = 0
         for pdf in batches:
             for label, part in pdf.groupby(names, sort=False):
-                ok = part[part[x].notna() & part[y].notna()]
-                if len(ok):
-                    X = np.vstack(ok[x].to_numpy()).astype(float)
-                    X = np.hstack([np.ones((len(X), 1)), X])
-                    m = X.T @ np.hstack([X, np.vstack(ok[y].to_numpy()).astype(float)])
+                X = np.vstack(part[x].to_numpy()).astype(float)
+                X = np.hstack([np.ones((len(X), 1)), X])
+                m = X.T @ np.hstack([X, np.vstack(part[y].to_numpy()).astype(float)])
+                if label in held:
+                    held[label] += m
                 else:
-                    m = np.zeros((0, 0))
-                old = held.get(label)
-                if old is None or not old.size:
-                    floats += m.size
                     held[label] = m
-                elif m.size:
-                    held[label] = old + m
+                    floats += m.size
                 if floats > HELD_FLOATS:
-                    yield _emit_rows(held, names)
+                    yield _emit(held, names)
                     held, floats = {}, 0
         if held:
-            yield _emit_rows(held, names)
-
-    return df.select(*labels, x, y).mapInPandas(run, T.StructType([*fields, *STRIPE]))
-
+            yield _emit(held, names)
 
-def _emit_rows(held, names):
-    # A label without rows is announced by one empty line.
-    return _emit({k: (m if m.size else np.zeros((1, 0))) for k, m in held.items()}, names)
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return rows.select(*names, x, y).mapInPandas(run, schema)
 
 
 def add_up(parts: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Sum the partial matrices; Spark combines them line by line."""
-    full = parts.filter(F.size("stripe") > 0)
-    return full.groupBy(*labels, "i").agg(
+    return parts.groupBy(*labels, "i").agg(
         vector_to_array(Summarizer.sum(array_to_vector("stripe"))).alias("stripe")
     )
 
 
-def announced(parts: DataFrame, labels: Sequence[str]) -> DataFrame:
-    return parts.select(*labels).distinct()
-
-
 def cumulate(
-    sums: DataFrame,
-    scope: Sequence[str],
-    block: str,
-    *,
-    levels: Sequence[int] | None = None,
-    wanted: DataFrame | None = None,
-    inclusive: bool = True,
+    sums: DataFrame, scope: Sequence[str], block: str, wanted: DataFrame
 ) -> DataFrame:
-    """Running sums over ``block`` within ``scope``.
+    """Sums over all smaller ``block`` values, for each block in ``wanted``.
 
-    The result has a row for each of ``levels``, or for each block in
-    ``wanted`` (a table of ``scope`` and ``block``). A group holds one matrix
-    line per block, never data rows.
+    ``wanted`` has the columns ``scope`` and ``block``. A block with nothing
+    before it has no result. A group holds one matrix line per block, never
+    data rows.
     """
-    fields = [sums.schema[c] for c in (*scope, block)]
-    schema = T.StructType([*fields, *STRIPE])
-    names = [*scope, block]
+    schema = T.StructType([*[sums.schema[c] for c in (*scope, block)], *STRIPE])
+    at = wanted.groupBy(*scope).agg(F.sort_array(F.collect_set(block)).alias("_at"))
 
-    def lines(pdf: pd.DataFrame, at: np.ndarray) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(block)
-        blocks = pdf[block].to_numpy()
+        at = np.asarray(pdf["_at"].iloc[0])
         total = np.cumsum(np.vstack(pdf["stripe"].to_numpy()), axis=0)
-        k = np.searchsorted(blocks, at, side="right" if inclusive else "left")
-        rows = [total[j - 1] for j in k if j > 0]
-        out = pd.DataFrame({block: at[k > 0], "stripe": rows})
+        k = np.searchsorted(pdf[block].to_numpy(), at, side="left")
+        out = pd.DataFrame({block: at[k > 0], "stripe": [total[j - 1] for j in k if j > 0]})
         for c in (*scope, "i"):
             out[c] = pdf[c].iloc[0]
-        return out[[*names, "i", "stripe"]]
-
-    if wanted is None:
-        fixed = None if levels is None else np.array(sorted(levels))
+        return out[[*schema.names]]
 
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            return lines(pdf, fixed if fixed is not None else np.unique(pdf[block].to_numpy()))
-
-        return sums.groupBy(*scope, "i").applyInPandas(run, schema)
-    # The blocks wanted (say, cycles) are attached to each line of the scope.
-    at = wanted.groupBy(*scope).agg(F.sort_array(F.collect_set(block)).alias("_at"))
-    with_at = sums.join(at, list(scope))
-
-    def run_at(pdf: pd.DataFrame) -> pd.DataFrame:
-        return lines(pdf.drop(columns="_at"), np.asarray(pdf["_at"].iloc[0]))
-
-    return with_at.groupBy(*scope, "i").applyInPandas(run_at, schema)
+    return sums.join(at, list(scope)).groupBy(*scope, "i").applyInPandas(run, schema)
 
 
 def matrix(pdf: pd.DataFrame) -> np.ndarray:
@@ -199,35 +162,67 @@ def ridge(m: np.ndarray, penalty: float) -> np.ndarray | None:
     return w
 
 
-def solve(
-    sums: DataFrame, model: Sequence[str], penalty: float | Sequence[float]
-) -> DataFrame:
+_FITTED = [
+    T.StructField("penalty_id", T.LongType()),
+    T.StructField("step", T.LongType()),
+    T.StructField("w", T.ArrayType(T.DoubleType())),
+]
+
+
+def _fitted(m: np.ndarray, penalties: Sequence[float]) -> list[tuple]:
+    out = []
+    for k, lam in enumerate(penalties):
+        w = ridge(m, lam)
+        if w is not None:
+            out += [(k, s + 1, w[:, s]) for s in range(w.shape[1])]
+    return out
+
+
+def solve(sums: DataFrame, model: Sequence[str], penalties: Sequence[float]) -> DataFrame:
     """One ridge model per ``model`` group: ``penalty_id, step, w`` (step 1-based).
 
     A group is the p lines of one matrix. Several penalties share the matrix.
     """
-    penalties = [penalty] if isinstance(penalty, (int, float)) else list(penalty)
-    fields = [sums.schema[c] for c in model]
-    schema = T.StructType(
-        [*fields, T.StructField("penalty_id", T.LongType()), T.StructField("step", T.LongType()),
-         T.StructField("w", T.ArrayType(T.DoubleType()))]
-    )
     names = list(model)
+    schema = T.StructType([*[sums.schema[c] for c in names], *_FITTED])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = matrix(pdf)
-        out = []
-        for k, lam in enumerate(penalties):
-            w = ridge(m, lam)
-            if w is None:
-                continue
-            out += [(k, s + 1, w[:, s]) for s in range(w.shape[1])]
-        res = pd.DataFrame(out, columns=["penalty_id", "step", "w"])
+        res = pd.DataFrame(_fitted(matrix(pdf), penalties), columns=["penalty_id", "step", "w"])
         for c in names:
             res[c] = pdf[c].iloc[0]
-        return res[[*names, "penalty_id", "step", "w"]]
+        return res[schema.names]
+
+    return sums.groupBy(*names).applyInPandas(run, schema)
+
+
+def solve_levels(
+    sums: DataFrame,
+    scope: Sequence[str],
+    level: str,
+    levels: int,
+    penalties: Sequence[float],
+) -> DataFrame:
+    """As ``solve`` for models 0 .. levels-1, each on the levels up to its own.
+
+    A group holds one matrix per level; their number is a setting.
+    """
+    names = [*scope, level]
+    schema = T.StructType([*[sums.schema[c] for c in names], *_FITTED])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        by_level = {int(k): matrix(g) for k, g in pdf.groupby(level)}
+        total, out = None, []
+        for k in range(levels):
+            if k in by_level:
+                total = by_level[k] if total is None else total + by_level[k]
+            if total is not None:
+                out += [(k, *r) for r in _fitted(total, penalties)]
+        res = pd.DataFrame(out, columns=[level, "penalty_id", "step", "w"])
+        for c in scope:
+            res[c] = pdf[c].iloc[0]
+        return res[schema.names]
 
-    return sums.groupBy(*model).applyInPandas(run, schema)
+    return sums.groupBy(*scope).applyInPandas(run, schema)
 
 
 def dot(x: str, w: str, *, constant: bool = True) -> F.Column:
