@@ -82,9 +82,9 @@ def autocovariance_sums(
     def products(d: pd.Series, start: pd.Series, stop: pd.Series) -> pd.Series:
         out = []
         for a, s, e in zip(d, start, stop):
-            m = min(int(e - s), len(a))
-            own = a[:m]
-            out.append([float(own[: len(a) - k] @ a[k : k + m]) for k in range(lags + 1)])
+            m = int(e - s)
+            later = [a[k : k + m] for k in range(lags + 1)]
+            out.append([float(a[: len(b)] @ b) for b in later])
         return pd.Series(out)
 
     # A copied row before the chunk does not exist (ahead only), so the array
