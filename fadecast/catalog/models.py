@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fadecast.catalog.base import DISCHARGE, EVENT_TYPES, ctes, q6, r6
-from fadecast.catalog.params import hourly_grid
 from fadecast.operators import score
 from fadecast.plans import battery_models, forecast, search
 from fadecast.plans.battery_features import numbered_features
@@ -33,56 +32,58 @@ def query(sql=None):
 def _table(spark, sf, static=False):
     hist, fut = tables.electricity(spark, sf), tables.electricity_future(spark, sf)
     flags = {"unique_id": EVENT_TYPES} if static else None
-    return forecast.model_table(hist, fut, KEYS, "ds", "y", COVARIATES, 3600, static=flags), hist
+    return forecast.model_table(hist, fut, KEYS, "ds", "y", COVARIATES, 3600, static=flags)
 
 
-def _model(cal, static, **kw):
-    return WindowModel(past=COVARIATES, calendar=tuple(cal), static=tuple(static), **kw)
-
-
-def _local(cal, static):
-    return _model(cal, (), local=True, inputs=((96, 24),), penalties=(1.0,))
+def _local(table):
+    return WindowModel(
+        past=COVARIATES, calendar=table.calendar, local=True, inputs=((96, 24),), penalties=(1.0,)
+    )
 
 
-def _global(cal, static):
-    return _model(cal, static, future=COVARIATES, inputs=((96, 24),), penalties=(0.1,))
+def _global(table, **kw):
+    kw = {"inputs": ((96, 24),), "penalties": (0.1,)} | kw
+    return WindowModel(
+        past=COVARIATES, future=COVARIATES, calendar=table.calendar, static=table.static, **kw
+    )
 
 
-def _run(spark, sf, make, folds, static):
-    (grid, stats, cal, flags), hist = _table(spark, sf, static)
-    model = make(cal, flags)
-    w = forecast.fit(grid, KEYS, model)
-    p = forecast.predict(grid, KEYS, model, w, folds)
-    return forecast.unscaled(p, stats, hist, KEYS, "ds", "y", 3600)
+def _run(table, model, folds):
+    w = forecast.fit(table.grid, KEYS, model)
+    return forecast.unscaled(forecast.predict(table.grid, KEYS, model, w, folds), table)
 
 
-def _scores(spark, sf, p, by=()):
-    a = score.align(p, hourly_grid(spark, sf), KEYS, "ds", "y0")
+def _scores(table, predictions, by=()):
+    a = score.align(predictions, table.history, KEYS, "ds", "y")
     return score.nested_rmse(a, KEYS, "fold", by=by)
 
 
 @query()
 def forecast_window(spark, sf):
     """Next 24 hours of each series from its own model."""
-    return _run(spark, sf, _local, [10], False).select("unique_id", "ds", "step", "yhat")
+    t = _table(spark, sf)
+    return _run(t, _local(t), [10]).select("unique_id", "ds", "step", "yhat")
 
 
 @query()
 def forecast_global(spark, sf):
     """Next 24 hours of each series from one model with static covariates."""
-    return _run(spark, sf, _global, [10], True).select("unique_id", "ds", "step", "yhat")
+    t = _table(spark, sf, static=True)
+    return _run(t, _global(t), [10]).select("unique_id", "ds", "step", "yhat")
 
 
 @query()
 def backtest_window(spark, sf):
     """Rolling-origin error of the per-series forecaster."""
-    return _scores(spark, sf, _run(spark, sf, _local, range(10), False))
+    t = _table(spark, sf)
+    return _scores(t, _run(t, _local(t), range(10)))
 
 
 @query()
 def backtest_global(spark, sf):
     """Rolling-origin error of the global forecaster."""
-    return _scores(spark, sf, _run(spark, sf, _global, range(10), True))
+    t = _table(spark, sf, static=True)
+    return _scores(t, _run(t, _global(t), range(10)))
 
 
 SEARCH = search.ParamGrid(
@@ -96,11 +97,12 @@ N_ITER = 10
 
 
 def _search(spark, sf):
+    """Coefficients and back-test scores of the sampled configurations."""
     configs = SEARCH.sample(spark, N_ITER)
-    (grid, stats, cal, flags), hist = _table(spark, sf, True)
+    table = _table(spark, sf, static=True)
     shapes = sorted({(c["input_chunk_length"], c["covariate_lags"]) for c in configs})
-    model = _model(cal, flags, future=COVARIATES, inputs=tuple(shapes), penalties=tuple(SEARCH.lists["ridge"]))
-    w = forecast.fit(grid, KEYS, model)
+    model = _global(table, inputs=tuple(shapes), penalties=tuple(SEARCH.lists["ridge"]))
+    # Penalties share a matrix, so all of them are solved and the sampled kept.
     chosen = F.array(
         *[
             F.struct(
@@ -118,39 +120,35 @@ def _search(spark, sf):
         & (c["cov_lags"] == F.col("cov_lags"))
         & (c["penalty_id"] == F.col("penalty_id")),
     )
-    w = w.withColumn("config_id", F.get(mine, F.lit(0))["config_id"]).filter(F.col("config_id").isNotNull())
-    # Bounded by the settings and used for scoring and for the final forecast.
-    return configs, (grid, stats, hist, model, checkpointed(w))
-
-
-def _search_scores(spark, sf):
-    configs, (grid, stats, hist, model, w) = _search(spark, sf)
-    p = forecast.predict(grid, KEYS, model, w, range(10), extra=["config_id"])
-    p = forecast.unscaled(p, stats, hist, KEYS, "ds", "y", 3600)
-    rmse = _scores(spark, sf, p, by=["config_id"])
-    return search.attach_params(rmse, configs), (grid, stats, hist, model, w)
+    w = forecast.fit(table.grid, KEYS, model)
+    w = w.withColumn("config_id", F.get(mine, F.lit(0))["config_id"]).filter("config_id IS NOT NULL")
+    # Bounded by the settings, and used for scoring and for the final forecast.
+    w = checkpointed(w)
+    p = forecast.predict(table.grid, KEYS, model, w, range(model.folds), extra=["config_id"])
+    rmse = _scores(table, forecast.unscaled(p, table), by=["config_id"])
+    return search.attach_params(rmse, configs), table, model, w
 
 
 @query()
 def random_search(spark, sf):
     """Score of every sampled configuration."""
-    return _search_scores(spark, sf)[0]
+    return _search(spark, sf)[0]
 
 
 @query()
 def forecast_future(spark, sf):
     """Next 24 hours from the best configuration of the search."""
-    scores, (grid, stats, hist, model, w) = _search_scores(spark, sf)
+    scores, table, model, w = _search(spark, sf)
     best = score.best_first(scores, "rmse", ["config_id"]).select("config_id")
-    p = forecast.predict(grid, KEYS, model, w.join(best, "config_id", "left_semi"), [10], extra=["config_id"])
-    p = forecast.unscaled(p, stats, hist, KEYS, "ds", "y", 3600)
+    w = w.join(best, "config_id", "left_semi")
+    p = forecast.predict(table.grid, KEYS, model, w, [model.folds], extra=["config_id"])
+    p = forecast.unscaled(p, table)
     return p.select("unique_id", "ds", "step", "config_id", F.col("yhat").alias("forecast"))
 
 
 def _importance(spark, sf, by):
-    (grid, _, cal, flags), _ = _table(spark, sf, True)
-    model = _global(cal, flags)
-    return forecast.importance(grid, KEYS, model, by).select(by, "loss_rise")
+    t = _table(spark, sf, static=True)
+    return forecast.importance(t.grid, KEYS, _global(t), by).select(by, "loss_rise")
 
 
 @query()

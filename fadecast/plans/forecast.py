@@ -22,6 +22,7 @@ from fadecast.operators import scale, series
 from fadecast.operators.ordered import segments
 from fadecast.plans import gram
 from fadecast.plans.backtest import FOLDS, HORIZON
+from fadecast.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -198,6 +199,30 @@ def predict(
     )
 
 
+@dataclass(frozen=True)
+class ModelTable:
+    """Regular series ready for modelling.
+
+    ``raw`` has the values in their own unit, ``grid`` scaled ones with
+    calendar and static columns; both run on into the known future, where the
+    target is null and ``pos`` is at least ``n``.
+    """
+
+    raw: DataFrame
+    grid: DataFrame
+    stats: DataFrame
+    calendar: tuple[str, ...]
+    static: tuple[str, ...]
+    keys: tuple[str, ...]
+    time: str
+    target: str
+    step: int
+
+    @property
+    def history(self) -> DataFrame:
+        return self.raw.filter(F.col("pos") < F.col("n")).select(*self.keys, self.time, self.target)
+
+
 def model_table(
     history: DataFrame,
     future: DataFrame | None,
@@ -209,56 +234,58 @@ def model_table(
     *,
     static: dict[str, Sequence[str]] | None = None,
     calendar_names: Sequence[str] = ("hour", "dayofweek"),
-) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
-    """Grid with scaled target and covariates, calendar and static columns.
+) -> ModelTable:
+    """Grid of history and known future, scaled per series.
 
-    Gaps in target and covariates count as 0. The grid runs on into the known
-    future, where the target is null; ``n`` is the length of the history.
-    Returns the grid, the statistics for unscaling, and the names of the
-    calendar and static columns.
+    Gaps in target and covariates count as 0. An hour named by both tables
+    counts as history. The regular table is written once, since fitting,
+    predicting, unscaling and scoring all read it.
     """
-    keys = list(keys)
-    all_rows = history.select(*keys, time, target, *covariates)
+    keys, values = list(keys), [target, *covariates]
+    rows = history.select(*keys, time, *values, F.col(time).alias("_seen"))
     if future is not None:
-        # An hour named by both tables counts as history.
-        more = future.select(*keys, time, *covariates)
-        last = series.time_extents(history, keys, time).drop("_t0")
-        more = more.join(last, keys).filter(F.col(time) > F.col("_t1")).drop("_t1")
-        all_rows = all_rows.unionByName(more, allowMissingColumns=True)
-    grid = series.regularise(all_rows, keys, time, step, values=[target, *covariates])
-    ext = series.time_extents(history, keys, time).withColumn(
-        "_nh", F.floor(series.seconds_between("_t0", "_t1") / step).cast("long") + 1
+        known = future.select(*keys, time, *covariates)
+        rows = rows.unionByName(known, allowMissingColumns=True)
+        rows = rows.groupBy(*keys, time).agg(
+            *[F.coalesce(F.max_by(c, "_seen"), F.max(c)).alias(c) for c in values],
+            F.max("_seen").alias("_seen"),
+        )
+    last = rows.groupBy(*keys).agg(F.min(time).alias("_t0"), F.max("_seen").alias("_t1"))
+    grid = series.regularise(rows, keys, time, step, values=values).drop("n").join(last, keys)
+    n = F.floor(series.seconds_between("_t0", "_t1") / step).cast("long") + 1
+    seen = F.col(time) <= F.col("_t1")
+    raw = checkpointed(
+        grid.select(
+            *keys, time, "pos", n.alias("n"),
+            F.when(seen, F.coalesce(F.col(target), F.lit(0.0))).alias(target),
+            *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in covariates],
+        )
     )
-    grid = grid.drop("n").join(ext.select(*keys, "_nh"), keys).withColumnRenamed("_nh", "n")
-    seen = F.col("pos") < F.col("n")
-    grid = grid.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in covariates})
-    grid = grid.withColumn(target, F.when(seen, F.coalesce(F.col(target), F.lit(0.0))))
-    stats = scale.minmax_stats(grid, keys, [target, *covariates])
-    grid = scale.minmax_apply(grid, stats, keys, [target, *covariates], suffix="")
-    cyc = calendar.cyclic(time, calendar_names)
-    cols = {f"cal_{k}": v for k, v in cyc.items()} | {"cal_year": calendar.encode_year(F.col(time))}
-    flags = {}
-    for k, values in (static or {}).items():
-        flags |= {f"is_{v}": (F.col(k) == v).cast("double") for v in values}
-    return grid.withColumns(cols | flags), stats, list(cols), list(flags)
-
-
-def unscaled(
-    predictions: DataFrame,
-    stats: DataFrame,
-    history: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    target: str,
-    step: int,
-) -> DataFrame:
+    stats = scale.minmax_stats(raw, keys, values)
+    cols = {f"cal_{k}": v for k, v in calendar.cyclic(time, calendar_names).items()}
+    cols["cal_year"] = calendar.encode_year(F.col(time))
+    flags = {
+        f"is_{v}": (F.col(k) == v).cast("double")
+        for k, listed in (static or {}).items()
+        for v in listed
+    }
+    scaled = scale.minmax_apply(raw, stats, keys, values, suffix="").withColumns(cols | flags)
+    return ModelTable(
+        raw, scaled, stats, tuple(cols), tuple(flags), tuple(keys), time, target, step
+    )
+
+
+def unscaled(predictions: DataFrame, table: ModelTable) -> DataFrame:
     """Forecasts in the target's own unit with their time stamps."""
-    p = predictions.join(stats.select(*keys, f"{target}_min", f"{target}_max"), list(keys))
-    lo, hi = F.col(f"{target}_min"), F.col(f"{target}_max")
-    p = p.withColumn("yhat", F.col("yhat") * (hi - lo) + lo).drop(f"{target}_min", f"{target}_max")
-    t0 = series.time_extents(history, keys, time).drop("_t1")
-    at = F.timestamp_add("SECOND", F.col("pos") * step, F.col("_t0"))
-    return p.join(t0, list(keys)).withColumn(time, at).drop("_t0")
+    keys, t = list(table.keys), table.target
+    start = table.raw.groupBy(*keys).agg(
+        F.min(table.time).alias("_t0"), F.min(t).alias("_lo"), F.max(t).alias("_hi")
+    )
+    at = F.timestamp_add("SECOND", F.col("pos") * table.step, F.col("_t0"))
+    yhat = F.col("yhat") * (F.col("_hi") - F.col("_lo")) + F.col("_lo")
+    return predictions.join(start, keys).withColumns({"yhat": yhat, table.time: at}).drop(
+        "_t0", "_lo", "_hi"
+    )
 
 
 def importance(

@@ -157,7 +157,12 @@ def ridge(m: np.ndarray, penalty: float) -> np.ndarray | None:
         a = cov[:, :p][np.ix_(use, use)] / np.outer(sd, sd)
         a[np.diag_indices_from(a)] += penalty
         b = cov[:, p:][use] / sd[:, None]
-        w[use] = np.linalg.lstsq(a, b, rcond=None)[0] / sd[:, None]
+        try:
+            if not penalty:
+                raise np.linalg.LinAlgError
+            w[use] = np.linalg.solve(a, b) / sd[:, None]
+        except np.linalg.LinAlgError:
+            w[use] = np.linalg.lstsq(a, b, rcond=None)[0] / sd[:, None]
     w[0] = mean[p:] - mean[1:p] @ w[1:]
     return w
 

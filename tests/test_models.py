@@ -150,10 +150,10 @@ def test_forecaster_beats_naive_on_an_autoregressive_series(spark):
     for i in range(1, 500):
         y[i] = 0.9 * y[i - 1] + rng.normal()
     hist = hourly(spark, {"a": y}).withColumn("x", F.lit(0.0))
-    (grid, stats, cal, _) = forecast.model_table(hist, None, ["k"], "ds", "y", ["x"], 3600)
+    t = forecast.model_table(hist, None, ["k"], "ds", "y", ["x"], 3600)
     model = WindowModel(inputs=((24, 1),), local=True, penalties=(0.5,))
-    p = forecast.predict(grid, ["k"], model, forecast.fit(grid, ["k"], model), range(10))
-    p = forecast.unscaled(p, stats, hist, ["k"], "ds", "y", 3600)
+    p = forecast.predict(t.grid, ["k"], model, forecast.fit(t.grid, ["k"], model), range(10))
+    p = forecast.unscaled(p, t)
     actual = series.regularise(hist, ["k"], "ds", 3600, values=["y"])
     mine = score.nested_rmse(score.align(p, actual, ["k"], "ds", "y"), ["k"], "fold").collect()[0]["rmse"]
     naive = backtest.seasonal_naive(actual, ["k"], "y", [{"config_id": 0, "season": 24, "depth": 1}])
@@ -163,14 +163,25 @@ def test_forecaster_beats_naive_on_an_autoregressive_series(spark):
 def test_noiseless_season_is_recovered(spark):
     y = 10 + 3 * np.sin(np.arange(400) / 24 * 2 * np.pi)
     hist = hourly(spark, {"a": y}).withColumn("x", F.lit(0.0))
-    grid, stats, _, _ = forecast.model_table(hist, None, ["k"], "ds", "y", ["x"], 3600)
+    t = forecast.model_table(hist, None, ["k"], "ds", "y", ["x"], 3600)
     model = WindowModel(inputs=((48, 1),), local=True, penalties=(1e-6,))
-    p = forecast.predict(grid, ["k"], model, forecast.fit(grid, ["k"], model), [10])
-    rows = forecast.unscaled(p, stats, hist, ["k"], "ds", "y", 3600).orderBy("step").collect()
+    p = forecast.predict(t.grid, ["k"], model, forecast.fit(t.grid, ["k"], model), [10])
+    rows = forecast.unscaled(p, t).orderBy("step").collect()
     assert [r["ds"] for r in rows] == [T0 + (400 + i) * H for i in range(24)]
     assert [r["yhat"] for r in rows] == pytest.approx(list(10 + 3 * np.sin(np.arange(400, 424) / 24 * 2 * np.pi)), abs=1e-3)
 
 
+def test_model_table_prefers_history_and_runs_on_into_the_future(spark):
+    hist = hourly(spark, {"a": [1, 2, 5]}).withColumn("x", F.lit(3.0))
+    hist = hist.filter(F.col("y") != 2)
+    rows = [("a", T0 + i * H, 10.0 + i) for i in (2, 3, 4)]
+    fut = spark.createDataFrame(rows, "k string, ds timestamp_ntz, x double")
+    t = forecast.model_table(hist, fut, ["k"], "ds", "y", ["x"], 3600)
+    got = [(r["pos"], r["n"], r["y"], r["x"]) for r in t.raw.orderBy("ds").collect()]
+    assert got == [(0, 3, 1.0, 3.0), (1, 3, 0.0, 0.0), (2, 3, 5.0, 3.0), (3, 3, None, 13.0), (4, 3, None, 14.0)]
+    assert t.history.count() == 3
+
+
 def test_importance_is_the_mean_over_permutations(spark):
     rng = np.random.default_rng(5)
     ys = {"a": rng.normal(size=20)}
