@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from fadecast.session import checkpointed
 
 CHUNK = 1 << 16
+BROADCAST_ROWS = 200_000
 
 
 def chunk_of(col: str | Column, size: int = CHUNK) -> Column:
@@ -114,12 +115,17 @@ def sorted_positions(
     parts = [F.col(f"__g.{k}") for k in keys]
     w = Window.partitionBy(*parts).orderBy("__g.__part")
     before = F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.select(
-        "__g",
-        (F.coalesce(before, F.lit(0)) - F.col("__r0")).alias("__off"),
-        F.sum("__n").over(Window.partitionBy(*parts)).alias("__tot"),
+    runs = checkpointed(
+        runs.select(
+            "__g",
+            (F.coalesce(before, F.lit(0)) - F.col("__r0")).alias("__off"),
+            F.sum("__n").over(Window.partitionBy(*parts)).alias("__tot"),
+        )
     )
-    out = rows.join(runs, "__g").withColumn(pos, (F.col("__row") + F.col("__off")).cast("long"))
+    # Its size is known now: sent to all tasks if small, else joined by shuffle.
+    few = runs.count() <= BROADCAST_ROWS
+    out = rows.join(F.broadcast(runs) if few else runs, "__g")
+    out = out.withColumn(pos, (F.col("__row") + F.col("__off")).cast("long"))
     if total:
         out = out.withColumn(total, F.col("__tot"))
     return out.drop("__id", "__part", "__row", "__g", "__off", "__tot")

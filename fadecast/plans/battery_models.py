@@ -9,9 +9,13 @@ share one pass over the rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,25 +41,39 @@ def numbered(measured: DataFrame, key: str = "battery_id") -> DataFrame:
 
 
 def cycle_starts(rows: DataFrame, key: str = "battery_id") -> DataFrame:
-    """First position and length of each cycle."""
-    return rows.groupBy(key, "cycle").agg(
-        F.min("pos").alias("cycle_start"), F.count(F.lit(1)).alias("cycle_rows")
+    """First position and length of each cycle.
+
+    One line per cycle, read several times by each model: written once.
+    """
+    return checkpointed(
+        rows.groupBy(key, "cycle").agg(
+            F.min("pos").alias("cycle_start"), F.count(F.lit(1)).alias("cycle_rows")
+        )
     )
 
 
 def tails(
-    rows: DataFrame, starts: DataFrame, columns: Sequence[str], length: int, key: str = "battery_id"
+    rows: DataFrame,
+    starts: DataFrame,
+    columns: Sequence[str],
+    length: int,
+    key: str = "battery_id",
+    aggs: Sequence[Column] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The last ``length`` rows before each cycle, oldest first, as arrays."""
+    """The last ``length`` rows before each cycle, oldest first, as arrays.
+
+    ``aggs`` are further aggregates of these rows, over ``columns`` and
+    ``carry``. One line per cycle, written once.
+    """
     first = F.greatest(F.col("cycle_start") - length, F.lit(0).cast("long"))
     at = starts.filter("cycle_start > 0").select(
         key, "cycle", "cycle_start", F.explode(F.sequence(first, F.col("cycle_start") - 1)).alias("pos")
     )
-    body = F.struct("pos", *columns)
-    got = at.join(rows.select(key, "pos", *columns), [key, "pos"]).groupBy(key, "cycle", "cycle_start")
-    return got.agg(F.sort_array(F.collect_list(body)).alias("_s")).select(
-        key, "cycle", "cycle_start", *[F.col(f"_s.{c}").alias(f"tail_{c}") for c in columns]
-    )
+    body = F.sort_array(F.collect_list(F.struct("pos", *columns))).alias("_s")
+    got = at.join(rows.select(key, "pos", *columns, *carry), [key, "pos"])
+    got = got.groupBy(key, "cycle", "cycle_start").agg(body, *aggs)
+    return checkpointed(got.withColumns({f"tail_{c}": F.col(f"_s.{c}") for c in columns}).drop("_s"))
 
 
 # --- differences with an autoregressive error (one model per target and cycle)
@@ -145,7 +163,7 @@ def arimax_by_cycle(
         return pd.DataFrame({**head, "alpha": [got[0]], "arma": [got[1]]})
 
     # Small (one line per model) and read twice below: written once.
-    models = checkpointed(history.groupBy(*names).applyInPandas(fit, fit_schema))
+    models = checkpointed(gram.spread(history, names).groupBy(*names).applyInPandas(fit, fit_schema))
     return _arima_paths(rows, starts, models, key, targets, exog, need, size)
 
 
@@ -404,8 +422,9 @@ def capacity_next(
         return pd.DataFrame({key: [one[key]], "cycle": [one["cycle"]], "yhat": [yhat]})
 
     got = (
-        history.groupBy(key, "cycle")
-        .cogroup(tail.groupBy(key, "cycle"))
+        gram.spread(history, [key, "cycle"])
+        .groupBy(key, "cycle")
+        .cogroup(gram.spread(tail, [key, "cycle"]).groupBy(key, "cycle"))
         .applyInPandas(fit, schema)
     )
     return starts.select(
@@ -434,23 +453,24 @@ def capacity_horizon(
     """
     rows = numbered(measured, key).select(key, "cycle", "event_id", "pos", target, *exog)
     starts = cycle_starts(rows, key)
-    tail = tails(rows, starts, [target, *exog], encoder, key)
+    flat = (F.min(target) == F.max(target)) | (F.count(target) < 2)
+    means = [F.avg(c).alias(f"_m_{c}") for c in exog]
+    tail = tails(
+        rows, starts, [target], encoder, key,
+        [F.avg(target).alias("centre"),
+         F.when(flat, 1.0).otherwise(F.stddev_samp(target)).alias("width"),
+         *means],
+        carry=exog,
+    )
     t = F.col(f"tail_{target}")
-    n = F.size(t)
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
-    centre = total(t) / n
-    spread = F.sqrt(total(F.transform(t, lambda v: (v - F.col("centre")) * (v - F.col("centre")))) / (n - 1))
-    flat = (F.array_max(t) == F.array_min(t)) | (n < 2)
-    tail = tail.withColumn("centre", centre).withColumn("width", F.when(flat, 1.0).otherwise(spread))
-    norm = F.transform(t, lambda v: (v - F.col("centre")) / F.col("width"))
-    pad = F.array_repeat(F.get(F.col("norm"), F.lit(0)), F.lit(encoder) - n)
-    tail = tail.withColumn("norm", norm).withColumn("norm", F.concat(pad, F.col("norm")))
-    tail = tail.withColumn(
-        "enc", F.concat("norm", F.array(*[total(F.col(f"tail_{c}")) / n for c in exog]))
-    ).select(key, "cycle", "cycle_start", "centre", "width", "enc")
-    d = rows.join(tail.drop("cycle_start"), [key, "cycle"], "left").join(
-        starts.select(key, "cycle", "cycle_start"), [key, "cycle"]
+    padded = F.concat(F.array_repeat(F.get(t, F.lit(0)), F.lit(encoder) - F.size(t)), t)
+    norm = F.transform(padded, lambda v: (v - F.col("centre")) / F.col("width"))
+    tail = tail.select(
+        key, "cycle", "centre", "width",
+        F.concat(norm, F.array(*[F.col(f"_m_{c}") for c in exog])).alias("enc"),
     )
+    d = rows.join(starts.select(key, "cycle", "cycle_start"), [key, "cycle"])
+    d = d.join(tail, [key, "cycle"], "left")
     d = d.withColumn("step", F.col("pos") - F.col("cycle_start") + 1)
     own = F.array(F.col("step").cast("double"), *[F.col(c).cast("double") for c in exog])
     y = (F.col(target) - F.col("centre")) / F.col("width")
@@ -527,21 +547,27 @@ def boosted_trees(
     Returns the predictions (the last cycle's means, one cycle on) and the
     fitted models by target.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
+    spark = features.sparkSession
     to_vec = VectorAssembler(inputCols=list(inputs), outputCol="features")
     train = to_vec.transform(features)
     nxt = features.groupBy(key).agg(
         F.max_by(F.struct(*inputs), "discharge_cycle_id").alias("_r")
     ).select(key, *[F.col(f"_r.{c}").alias(c) for c in inputs])
     nxt = to_vec.transform(nxt.withColumn("discharge_cycle_id", F.col("discharge_cycle_id") + 1))
-    out, models = None, {}
-    for t in targets:
+    train = train.select("features", *targets).persist()
+
+    def fit(t):
         gbt = GBTRegressor(
             featuresCol="features", labelCol=t, predictionCol="yhat", maxIter=trees, maxDepth=depth, seed=seed
         )
-        models[t] = gbt.fit(train.select("features", t))
-        p = models[t].transform(nxt).select(key, "discharge_cycle_id", F.lit(t).alias("target"), "yhat")
+        return gbt.fit(train)
+
+    # The models are independent, and each is a chain of short jobs.
+    with ThreadPoolExecutor(len(targets)) as pool:
+        models = dict(zip(targets, pool.map(inheritable_thread_target(spark)(fit), targets)))
+    train.unpersist()
+    out = None
+    for t, m in models.items():
+        p = m.transform(nxt).select(key, "discharge_cycle_id", F.lit(t).alias("target"), "yhat")
         out = p if out is None else out.unionByName(p)
     return out, models

@@ -100,6 +100,16 @@ def partial_sums_of_rows(
     return rows.select(*names, x, y).mapInPandas(run, schema)
 
 
+def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Partition by ``cols`` for groups that are small but costly to solve.
+
+    Adaptive execution would merge them by their bytes into one task; a fixed
+    number of partitions is left alone, and the grouping needs no other shuffle.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
 def add_up(parts: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Sum the partial matrices; Spark combines them line by line."""
     return parts.groupBy(*labels, "i").agg(
@@ -129,7 +139,8 @@ def cumulate(
             out[c] = pdf[c].iloc[0]
         return out[[*schema.names]]
 
-    return sums.join(at, list(scope)).groupBy(*scope, "i").applyInPandas(run, schema)
+    lines = spread(sums.join(at, list(scope)), [*scope, "i"])
+    return lines.groupBy(*scope, "i").applyInPandas(run, schema)
 
 
 def matrix(pdf: pd.DataFrame) -> np.ndarray:
@@ -197,7 +208,7 @@ def solve(sums: DataFrame, model: Sequence[str], penalties: Sequence[float]) ->
             res[c] = pdf[c].iloc[0]
         return res[schema.names]
 
-    return sums.groupBy(*names).applyInPandas(run, schema)
+    return spread(sums, names).groupBy(*names).applyInPandas(run, schema)
 
 
 def solve_levels(
@@ -227,7 +238,7 @@ def solve_levels(
             res[c] = pdf[c].iloc[0]
         return res[schema.names]
 
-    return sums.groupBy(*scope).applyInPandas(run, schema)
+    return spread(sums, scope).groupBy(*scope).applyInPandas(run, schema)
 
 
 def dot(x: str, w: str, *, constant: bool = True) -> F.Column:
