@@ -11,10 +11,10 @@ from fadecast.plans.battery_features import numbered_features
 from fadecast.plans.forecast import WindowModel
 from fadecast.session import checkpointed
 from fadecast.sources import tables
+from fadecast.spec import ELECTRICITY
 
 QUERIES, ORACLES = {}, {}
 KEYS = ["unique_id"]
-COVARIATES = ("Exogenous1", "Exogenous2")
 FEATS = ("voltage_mean", "current_mean", "temperature_mean", "time_total", "capacity")
 TARGETS = ("time_total", "capacity")
 
@@ -32,19 +32,19 @@ def query(sql=None):
 def _table(spark, sf, static=False):
     hist, fut = tables.electricity(spark, sf), tables.electricity_future(spark, sf)
     flags = {"unique_id": EVENT_TYPES} if static else None
-    return forecast.model_table(hist, fut, KEYS, "ds", "y", COVARIATES, 3600, static=flags)
+    return forecast.model_table(hist, fut, ELECTRICITY, static=flags)
 
 
 def _local(table):
     return WindowModel(
-        past=COVARIATES, calendar=table.calendar, local=True, inputs=((96, 24),), penalties=(1.0,)
+        past=ELECTRICITY.past, calendar=table.calendar, local=True, inputs=((96, 24),), penalties=(1.0,)
     )
 
 
 def _global(table, **kw):
     kw = {"inputs": ((96, 24),), "penalties": (0.1,)} | kw
     return WindowModel(
-        past=COVARIATES, future=COVARIATES, calendar=table.calendar, static=table.static, **kw
+        past=ELECTRICITY.past, future=ELECTRICITY.future, calendar=table.calendar, static=table.static, **kw
     )
 
 

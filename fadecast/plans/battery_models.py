@@ -24,11 +24,11 @@ from fadecast.operators.ordered import CHUNK, running, segments, sorted_position
 from fadecast.operators.sequences import latest_window, sequences
 from fadecast.plans import gram
 from fadecast.session import checkpointed
+from fadecast.spec import BATTERY
 
-# Regressors and targets of the battery models, the longest
-# sequence and encoder, and the fold step of the forecasts.
-EXOG = ("Voltage_measured", "Current_measured", "Temperature_measured")
-TARGETS = ("Time", "Capacity")
+EXOG = BATTERY.future
+TARGETS = BATTERY.target
+# The longest sequence and the longest encoder.
 LONGEST_SEQUENCE = 20
 ENCODER = 30
 

@@ -9,7 +9,7 @@ data once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,6 +23,7 @@ from fadecast.operators.ordered import segments
 from fadecast.plans import gram
 from fadecast.plans.backtest import FOLDS, HORIZON
 from fadecast.session import checkpointed
+from fadecast.spec import SeriesSpec
 
 
 @dataclass(frozen=True)
@@ -213,35 +214,41 @@ class ModelTable:
     stats: DataFrame
     calendar: tuple[str, ...]
     static: tuple[str, ...]
-    keys: tuple[str, ...]
-    time: str
-    target: str
-    step: int
+    spec: SeriesSpec
 
     @property
     def history(self) -> DataFrame:
-        return self.raw.filter(F.col("pos") < F.col("n")).select(*self.keys, self.time, self.target)
+        seen = self.raw.filter(F.col("pos") < F.col("n"))
+        return seen.select(*self.spec.keys, self.spec.time, *self.spec.target)
 
 
 def model_table(
     history: DataFrame,
     future: DataFrame | None,
-    keys: Sequence[str],
-    time: str,
-    target: str,
-    covariates: Sequence[str],
-    step: int,
+    spec: SeriesSpec,
     *,
     static: dict[str, Sequence[str]] | None = None,
     calendar_names: Sequence[str] = ("hour", "dayofweek"),
+    zone: str | None = None,
+    fit_scope: str = "all",
+    holdout: int = FOLDS * HORIZON,
 ) -> ModelTable:
     """Grid of history and known future, scaled per series.
 
     Gaps in target and covariates count as 0. An hour named by both tables
-    counts as history. The regular table is written once, since fitting,
-    predicting, unscaling and scoring all read it.
+    counts as history. ``fit_scope`` says which rows the scaler sees: ``all``,
+    or ``train``, the history without its last ``holdout`` steps. ``zone``
+    shifts the clock the calendar columns are read from.
+
+    The regular table is written once, since fitting, predicting, unscaling and
+    scoring all read it.
     """
-    keys, values = list(keys), [target, *covariates]
+    if fit_scope not in ("all", "train"):
+        raise ValueError("fit_scope must be all or train")
+    keys, time = list(spec.keys), spec.time
+    (target,) = spec.target
+    covariates = [c for c in spec.values if c != target]
+    values = [target, *covariates]
     rows = history.select(*keys, time, *values, F.col(time).alias("_seen"))
     if future is not None:
         known = future.select(*keys, time, *covariates)
@@ -251,8 +258,8 @@ def model_table(
             F.max("_seen").alias("_seen"),
         )
     last = rows.groupBy(*keys).agg(F.min(time).alias("_t0"), F.max("_seen").alias("_t1"))
-    grid = series.regularise(rows, keys, time, step, values=values).drop("n").join(last, keys)
-    n = F.floor(series.seconds_between("_t0", "_t1") / step).cast("long") + 1
+    grid = series.regularise(rows, keys, time, spec.step, values=values).drop("n").join(last, keys)
+    n = F.floor(series.seconds_between("_t0", "_t1") / spec.step).cast("long") + 1
     seen = F.col(time) <= F.col("_t1")
     raw = checkpointed(
         grid.select(
@@ -261,31 +268,32 @@ def model_table(
             *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in covariates],
         )
     )
-    stats = scale.minmax_stats(raw, keys, values)
-    cols = {f"cal_{k}": v for k, v in calendar.cyclic(time, calendar_names).items()}
-    cols["cal_year"] = calendar.encode_year(F.col(time))
+    fitted = F.col("pos") < F.col("n") - holdout if fit_scope == "train" else None
+    stats = scale.minmax_stats(raw, keys, values, where=fitted)
+    clock = calendar.in_zone(time, zone) if zone else F.col(time)
+    cols = {f"cal_{k}": v for k, v in calendar.cyclic(clock, calendar_names).items()}
+    cols["cal_year"] = calendar.encode_year(clock)
     flags = {
         f"is_{v}": (F.col(k) == v).cast("double")
         for k, listed in (static or {}).items()
         for v in listed
     }
     scaled = scale.minmax_apply(raw, stats, keys, values, suffix="").withColumns(cols | flags)
-    return ModelTable(
-        raw, scaled, stats, tuple(cols), tuple(flags), tuple(keys), time, target, step
-    )
+    return ModelTable(raw, scaled, stats, tuple(cols), tuple(flags), spec)
 
 
 def unscaled(predictions: DataFrame, table: ModelTable) -> DataFrame:
     """Forecasts in the target's own unit with their time stamps."""
-    keys, t = list(table.keys), table.target
-    start = table.raw.groupBy(*keys).agg(
-        F.min(table.time).alias("_t0"), F.min(t).alias("_lo"), F.max(t).alias("_hi")
-    )
-    at = F.timestamp_add("SECOND", F.col("pos") * table.step, F.col("_t0"))
-    yhat = F.col("yhat") * (F.col("_hi") - F.col("_lo")) + F.col("_lo")
-    return predictions.join(start, keys).withColumns({"yhat": yhat, table.time: at}).drop(
-        "_t0", "_lo", "_hi"
+    spec = table.spec
+    keys, (target,) = list(spec.keys), spec.target
+    lo, hi = F.col(f"{target}_min"), F.col(f"{target}_max")
+    start = table.raw.groupBy(*keys).agg(F.min(spec.time).alias("_t0"))
+    start = start.join(table.stats.select(*keys, f"{target}_min", f"{target}_max"), keys)
+    at = F.timestamp_add("SECOND", F.col("pos") * spec.step, F.col("_t0"))
+    out = predictions.join(start, keys).withColumns(
+        {"yhat": F.col("yhat") * (hi - lo) + lo, spec.time: at}
     )
+    return out.drop("_t0", f"{target}_min", f"{target}_max")
 
 
 def importance(

@@ -8,7 +8,9 @@ from fadecast.operators import score, series
 from fadecast.plans import backtest, battery_models, forecast, gram, search
 from fadecast.plans.battery_features import capacity_fade, cycle_features, numbered_features
 from fadecast.plans.forecast import WindowModel
+from fadecast.spec import SeriesSpec
 
+SPEC = SeriesSpec(keys=("k",), time="ds", target=("y",), past=("x",), step=3600)
 T0 = dt.datetime(2024, 1, 1)
 H = dt.timedelta(hours=1)
 
@@ -150,7 +152,7 @@ def test_forecaster_beats_naive_on_an_autoregressive_series(spark):
     for i in range(1, 500):
         y[i] = 0.9 * y[i - 1] + rng.normal()
     hist = hourly(spark, {"a": y}).withColumn("x", F.lit(0.0))
-    t = forecast.model_table(hist, None, ["k"], "ds", "y", ["x"], 3600)
+    t = forecast.model_table(hist, None, SPEC)
     model = WindowModel(inputs=((24, 1),), local=True, penalties=(0.5,))
     p = forecast.predict(t.grid, ["k"], model, forecast.fit(t.grid, ["k"], model), range(10))
     p = forecast.unscaled(p, t)
@@ -163,7 +165,7 @@ def test_forecaster_beats_naive_on_an_autoregressive_series(spark):
 def test_noiseless_season_is_recovered(spark):
     y = 10 + 3 * np.sin(np.arange(400) / 24 * 2 * np.pi)
     hist = hourly(spark, {"a": y}).withColumn("x", F.lit(0.0))
-    t = forecast.model_table(hist, None, ["k"], "ds", "y", ["x"], 3600)
+    t = forecast.model_table(hist, None, SPEC)
     model = WindowModel(inputs=((48, 1),), local=True, penalties=(1e-6,))
     p = forecast.predict(t.grid, ["k"], model, forecast.fit(t.grid, ["k"], model), [10])
     rows = forecast.unscaled(p, t).orderBy("step").collect()
@@ -176,12 +178,20 @@ def test_model_table_prefers_history_and_runs_on_into_the_future(spark):
     hist = hist.filter(F.col("y") != 2)
     rows = [("a", T0 + i * H, 10.0 + i) for i in (2, 3, 4)]
     fut = spark.createDataFrame(rows, "k string, ds timestamp_ntz, x double")
-    t = forecast.model_table(hist, fut, ["k"], "ds", "y", ["x"], 3600)
+    t = forecast.model_table(hist, fut, SPEC)
     got = [(r["pos"], r["n"], r["y"], r["x"]) for r in t.raw.orderBy("ds").collect()]
     assert got == [(0, 3, 1.0, 3.0), (1, 3, 0.0, 0.0), (2, 3, 5.0, 3.0), (3, 3, None, 13.0), (4, 3, None, 14.0)]
     assert t.history.count() == 3
 
 
+def test_train_scope_keeps_the_test_range_out_of_the_scaler(spark):
+    hist = hourly(spark, {"a": [0, 1, 2, 3, 50]}).withColumn("x", F.lit(0.0))
+    t = forecast.model_table(hist, None, SPEC, fit_scope="train", holdout=1)
+    assert t.stats.collect()[0]["y_max"] == 3.0
+    top = t.grid.agg(F.max("y")).collect()[0][0]
+    assert top == pytest.approx(50 / 3)
+
+
 def test_importance_is_the_mean_over_permutations(spark):
     rng = np.random.default_rng(5)
     ys = {"a": rng.normal(size=20)}

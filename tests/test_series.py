@@ -3,7 +3,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from fadecast.functions import calendar
@@ -44,14 +43,14 @@ def test_fill(spark, fill, want, size):
 
 
 def test_gap_fails_by_choice(spark):
-    with pytest.raises(PySparkException, match="gaps"):
+    with pytest.raises(Exception, match="gaps"):
         filled(spark, GAPPY, "error")
     assert filled(spark, [1, 2, 3], "error") == [1, 2, 3]
 
 
 def test_row_off_the_grid_fails(spark):
     df = hourly(spark, [1, 2, 3]).union(hourly(spark, [9], start=T0 + dt.timedelta(minutes=90)))
-    with pytest.raises(PySparkException, match="off the grid"):
+    with pytest.raises(Exception, match="off the grid"):
         series.regularise(df, ["k"], "ds", 3600).collect()
 
 
@@ -108,10 +107,10 @@ def test_decomposition_recovers_a_season(spark):
 
 def test_decomposition_rejects_short_and_null(spark):
     short = series.regularise(hourly(spark, range(30)), ["k"], "ds", 3600)
-    with pytest.raises(PySparkException, match="two full periods"):
+    with pytest.raises(Exception, match="two full periods"):
         diagnose.seasonal_decompose(short, ["k"], "y", 24).collect()
     gap = series.regularise(hourly(spark, [1.0] * 30 + [None] + [1.0] * 30), ["k"], "ds", 3600)
-    with pytest.raises(PySparkException, match="null in the series"):
+    with pytest.raises(Exception, match="null in the series"):
         diagnose.seasonal_decompose(gap, ["k"], "y", 24).collect()
 
 
@@ -168,7 +167,7 @@ def test_encoder_never_sees_its_own_row(spark):
 
 def test_missing_actual_fails(spark):
     f = hourly(spark, [1, 2, 3]).withColumnRenamed("y", "yhat")
-    with pytest.raises(PySparkException, match="no actual value"):
+    with pytest.raises(Exception, match="no actual value"):
         score.align(f, hourly(spark, [1, 2]), ["k"], "ds", "y").collect()
 
 
