@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 
 from fadecast.session import checkpointed
 
+# Rows per chunk of consecutive positions, and ordinals per chunk of a file. The
+# second is larger because the rows of one key may be spread thinly over a file.
 CHUNK = 1 << 16
+ORDINAL_CHUNK = 1 << 20
 BROADCAST_ROWS = 200_000
 
 
@@ -44,7 +47,7 @@ def positions(
     *,
     pos: str = "pos",
     total: str | None = None,
-    size: int = CHUNK,
+    size: int = ORDINAL_CHUNK,
 ) -> DataFrame:
     """0-based position within ``keys`` in the order of a unique integer ordinal.
 

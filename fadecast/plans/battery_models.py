@@ -554,7 +554,9 @@ def boosted_trees(
         F.max_by(F.struct(*inputs), "discharge_cycle_id").alias("_r")
     ).select(key, *[F.col(f"_r.{c}").alias(c) for c in inputs])
     nxt = to_vec.transform(nxt.withColumn("discharge_cycle_id", F.col("discharge_cycle_id") + 1))
-    train = train.select("features", *targets).persist()
+    # One line per cycle. Written, it has as few partitions as it needs, and
+    # every one of the many jobs of a fit reads those.
+    train = checkpointed(train.select("features", *targets))
 
     def fit(t):
         gbt = GBTRegressor(
@@ -565,7 +567,6 @@ def boosted_trees(
     # The models are independent, and each is a chain of short jobs.
     with ThreadPoolExecutor(len(targets)) as pool:
         models = dict(zip(targets, pool.map(inheritable_thread_target(spark)(fit), targets)))
-    train.unpersist()
     out = None
     for t, m in models.items():
         p = m.transform(nxt).select(key, "discharge_cycle_id", F.lit(t).alias("target"), "yhat")
