@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fadecast.operators.ordered import CHUNK, ORDINAL_CHUNK, positions, running, sliding
+from fadecast.operators.ordered import CHUNK, positions, running, sliding
 
 # The battery columns kept for modelling and the sampling step.
 BATTERY_COLUMNS = (
@@ -66,7 +66,7 @@ def rows_at(
     ordinal: str,
     labels: dict[str, int],
     *,
-    size: int = ORDINAL_CHUNK,
+    size: int | None = None,
 ) -> DataFrame:
     """Rows picked by position; a negative position counts from the end."""
     p = positions(df, keys, ordinal, pos="_p", total="_n", size=size)
@@ -101,7 +101,7 @@ def repair_timestamps(
     out: str = "repaired",
     step: int = SAMPLE_SECONDS,
     size: int = CHUNK,
-    ordinals: int = ORDINAL_CHUNK,
+    ordinals: int | None = None,
 ) -> DataFrame:
     """Spread a run of equal consecutive timestamps ``step`` seconds apart.
 

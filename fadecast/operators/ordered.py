@@ -47,13 +47,14 @@ def positions(
     *,
     pos: str = "pos",
     total: str | None = None,
-    size: int = ORDINAL_CHUNK,
+    size: int | None = None,
 ) -> DataFrame:
     """0-based position within ``keys`` in the order of a unique integer ordinal.
 
     A chunk is a range of ``size`` ordinals and so holds at most ``size`` rows
     of a key.
     """
+    size = size or (ORDINAL_CHUNK if keys else CHUNK)
     d = df.withColumn("_ch", chunk_of(ordinal, size))
     return _positions_in_chunks(d, keys, ["_ch"], [ordinal], pos, total).drop("_ch")
 

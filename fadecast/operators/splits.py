@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fadecast.operators.ordered import ORDINAL_CHUNK, positions, sorted_positions
+from fadecast.operators.ordered import positions, sorted_positions
 
 # Shares of the training and validation split.
 TRAIN_SHARE = 0.8
@@ -23,7 +23,7 @@ def split_by_position(
     val: float = VAL_SHARE,
     gap: int = 0,
     by_time: str | None = None,
-    size: int = ORDINAL_CHUNK,
+    size: int | None = None,
 ) -> DataFrame:
     """Label rows ``train``, ``val`` or ``test``.
 

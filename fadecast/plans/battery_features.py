@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fadecast.operators.clean import discharge_cycle_id
-from fadecast.operators.ordered import ORDINAL_CHUNK, positions
+from fadecast.operators.ordered import positions
 
 
 def cycle_features(measured: DataFrame, keys: tuple[str, ...] = ("battery_id",)) -> DataFrame:
@@ -25,7 +25,7 @@ def cycle_features(measured: DataFrame, keys: tuple[str, ...] = ("battery_id",))
 
 
 def numbered_features(
-    measured: DataFrame, keys: tuple[str, ...] = ("battery_id",), *, size: int = ORDINAL_CHUNK
+    measured: DataFrame, keys: tuple[str, ...] = ("battery_id",), *, size: int | None = None
 ) -> DataFrame:
     """Cycle features with ``pos`` and ``n`` in the order of the cycles."""
     f = cycle_features(measured, keys)
