@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fadecast.catalog.base import (
-    DISCHARGE, ELEC, EVENT_TYPES, FEATURES, FUTURE, GRID, NAIVE, ORDERS, SCORED, USERS, ctes, q6, r6,
+    DISCHARGE, ELEC, FEATURES, FUTURE, GRID, NAIVE, SCORED, USERS, ctes, q6, r6,
 )
 from fadecast.catalog.params import GRID_PARAMS, hourly_grid, scored
 from fadecast.operators import clean, score, series
@@ -137,9 +137,6 @@ def cycle_features(spark, sf):
     return f.select("battery_id", "discharge_cycle_id", *[r6(c).alias(c) for c in _FEATS])
 
 
-_ALIGNED = "SELECT unique_id, fold, actual, yhat FROM naive"
-
-
 @query(
     ctes(ELEC, GRID, NAIVE)
     + f"""SELECT unique_id, {q6('avg(s)')} AS rmse, count(*) AS n_folds FROM (

@@ -3,7 +3,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from fadecast.functions import calendar
 from fadecast.operators import diagnose, scale, score, sequences, series, windows
