@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fadecast.llm import common, neardup, quality
+from fadecast.llm import common, decontaminate, linededup, mixing, neardup, quality
 
 STAGES = [
     ("quality rules", quality.stage),
+    ("line dedup", linededup.stage),
     ("minhash near-dedup", neardup.stage),
+    ("benchmark decontamination", decontaminate.stage),
+    ("mixing to target weights", mixing.stage),
 ]
 
 ORACLE_SQL = None

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from fadecast.llm import neardup, quality
+from fadecast.llm import decontaminate, linededup, mixing, neardup, quality
 
 QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
+    "op7_line_dedup": linededup.op7_line_dedup,
     "op8_minhash_forest": neardup.op8_minhash_forest,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_mix_sources": mixing.op10_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_quality_rules": quality.ORACLE,
+    "op9_decontaminate": decontaminate.ORACLE,
+    "op10_mix_sources": mixing.ORACLE,
+}

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fadecast.session import shared_path
 
@@ -161,3 +162,13 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     fixed = column.cast(pa.binary(size))
     data = np.frombuffer(fixed.buffers()[1], np.uint8)
     return data[fixed.offset * size : (fixed.offset + len(fixed)) * size].reshape(-1, size)
+
+
+SMALL = 1_000_000  # rows up to which a narrow side is broadcast
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` (narrow rows), with a broadcast hint if it has been counted to be small;
+    else as it is, and the join shuffles."""
+    df = written(df, "side")
+    return F.broadcast(df) if df.count() <= SMALL else df

@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fadecast.llm import common
 from fadecast.llm.components import components
+from fadecast.llm.neighbours import close_pairs
 
 PERMS = 64  # hash functions of a signature
 TREES = 10  # sorted orders
@@ -95,100 +95,33 @@ def _alike(x: np.ndarray, y: np.ndarray, floor: float) -> np.ndarray:
 
 
 _PAIR = "key_a binary, rep_a long, key_b binary, rep_b long"
-_ROW = "t int, ord binary, key binary, rep long, low binary"
-
-
-def _pairs(frame: dict, i: np.ndarray, j: np.ndarray, floor: float) -> list[pa.Array]:
-    """Candidates among the rows i and j of one order, the smaller key first."""
-    ok = frame["t"][i] == frame["t"][j]
-    i, j = i[ok], j[ok]
-    ok = (frame["ord"][i, :4] == frame["ord"][j, :4]).all(axis=1)
-    i, j = i[ok], j[ok]
-    ok = _alike(frame["low"][i], frame["low"][j], floor)
-    i, j = i[ok], j[ok]
-    keys, reps = frame["key"], frame["rep"]
-    a, b = keys.take(pa.array(i)).to_pylist(), keys.take(pa.array(j)).to_pylist()
-    turn = np.array([x > y for x, y in zip(a, b)], bool)
-    a, b = [y if t else x for x, y, t in zip(a, b, turn)], [x if t else y for x, y, t in zip(a, b, turn)]
-    return [
-        pa.array(a, pa.binary()),
-        pa.array(np.where(turn, reps[j], reps[i]), pa.int64()),
-        pa.array(b, pa.binary()),
-        pa.array(np.where(turn, reps[i], reps[j]), pa.int64()),
-    ]
-
-
-def _frame(t: pa.Table) -> dict:
-    return {
-        "t": t["t"].to_numpy(),
-        "ord": common.matrix(t["ord"], DEPTH * 4),
-        "key": t["key"].combine_chunks(),
-        "rep": t["rep"].to_numpy(),
-        "low": common.matrix(t["low"], PERMS),
-    }
-
-
-def _neighbours(floor: float):
-    """Over sorted partitions: candidates, and the outermost rows of the partition."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        tail, begun = None, False
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if not len(rows):
-                continue
-            if not begun:
-                begun = True
-                yield from _edges(rows.slice(0, NEAR), part - 1, 1)
-            held = 0 if tail is None else len(tail)
-            rows = rows if tail is None else pa.concat_tables([tail, rows])
-            frame = _frame(rows)
-            for d in range(1, NEAR + 1):
-                j = np.arange(max(held, d), len(rows))
-                yield from _as_pairs(_pairs(frame, j - d, j, floor))
-            tail = rows.slice(max(0, len(rows) - NEAR))
-        if tail is not None:
-            yield from _edges(tail, part, 0)
-
-    return run
-
-
-_BOTH = f"{_PAIR}, border int, side int, {_ROW}"
-
-
-def _as_pairs(pairs: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-    n = len(pairs[0])
-    if n:
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-        names = [x.strip().split(" ")[0] for x in _BOTH.split(",")]
-        yield pa.RecordBatch.from_arrays([*pairs, *(pa.nulls(n, k) for k in kinds)], names=names)
 
-
-def _edges(rows: pa.Table, border: int, side: int) -> Iterator[pa.RecordBatch]:
-    n = len(rows)
-    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64()]
-    names = [x.strip().split(" ")[0] for x in _BOTH.split(",")]
-    own = [rows[c].combine_chunks() for c in ("t", "ord", "key", "rep", "low")]
-    marks = [pa.array([border] * n, pa.int32()), pa.array([side] * n, pa.int32())]
-    yield pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in kinds), *marks, *own], names=names)
-
-
-def _across(floor: float):
-    """Candidates across one border of two partitions: at most NEAR rows of either side."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("side", "ascending"), ("t", "ascending"), ("ord", "ascending"), ("key", "ascending")])
-        frame, side = _frame(rows), rows["side"].to_numpy()
-        n = len(rows)
-        found = []
-        for d in range(1, NEAR + 1):
-            j = np.arange(d, n)
-            j = j[side[j - d] != side[j]]
-            found.append(pa.Table.from_arrays(_pairs(frame, j - d, j, floor), names=["key_a", "rep_a", "key_b", "rep_b"]))
-        return pa.concat_tables(found)
-
-    return run
+def _pairs(floor: float):
+    """Rows of one order that share a prefix and look alike, the smaller key first."""
+
+    def find(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
+        t, order, low = rows["t"].to_numpy(), common.matrix(rows["ord"], DEPTH * 4), common.matrix(rows["low"], PERMS)
+        ok = t[i] == t[j]
+        i, j = i[ok], j[ok]
+        ok = (order[i, :4] == order[j, :4]).all(axis=1)
+        i, j = i[ok], j[ok]
+        ok = _alike(low[i], low[j], floor)
+        i, j = i[ok], j[ok]
+        keys, reps = rows["key"].combine_chunks(), rows["rep"].to_numpy()
+        a, b = keys.take(pa.array(i)).to_pylist(), keys.take(pa.array(j)).to_pylist()
+        turn = np.array([x > y for x, y in zip(a, b)], bool)
+        return pa.Table.from_arrays(
+            [
+                pa.array([y if t else x for x, y, t in zip(a, b, turn)], pa.binary()),
+                pa.array(np.where(turn, reps[j], reps[i]), pa.int64()),
+                pa.array([x if t else y for x, y, t in zip(a, b, turn)], pa.binary()),
+                pa.array(np.where(turn, reps[i], reps[j]), pa.int64()),
+            ],
+            names=["key_a", "rep_a", "key_b", "rep_b"],
+        )
+
+    return find
 
 
 def _with_hub(floor: float):
@@ -225,14 +158,7 @@ def candidates(sets: DataFrame, n: int, similarity: float) -> DataFrame:
     )
     spread = max(1, min(common.partitions(sets), n * TREES // ROWS))
     ordered = trees.repartitionByRange(spread, "t", "ord", "key").sortWithinPartitions("t", "ord", "key")
-    both = common.written(ordered.mapInArrow(_neighbours(floor), _BOTH), "neighbours")
-    near = both.filter("border is null").select("key_a", "rep_a", "key_b", "rep_b")
-    across = (
-        both.filter("border is not null")
-        .select("border", "side", "t", "ord", "key", "rep", "low")
-        .groupBy("border")
-        .applyInArrow(_across(floor), _PAIR)
-    )
+    near = close_pairs(ordered.withColumn("rank", F.monotonically_increasing_id()), _PAIR, _pairs(floor), NEAR, "neighbours")
     # Unrelated sets share a hash value about once in fifty; at this depth they meet by chance no more.
     depth = min(DEPTH, max(3, math.ceil(math.log(max(n, 2)) / math.log(50))))
     narrow = trees.select("t", F.col("ord").substr(1, depth * 4).alias("region"), "key", "rep", "low")
@@ -249,7 +175,7 @@ def candidates(sets: DataFrame, n: int, similarity: float) -> DataFrame:
     beside = dense.join(hubs, ["t", "region"]).select(
         "key", "rep", "low", F.col("hub.key").alias("hk"), F.col("hub.rep").alias("hr"), F.col("hub.low").alias("hl")
     )
-    found = near.unionByName(across).unionByName(beside.mapInArrow(_with_hub(floor), _PAIR))
+    found = near.unionByName(beside.mapInArrow(_with_hub(floor), _PAIR))
     return found.dropDuplicates(["key_a", "key_b"])
 
 
@@ -317,7 +243,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .distinct()
     )
     full = common.written(
-        ids.join(wanted, "doc_id")
+        ids.join(common.sized(wanted), "doc_id")
         .select("key", "text")
         .mapInArrow(_full_sets(width), "key binary, full binary")
         .dropDuplicates(["key"]),

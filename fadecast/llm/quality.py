@@ -181,3 +181,46 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     size = F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length(text))
     return out.select(*(text.alias(c) if c == "text" else size.cast("long").alias(c) if c == "n_chars" else F.col(c) for c in names))
+
+
+_SPACES = "\\x20\\x09-\\x0D"
+
+ORACLE = f"""
+WITH d AS (
+  SELECT doc_id, source AS host, text, md5(text) AS k, coalesce(regexp_extract_all(text, '[^{_SPACES}]+'), []) AS w FROM documents),
+runs AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 2), ' ') AS run
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
+often AS (SELECT doc_id, run FROM runs GROUP BY ALL HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT r.doc_id, unnest([i, i + 1, i + 2]) AS p FROM runs r JOIN often o ON r.doc_id = o.doc_id AND r.run = o.run)
+  GROUP BY doc_id),
+raw_lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+dups AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM raw_lines
+  WHERE regexp_matches(line, '[^{_SPACES}]') GROUP BY doc_id),
+texts AS (SELECT DISTINCT host, k, text FROM d WHERE text IS NOT NULL),
+norm AS (
+  SELECT host, k, regexp_replace(lower(trim(regexp_replace(line, '[{_SPACES}]+', ' ', 'g'))), '[0-9]', '0', 'g') AS line
+  FROM (SELECT host, k, unnest(string_split(text, chr(10))) AS line FROM texts)),
+sizes AS (SELECT host, count(*) AS n FROM texts GROUP BY host),
+many AS (
+  SELECT l.host, l.line FROM (SELECT DISTINCT host, k, line FROM norm WHERE line <> '') l JOIN sizes s ON l.host IS NOT DISTINCT FROM s.host
+  GROUP BY l.host, l.line, s.n HAVING count(*) > {LEAST} AND count(*) * 100 > {SHARE} * s.n),
+lost AS (
+  SELECT n.host, n.k, sum(len(string_split(n.line, ' '))) AS lost_words
+  FROM norm n JOIN many m ON n.host IS NOT DISTINCT FROM m.host AND n.line = m.line GROUP BY n.host, n.k),
+m AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(lost.lost_words, 0) AS BIGINT) AS lost_words
+  FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id LEFT JOIN dups ON dups.doc_id = d.doc_id
+         LEFT JOIN lost ON lost.host IS NOT DISTINCT FROM d.host AND lost.k = d.k)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT} * n_words AS base_failed,
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT} * n_words) AND 100 * lost_words <= {LOST} * n_words AS kept,
+       lost_words
+FROM m
+"""
