@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from fadecast.llm import decontaminate, linededup, mixing, neardup, quality
+from fadecast.llm import decontaminate, langid, linededup, mixing, neardup, quality, urls, warc
 
 QUERIES = {
+    "op1_language_mixture": langid.op1_language_mixture,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_url_filter": urls.op4_url_filter,
+    "op5_warc_segments": warc.op5_warc_segments,
     "op7_line_dedup": linededup.op7_line_dedup,
     "op8_minhash_forest": neardup.op8_minhash_forest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
@@ -14,6 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
+    "op5_warc_segments": warc.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
 }
