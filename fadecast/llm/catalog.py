@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from fadecast.llm import decontaminate, langid, linededup, mixing, neardup, quality, urls, warc
+from fadecast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, pii, quality, urls, warc
 
 QUERIES = {
     "op1_language_mixture": langid.op1_language_mixture,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_url_filter": urls.op4_url_filter,
     "op5_warc_segments": warc.op5_warc_segments,
+    "op6_pii_tagger": pii.op6_pii_tagger,
     "op7_line_dedup": linededup.op7_line_dedup,
     "op8_minhash_forest": neardup.op8_minhash_forest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
