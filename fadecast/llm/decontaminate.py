@@ -87,8 +87,14 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     near = common.written(near.groupBy("text_key").agg(F.collect_list(F.struct("start", "win")).alias("near")), "near")
     wanted = common.sized(near.select("text_key"))
-    full = texts.select(_key("text").alias("text_key"), "text").join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"])
-    same = full.join(near, "text_key").select("text_key", words("text").alias("w"), "near")
+    # Split once per text: the aggregate keeps the split out of the expression per candidate.
+    full = (
+        texts.select(_key("text").alias("text_key"), "text")
+        .join(wanted, "text_key", "left_semi")
+        .groupBy("text_key")
+        .agg(F.first(words("text")).alias("w"))
+    )
+    same = full.join(near, "text_key").select("text_key", "w", "near")
     found = F.filter("near", lambda c: F.slice("w", c.start + 1, F.size(c.win)) == c.win)
     return common.written(same.select("text_key", found.alias("found")).filter(F.size("found") > 0), "hits")
 
