@@ -73,7 +73,7 @@ def _signed(width: int):
                 some = np.flatnonzero(n)
                 sig = signatures([sets[i] for i in some])
                 order = np.zeros((len(n), PERMS * 4), np.uint8)
-                order[some] = sig.astype(">u4").view(np.uint8).reshape(len(some), -1)
+                order[some] = sig.astype(">u4").view(np.uint8).reshape(len(some), PERMS * 4)
                 low = np.zeros((len(n), PERMS), np.uint8)
                 low[some] = sig & np.uint32(255)
                 yield pa.RecordBatch.from_arrays(
