@@ -64,11 +64,15 @@ def budgets(leaves: DataFrame, weights: dict[str, int], total: int, max_epochs:
     shut = (F.col("w1") == 0) | (F.col("w2") == 0) | (F.col("w3") == 0)
     nodes = nodes.withColumn("cap", F.when(shut, 0).otherwise(F.col("cap")))
     nodes = common.written(nodes, "leaves")
-    given = nodes.agg(F.least(F.sum("cap"), F.lit(int(total)).cast("long")).alias("b")).select(F.lit("").alias("p0"), "b")
+    given = None
     for depth in (1, 2, 3):
         up = "p0" if depth == 1 else f"p{depth - 1}"
         level = nodes.withColumn("p0", F.lit("")).groupBy(up, f"p{depth}", f"w{depth}").agg(F.sum("cap").alias("c"))
-        level = level.withColumnRenamed(f"w{depth}", "w").join(given, up)
+        level = level.withColumnRenamed(f"w{depth}", "w")
+        if given is None:  # the root: one row per domain
+            level = level.withColumn("b", F.least(F.sum("c").over(Window.partitionBy(up)), F.lit(int(total)).cast("long")))
+        else:
+            level = level.join(given, up)
         order = Window.partitionBy(up).orderBy(F.col("c") / F.greatest("w", F.lit(1)), f"p{depth}")
         before = order.rowsBetween(Window.unboundedPreceding, -1)
         family = Window.partitionBy(up)
