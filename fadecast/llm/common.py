@@ -164,11 +164,11 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     return data[fixed.offset * size : (fixed.offset + len(fixed)) * size].reshape(-1, size)
 
 
-SMALL = 1_000_000  # rows up to which a narrow side is broadcast
+SMALL = 32 << 20  # bytes up to which a side is broadcast
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """``df`` (narrow rows), with a broadcast hint if it has been counted to be small;
-    else as it is, and the join shuffles."""
+def sized(df: DataFrame, width: int = 40) -> DataFrame:
+    """``df``, with a broadcast hint if its rows have been counted to be few enough for
+    rows of ``width`` bytes; else as it is, and the join shuffles."""
     df = written(df, "side")
-    return F.broadcast(df) if df.count() <= SMALL else df
+    return F.broadcast(df) if df.count() * width <= SMALL else df

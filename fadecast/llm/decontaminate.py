@@ -77,7 +77,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         .filter("p.seen > 0")
         .select("p.token", "p.size", "p.offset", "win")
     )
-    prefix = common.sized(prefix)
+    prefix = common.sized(prefix, width=250)
     start = F.col("pos") - F.col("offset")
     near = (
         seen.join(prefix, ["token", "size"])
@@ -115,7 +115,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     by_item = (
         found.select("text_key", F.explode("found.win").alias("win"))
         .distinct()
-        .join(common.sized(named), "win")
+        .join(common.sized(named, width=250), "win")
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
     )

@@ -134,7 +134,7 @@ def mix(
     plan = budgets(leaves, weights, total, max_epochs).select(
         "leaf", F.expr("budget div tokens").alias("epochs"), F.expr("budget % tokens").alias("rest")
     )
-    plan = common.sized(plan)
+    plan = common.sized(plan, width=100)
     rows = base.filter("n > 0").join(plan, "leaf")
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = common.written(rows.select("doc_id", "leaf", "n", "epochs", "rest", h.alias("h")), "order")
@@ -178,7 +178,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chosen = chosen.toDF("_id", "_leaf", "_copies")
     names = [F.coalesce(c.cast("string"), F.lit(NONE)) for c in (domain_of(F.col("source")), F.col("lang"), F.col("source"))]
     out = docs.withColumn("_path", F.concat_ws("/", *names))
-    out = out.join(common.sized(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_path") == F.col("_leaf")))
+    out = out.join(common.sized(chosen, width=100), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_path") == F.col("_leaf")))
     return out.select(*docs.columns, F.col("_leaf").alias("leaf"), F.col("_copies").alias("copies"))
 
 
