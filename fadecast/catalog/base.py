@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def r6(c: Column | str) -> Column:
@@ -34,7 +33,8 @@ USERS = """by_user AS (
 
 FUTURE = """elec_future AS (
   SELECT unique_id, ds + INTERVAL '1' DAY AS ds, Exogenous1, Exogenous2
-  FROM elec WHERE ds >= CAST('2024-01-30 00:00:00' AS timestamp))"""
+  FROM (SELECT *, max(ds) OVER (PARTITION BY unique_id) AS last FROM elec)
+  WHERE ds >= date_trunc('day', last))"""
 
 GRID = """g0 AS (
   SELECT unique_id, unnest(generate_series(min(ds), max(ds), INTERVAL 1 HOUR)) AS ds

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from fadecast.catalog.base import DISCHARGE, EVENT_TYPES, ctes, q6, r6
-from fadecast.operators import score
-from fadecast.plans import battery_models, forecast, search
+from fadecast.catalog.base import DISCHARGE, USERS, ctes, q6, r6
+from fadecast.operators import score, series
+from fadecast.plans import backtest, battery_models, forecast, search
 from fadecast.plans.battery_features import numbered_features
 from fadecast.plans.forecast import WindowModel
 from fadecast.session import checkpointed
@@ -31,7 +33,7 @@ def query(sql=None):
 
 def _table(spark, sf, static=False):
     hist, fut = tables.electricity(spark, sf), tables.electricity_future(spark, sf)
-    flags = {"unique_id": EVENT_TYPES} if static else None
+    flags = {"unique_id": series.known_values(hist, "unique_id")} if static else None
     return forecast.model_table(hist, fut, ELECTRICITY, static=flags)
 
 
@@ -50,7 +52,8 @@ def _global(table, **kw):
 
 def _run(table, model, folds):
     w = forecast.fit(table.grid, KEYS, model)
-    return forecast.unscaled(forecast.predict(table.grid, KEYS, model, w, folds), table)
+    found = forecast.unscaled(forecast.predict(table.grid, KEYS, model, w, folds), table)
+    return forecast.complete(found, table, model, folds)
 
 
 def _scores(table, predictions, by=()):
@@ -210,3 +213,102 @@ FROM discharge d JOIN h ON d.battery_id = h.battery_id AND d.cycle = h.cycle"""
 def first_cycle_null(spark, sf):
     h = battery_models.history_mean(tables.discharge(spark, sf))
     return h.withColumns({c: r6(c) for c in ("yhat_Time", "yhat_Capacity")})
+
+
+# Daily series of many users: 3 folds of a week. A fold is predicted if its history holds a
+# window and a training sample, or the season before it.
+_WEEK, _LAGS, _FOLDS = 7, 14, 3
+_FRAME = f"""len AS (SELECT unique_id, date_diff('day', min(ds), max(ds)) + 1 AS n FROM by_user GROUP BY unique_id),
+frame AS (
+  SELECT unique_id, n, CAST(f.f AS BIGINT) AS fold, CAST(s.s AS BIGINT) AS step, n - ({_FOLDS} - f.f) * {_WEEK} AS origin
+  FROM len, range({_FOLDS}) f(f), range(1, {_WEEK + 1}) s(s))"""
+_REASON = "CASE WHEN {ok} THEN NULL WHEN origin <= 0 THEN 'the origin lies before the series' ELSE 'the history is too short' END"
+
+
+def _by_user(spark, sf):
+    spec = replace(ELECTRICITY, step=86400)
+    return forecast.model_table(tables.electricity_by_user(spark, sf), None, spec, calendar_names=("dayofweek",), holdout=_FOLDS * _WEEK)
+
+
+@query(
+    ctes(USERS, _FRAME)
+    + f"""SELECT unique_id, fold, step, origin >= {_LAGS + _WEEK} AS predicted,
+  {_REASON.format(ok=f'origin >= {_LAGS + _WEEK}')} AS reason FROM frame"""
+)
+def forecast_coverage_by_user(spark, sf):
+    """Which series, folds and steps the per-series forecaster can predict."""
+    t = _by_user(spark, sf)
+    model = WindowModel(local=True, inputs=((_LAGS, 1),), horizon=_WEEK, folds=_FOLDS, penalties=(1.0,))
+    rows = _run(t, model, range(_FOLDS))
+    return rows.select("unique_id", "fold", "step", F.col("yhat").isNotNull().alias("predicted"), "reason")
+
+
+@query(
+    ctes(USERS, _FRAME, """days AS (
+  SELECT f.unique_id, f.fold, f.step, f.origin, u.y, f.origin + f.step - 1 - 7 AS back,
+         f.origin + f.step - 1 - 7 >= 0 AS ok
+  FROM frame f JOIN (SELECT unique_id, min(ds) AS t0 FROM by_user GROUP BY unique_id) s ON s.unique_id = f.unique_id
+  LEFT JOIN by_user u ON u.unique_id = f.unique_id AND u.ds = s.t0 + to_days(CAST(f.origin + f.step - 8 AS INT)))""")
+    + f"""SELECT unique_id, fold, step, CASE WHEN ok THEN {q6('coalesce(y, 0)')} END AS yhat,
+  {_REASON.format(ok='ok')} AS reason FROM days"""
+)
+def backtest_coverage_by_user(spark, sf):
+    """Weekly-naive forecasts of every series, fold and step, with a reason for each gap."""
+    users = tables.electricity_by_user(spark, sf)
+    g = series.regularise(users.select("unique_id", "ds", "y"), KEYS, "ds", 86400, fill="zero")
+    got = backtest.seasonal_naive(
+        g, KEYS, "y", [{"config_id": 0, "season": _WEEK, "depth": 1}], horizon=_WEEK, folds=_FOLDS
+    )
+    lengths = g.groupBy("unique_id").agg(F.max("n").alias("n"))
+    rows = backtest.covered(got.select(*KEYS, "fold", "step", "yhat"), lengths, KEYS, horizon=_WEEK, folds=_FOLDS)
+    return rows.select("unique_id", "fold", "step", r6("yhat").alias("yhat"), "reason")
+
+
+@query(
+    ctes(USERS)
+    + """SELECT unique_id, count(*) AS n_seen, (epoch(max(ds)) - epoch(min(ds)))::BIGINT // min(gap) + 1 AS n, min(gap) AS step_seconds
+FROM (SELECT *, (epoch(ds) - epoch(lag(ds) OVER (PARTITION BY unique_id ORDER BY ds)))::BIGINT AS gap FROM by_user)
+GROUP BY unique_id HAVING count(*) > 1"""
+)
+def series_auto_step(spark, sf):
+    """Grids whose step is inferred per series."""
+    users = tables.electricity_by_user(spark, sf).select("unique_id", "ds", "y")
+    g = series.regularise(users, KEYS, "ds", None)
+    d = g.groupBy("unique_id").agg(
+        F.count("y").alias("n_seen"), F.max("n").alias("n"), F.min("ds").alias("t0"),
+        F.min(F.when(F.col("pos") == 1, F.col("ds"))).alias("t1"),
+    )
+    step = series.seconds_between("t0", "t1")
+    return d.filter("n_seen > 1").select("unique_id", "n_seen", "n", step.alias("step_seconds"))
+
+
+@query()
+def battery_predictions(spark, sf):
+    """All per-cycle models in one table."""
+    return battery_models.predictions(tables.discharge(spark, sf))
+
+
+_HISTORY = """c AS (SELECT battery_id, cycle, count(*) AS n, sum(Time) AS t, sum(Capacity) AS c
+  FROM discharge GROUP BY battery_id, cycle),
+h AS (SELECT battery_id, cycle, sum(t) OVER w / sum(n) OVER w AS ht, sum(c) OVER w / sum(n) OVER w AS hc FROM c
+  WINDOW w AS (PARTITION BY battery_id ORDER BY cycle ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+e AS (
+  SELECT d.battery_id, d.cycle, 'Time' AS target, d.Time - h.ht AS err FROM discharge d JOIN h USING (battery_id, cycle)
+  UNION ALL
+  SELECT d.battery_id, d.cycle, 'Capacity', d.Capacity - h.hc FROM discharge d JOIN h USING (battery_id, cycle))"""
+
+
+@query(
+    ctes(DISCHARGE, _HISTORY)
+    + f"""SELECT battery_id, target, 'history mean' AS model, cycle, count(*) AS n_points, count(err) AS n_scored,
+  {q6('sqrt(avg(err * err))')} AS rmse FROM e GROUP BY battery_id, target, cycle"""
+)
+def battery_scores(spark, sf):
+    """Error of the history mean by battery, target and cycle; the first cycle stays, as null."""
+    d = tables.discharge(spark, sf)
+    names = F.array(
+        *[F.struct(F.lit(t).alias("target"), F.col(f"yhat_{t}").alias("yhat")) for t in battery_models.TARGETS]
+    )
+    mean = battery_models.history_mean(d).select("battery_id", "cycle", "event_id", F.inline(names))
+    found = mean.withColumn("model", F.lit("history mean"))
+    return battery_models.prediction_scores(found, d).withColumn("rmse", r6("rmse"))

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from fadecast.catalog.base import DISCHARGE, ELEC, EVENT_TYPES, FUTURE, GRID, USERS, ctes, q6, r6
+from fadecast.catalog.base import DISCHARGE, ELEC, FUTURE, GRID, USERS, ctes, q6, r6
 from fadecast.catalog.params import hourly_grid
 from fadecast.functions import calendar
 from fadecast.operators import diagnose, scale, series, windows
@@ -343,13 +343,16 @@ def normalize_group(spark, sf):
 
 @query(
     ctes(ELEC)
-    + "SELECT unique_id, ds, "
-    + ", ".join(f"CAST(unique_id = '{v}' AS DOUBLE) AS is_{v}" for v in EVENT_TYPES)
-    + " FROM elec"
+    + """SELECT e.unique_id, e.ds, v.unique_id AS value, CAST(e.unique_id = v.unique_id AS DOUBLE) AS flag
+FROM elec e, (SELECT DISTINCT unique_id FROM elec) v"""
 )
 def static_onehot(spark, sf):
+    """The one-hot columns of every id in the data, as rows."""
     e = tables.electricity(spark, sf).select("unique_id", "ds")
-    return series.one_hot(e, "unique_id", EVENT_TYPES)
+    names = series.known_values(e, "unique_id")
+    flags = F.array(*[F.struct(F.lit(v).alias("value"), F.col(f"is_{v}").alias("flag")) for v in names])
+    wide = series.one_hot(e, "unique_id", names)
+    return wide.select("unique_id", "ds", F.inline(flags))
 
 
 _ENC = """p AS (SELECT *, row_number() OVER (PARTITION BY battery_id, cycle ORDER BY datetime_, event_id) AS time_idx FROM discharge)"""

@@ -52,9 +52,13 @@ def positions(
     """0-based position within ``keys`` in the order of a unique integer ordinal.
 
     A chunk is a range of ``size`` ordinals and so holds at most ``size`` rows
-    of a key.
+    of a key. Without keys nothing bounds the number of chunks of a sparse ordinal,
+    and their totals would meet in one task: the rows are sorted by range instead,
+    with one total per partition.
     """
-    size = size or (ORDINAL_CHUNK if keys else CHUNK)
+    if not keys:
+        return sorted_positions(df, keys, [ordinal], pos=pos, total=total)
+    size = size or ORDINAL_CHUNK
     d = df.withColumn("_ch", chunk_of(ordinal, size))
     return _positions_in_chunks(d, keys, ["_ch"], [ordinal], pos, total).drop("_ch")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,12 +24,27 @@ def align(
     ).drop("_hit")
 
 
-def errors(aligned: DataFrame, by: Sequence[str], yhat: str = "yhat") -> DataFrame:
-    """RMSE, MAE and MAPE per group; a zero actual value has no MAPE share."""
-    e = F.col("actual") - F.col(yhat)
+def _scored(yhat: str, partial: bool) -> Column:
+    """The forecast; a missing one fails, unless a partial score is asked for."""
+    if partial:
+        return F.col(yhat)
+    missing = F.raise_error(F.lit("a forecast is missing; ask for a partial score")).cast("double")
+    return F.when(F.col(yhat).isNull(), missing).otherwise(F.col(yhat))
+
+
+def errors(
+    aligned: DataFrame, by: Sequence[str], yhat: str = "yhat", *, partial: bool = False
+) -> DataFrame:
+    """RMSE, MAE and MAPE per group; a zero actual value has no MAPE share.
+
+    With ``partial`` missing forecasts are left out, and ``n_scored`` stands beside
+    ``n_points``.
+    """
+    e = F.col("actual") - _scored(yhat, partial)
     rel = F.abs(e) / F.nullif(F.abs(F.col("actual")), F.lit(0.0))
     return aligned.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_points"),
+        *([F.count(yhat).alias("n_scored")] if partial else []),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
         F.avg(rel).alias("mape"),
@@ -42,12 +57,14 @@ def nested_rmse(
     fold: str,
     by: Sequence[str] = (),
     yhat: str = "yhat",
+    *,
+    partial: bool = False,
 ) -> DataFrame:
     """Mean over folds of the mean over series of the RMSE of one fold.
 
-    Not the RMSE of all points pooled.
+    Not the RMSE of all points pooled. A missing forecast fails unless ``partial``.
     """
-    e = F.col("actual") - F.col(yhat)
+    e = F.col("actual") - _scored(yhat, partial)
     per_series = aligned.groupBy(*by, fold, *keys).agg(F.sqrt(F.avg(e * e)).alias("_s"))
     per_fold = per_series.groupBy(*by, fold).agg(F.avg("_s").alias("_f"))
     return per_fold.groupBy(*by).agg(F.avg("_f").alias("rmse"), F.count(F.lit(1)).alias("n_folds"))

@@ -24,7 +24,17 @@ def time_extents(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(time).alias("_t0"), F.max(time).alias("_t1"))
 
 
-def _add_steps(start: Column, steps: Column, step: int) -> Column:
+def _with_inferred_step(ext: DataFrame, df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """The step of each key; a key with one time has a grid of one row."""
+    steps = infer_step(df, keys, time).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    d = ext.join(steps, same, "left") if keys else ext.join(steps, how="left")
+    irregular = F.raise_error(F.lit("the times of a series have no common step"))
+    step = F.when(~F.col("regular"), irregular.cast("long")).otherwise(F.coalesce("step_seconds", F.lit(1)))
+    return d.select(*keys, "_t0", "_t1", step.cast("long").alias("_step"))
+
+
+def _add_steps(start: Column, steps: Column, step: int | Column) -> Column:
     return F.timestamp_add("SECOND", (steps * step).cast("long"), start)
 
 
@@ -32,7 +42,7 @@ def regularise(
     df: DataFrame,
     keys: Sequence[str],
     time: str,
-    step: int,
+    step: int | None,
     *,
     fill: str = "none",
     values: Sequence[str] | None = None,
@@ -40,7 +50,9 @@ def regularise(
 ) -> DataFrame:
     """One row per grid step from the first to the last time of each key.
 
-    Adds ``pos`` (0-based grid position) and ``n`` (grid length). Missing steps
+    Adds ``pos`` (0-based grid position) and ``n`` (grid length). Two rows at one time
+    of a key fail: every position after them would be off by one. Without ``step`` the
+    step of each key is inferred, and an irregular key fails. Missing steps
     get null values, or are filled: ``zero``, ``ffill`` (last seen value),
     ``linear`` (between the neighbours); ``error`` fails on a gap. A row off the
     grid also fails: dropping it would change the result without a word.
@@ -51,17 +63,26 @@ def regularise(
     if fill not in FILLS:
         raise ValueError(f"fill must be one of {FILLS}")
     values = list(values if values is not None else [c for c in df.columns if c not in (*keys, time)])
-    ext = time_extents(df, keys, time).withColumn(
-        "n", F.floor(seconds_between("_t0", "_t1") / step).cast("long") + 1
-    )
+    ext = time_extents(df, keys, time)
+    if step is None:
+        ext = _with_inferred_step(ext, df, keys, time)
+        each = F.col("_step")
+    else:
+        each = F.lit(step).cast("long")
+        ext = ext.withColumn("_step", each)
+    ext = ext.withColumn("n", F.floor(seconds_between("_t0", "_t1") / each).cast("long") + 1)
     chunks = ext.withColumn(
         "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(size).cast("long")))
     ).repartition(*keys, "_from")
     grid = chunks.withColumn(
         "pos",
         F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + size, F.col("n")) - 1)),
-    ).select(*keys, _add_steps(F.col("_t0"), F.col("pos"), step).alias(time), "pos", "n")
-    seen = df.select(*keys, time, *values, F.lit(True).alias("_seen"))
+    ).select(*keys, _add_steps(F.col("_t0"), F.col("pos"), F.col("_step")).alias(time), "pos", "n")
+    # One row per time, by the same partitioning as the join below.
+    seen = df.groupBy(*keys, time).agg(
+        *[F.first(v).alias(v) for v in values], F.count(F.lit(1)).alias("_seen")
+    )
+    twice = F.raise_error(F.concat(F.lit("two rows at one time: "), F.col(time).cast("string")))
     if fill == "error":
         miss = F.raise_error(F.lit("the series has gaps; choose a fill"))
         joined = grid.join(seen, [*keys, time], "full")
@@ -71,6 +92,9 @@ def regularise(
     off = F.raise_error(F.concat(F.lit("time off the grid: "), F.col(time).cast("string")))
     joined = joined.withColumn(
         "pos", F.when(F.col("n").isNull(), off.cast("long")).otherwise(F.col("pos"))
+    )
+    joined = joined.withColumn(
+        "pos", F.when(F.col("_seen") > 1, twice.cast("long")).otherwise(F.col("pos"))
     ).drop("_seen")
     if fill == "zero":
         joined = joined.withColumns({v: F.coalesce(F.col(v), F.lit(0.0)) for v in values})
@@ -140,9 +164,30 @@ def with_codes(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     return df.join(codes, key, "left")
 
 
+MAX_ONE_HOT = 64
+
+
+def known_values(df: DataFrame, key: str) -> tuple[str, ...]:
+    """The distinct values of ``key`` in order, for one-hot columns.
+
+    More than MAX_ONE_HOT values fail: number them by ``category_codes`` instead.
+    """
+    rows = df.select(key).filter(F.col(key).isNotNull()).distinct().limit(MAX_ONE_HOT + 1).collect()
+    if len(rows) > MAX_ONE_HOT:
+        raise ValueError(f"{key} has more than {MAX_ONE_HOT} values; use codes")
+    return tuple(sorted(r[0] for r in rows))
+
+
 def one_hot(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """Static covariates: one 0/1 column per listed value of the key."""
-    return df.withColumns({f"is_{v}": (F.col(key) == v).cast("double") for v in values})
+    """Static covariates: one 0/1 column per listed value of the key.
+
+    A value that is not listed fails, since all-zero columns would hide it; a null key has nulls.
+    """
+    stray = F.raise_error(F.concat(F.lit("value without a column: "), F.col(key).cast("string"))).cast("double")
+    listed = F.col(key).isin(*values) if values else F.lit(False)
+    return df.withColumns(
+        {f"is_{v}": F.when(listed | F.col(key).isNull(), (F.col(key) == v).cast("double")).otherwise(stray) for v in values}
+    )
 
 
 def covariates_full(history: DataFrame, future: DataFrame, target: Sequence[str]) -> DataFrame:

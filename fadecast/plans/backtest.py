@@ -40,6 +40,34 @@ def folds_of_series(
     return d.withColumn("origin", origin.cast("long")).withColumn("n_train", F.col("origin"))
 
 
+def covered(
+    forecasts: DataFrame,
+    lengths: DataFrame,
+    keys: Sequence[str],
+    *,
+    n: str = "n",
+    horizon: int = HORIZON,
+    folds: int = FOLDS,
+    which: Sequence[int] | None = None,
+) -> DataFrame:
+    """``forecasts`` (keys, fold, step, yhat, ...) completed to every series, fold and step.
+
+    What no forecaster could predict has a null ``yhat`` and a ``reason``, so that a short
+    series is seen and not lost. ``lengths`` has one row per series; fold ``folds`` is
+    the forecast after the last row.
+    """
+    chosen = F.array(*[F.lit(f).cast("long") for f in (which if which is not None else range(folds))])
+    steps = F.sequence(F.lit(1).cast("long"), F.lit(horizon).cast("long"))
+    frame = lengths.select(*keys, F.col(n).alias("_n"), F.explode(chosen).alias("fold"))
+    frame = frame.withColumn("step", F.explode(steps))
+    origin = F.col("_n") - (folds - F.col("fold")) * horizon
+    out = frame.join(forecasts, [*keys, "fold", "step"], "left")
+    reason = F.when(F.col("yhat").isNotNull(), F.lit(None).cast("string")).when(
+        origin <= 0, "the origin lies before the series"
+    ).otherwise("the history is too short")
+    return out.withColumn("reason", reason).drop("_n")
+
+
 def fold_rows(
     grid: DataFrame,
     *,
@@ -94,7 +122,10 @@ def seasonal_naive(
     def cols(w):
         return {f"_l{k}": F.lag(value, k).over(w) for k in lags}
 
-    d = sliding(grid, keys, pos, cols, back=max(lags), size=size)
+    # Only the test range and what its lags reach is read; the filter stands before the
+    # window, through which it could not be pushed.
+    near = grid.filter(F.col(pos) >= first_origin(n, horizon, folds) - max(lags))
+    d = sliding(near, keys, pos, cols, back=max(lags), size=size)
     d = fold_rows(d, pos=pos, n=n, horizon=horizon, folds=folds)
 
     def mean_of(ks):

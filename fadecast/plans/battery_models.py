@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from fadecast.operators.ordered import CHUNK, running, segments, sorted_positions
 from fadecast.operators.sequences import latest_window, sequences
+from fadecast.operators import score
 from fadecast.plans import gram
 from fadecast.session import checkpointed
 from fadecast.spec import BATTERY
@@ -236,6 +237,23 @@ def _arima_paths(rows, starts, models, key, targets, exog, need, size) -> DataFr
     )
 
 
+BLOCK = 64
+
+
+def ar1(phi: float, drive: np.ndarray) -> np.ndarray:
+    """d[i] = phi d[i-1] + drive[i] from d[-1] = 0, a block of rows at a time."""
+    n = len(drive)
+    blocks = np.zeros((-(-n // BLOCK), BLOCK))
+    blocks.ravel()[:n] = drive
+    lag = np.subtract.outer(np.arange(BLOCK), np.arange(BLOCK))
+    inside = blocks @ np.where(lag >= 0, phi ** np.maximum(lag, 0.0), 0.0).T
+    powers, state = phi ** np.arange(1.0, BLOCK + 1), 0.0
+    for b in inside:
+        b += powers * state
+        state = b[-1]
+    return inside.ravel()[:n]
+
+
 def _chunk_path(row, key, exog):
     """Path of one chunk from a zero state; nulls where there is no model."""
     ids = np.asarray(row.event_id)[int(row.own_from - row.start):]
@@ -259,10 +277,7 @@ def _chunk_path(row, key, exog):
         dy, pdx = np.diff(past_y), np.diff(past_x, axis=0)
         z = np.concatenate([dy[-2 : -2 - LONG_ORDER : -1], pdx[-1], pdx[-2]])
         drive[0] += phi * dy[-1] + theta * (dy[-1] - np.asarray(row.alpha, dtype=float) @ z)
-    d, state = np.empty(len(drive)), 0.0
-    for i, v in enumerate(drive):
-        state = phi * state + v
-        d[i] = state
+    d = ar1(phi, drive)
     return (*ident, phi, float(past_y[-1]), ids, np.cumsum(d), float(d[-1]))
 
 
@@ -304,16 +319,22 @@ def cycle_models(
 
 def _with_models(rows, models, x, targets, key):
     """Predictions of each row and target; null where the cycle has no model."""
-    names = F.array(*[F.lit(t) for t in targets])
-    long = rows.withColumn("target", F.explode(names)).withColumn(
-        "_step", F.array_position(names, F.col("target")).cast("long")
+    # The weights of all targets stand in one line per cycle, so each row meets them in
+    # one join and is multiplied by targets only after its inputs are gone. Skewed cycles
+    # are split by adaptive execution.
+    m = models.groupBy(key, "cycle").agg(
+        F.map_from_entries(F.collect_list(F.struct("step", "w"))).alias("_w")
     )
-    m = models.select(key, "cycle", F.col("step").alias("_step"), "w")
-    # Skewed cycles are split by adaptive execution, the models are one line
-    # per cycle and target.
-    return long.join(m, [key, "cycle", "_step"], "left").withColumn(
-        "yhat", F.when(F.col("w").isNotNull() & F.col(x).isNotNull(), gram.dot(x, "w"))
-    ).drop("_step", "w")
+
+    def one(k: int, t: str) -> Column:
+        w = F.try_element_at("_w", F.lit(k).cast("long"))
+        yhat = F.when(w.isNotNull() & F.col(x).isNotNull(), gram.dot(x, w))
+        return F.struct(F.lit(t).alias("target"), yhat.alias("yhat"))
+
+    done = rows.join(m, [key, "cycle"], "left").withColumn(
+        "_p", F.array(*[one(k, t) for k, t in enumerate(targets, start=1)])
+    )
+    return done.drop(x, "_w").select("*", F.inline("_p")).drop("_p")
 
 
 def additive_by_cycle(
@@ -504,6 +525,49 @@ def history_mean(
     return measured.select(key, "cycle", "event_id").join(h, [key, "cycle"], "left")
 
 
+# --- all models in one table
+
+
+def predictions(measured: DataFrame, *, key: str = "battery_id") -> DataFrame:
+    """``battery, target, model, cycle, step, event_id, yhat`` of every per-cycle model.
+
+    ``step`` counts the rows of a cycle from 1. A row that a model has no forecast for is
+    null; the first cycle is null for all. The next-capacity model forecasts step 1 only.
+    """
+    rows = numbered(measured, key)
+    starts = cycle_starts(rows, key)
+    place = rows.join(starts, [key, "cycle"]).select(
+        key, "cycle", "event_id", (F.col("pos") - F.col("cycle_start") + 1).cast("long").alias("step")
+    )
+    mean = history_mean(measured, key=key)
+    names = F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"yhat_{t}").alias("yhat")) for t in TARGETS])
+    by_row = {
+        "history mean": mean.select(key, "cycle", "event_id", F.inline(names)),
+        "additive": additive_by_cycle(measured, key=key),
+        "arimax": arimax_by_cycle(measured, key=key),
+        "horizon": capacity_horizon(measured, key=key),
+    }
+    shape = [key, "cycle", "event_id", "target", "yhat"]
+    out = None
+    for name, found in by_row.items():
+        one = found.select(*shape).withColumn("model", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    out = out.join(place, [key, "cycle", "event_id"])
+    first = capacity_next(measured, key=key).select(key, "cycle", "step", "target", "yhat")
+    first = first.join(place, [key, "cycle", "step"]).withColumn("model", F.lit("next value"))
+    return out.unionByName(first).select(key, "target", "model", "cycle", "step", "event_id", "yhat")
+
+
+def prediction_scores(found: DataFrame, measured: DataFrame, *, key: str = "battery_id") -> DataFrame:
+    """RMSE by target, model and cycle; null, with ``n_scored`` 0, where nothing was forecast."""
+    pairs = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("actual")) for t in TARGETS])
+    actual = measured.select("event_id", F.inline(pairs))
+    d = found.join(actual, ["event_id", "target"])
+    return score.errors(d, [key, "target", "model", "cycle"], partial=True).select(
+        key, "target", "model", "cycle", "n_points", "n_scored", "rmse"
+    )
+
+
 # --- models on the per-cycle features
 
 
@@ -524,12 +588,14 @@ def sequence_regression(
     models = gram.solve(gram.add_up(parts, [key]), [key], [penalty])
     last = latest_window(features, [key], "pos", "n", inputs, length)
     names = F.array(*[F.lit(t) for t in targets])
-    out = last.filter(F.size("x") == length).withColumn("x", F.flatten("x")).join(models, key)
     next_cycle = features.groupBy(key).agg((F.max("discharge_cycle_id") + 1).alias("discharge_cycle_id"))
-    return out.join(next_cycle, key).select(
-        key, "discharge_cycle_id", F.get(names, (F.col("step") - 1).cast("int")).alias("target"),
-        gram.dot("x", "w").alias("yhat"),
+    # Every battery and target has a row; without a whole window or a model it is null.
+    wanted = next_cycle.select("*", F.posexplode(names).alias("_k", "target")).withColumn(
+        "step", (F.col("_k") + 1).cast("long")
     )
+    x = last.filter(F.size("x") == length).withColumn("x", F.flatten("x"))
+    out = wanted.join(x, key, "left").join(models.drop("penalty_id"), [key, "step"], "left")
+    return out.select(key, "discharge_cycle_id", "target", gram.dot("x", "w").alias("yhat"))
 
 
 def boosted_trees(

@@ -21,7 +21,7 @@ from fadecast.functions import calendar
 from fadecast.operators import scale, series
 from fadecast.operators.ordered import segments
 from fadecast.plans import gram
-from fadecast.plans.backtest import FOLDS, HORIZON
+from fadecast.plans.backtest import FOLDS, HORIZON, covered
 from fadecast.session import checkpointed
 from fadecast.spec import SeriesSpec
 
@@ -187,7 +187,14 @@ def predict(
                 out += [(*head, row.n, *r) for r in design.origins(row, folds)]
             yield pd.DataFrame(out, columns=schema.names)
 
-    x = _segments(grid, model, keys, size).mapInPandas(run, schema)
+    # The windows before the origins and the steps after them, not the whole grid.
+    first, last = min(folds), max(folds)
+    origin_at = lambda f: F.col("n") - (model.folds - f) * model.horizon
+    near = grid.filter(
+        (F.col("pos") >= origin_at(first) - model.reach)
+        & (F.col("pos") < origin_at(last) + model.horizon)
+    )
+    x = _segments(near, model, keys, size).mapInPandas(run, schema)
     on = [*_scope(model, keys), "fold"]
     # Global coefficients number shapes x folds x penalties x steps, all of them
     # settings; per-series ones are left to Spark's size check.
@@ -274,14 +281,28 @@ def model_table(
     cols = {f"cal_{k}": v for k, v in calendar.cyclic(clock, calendar_names).items()}
     cols["cal_year"] = calendar.encode_year(clock)
     flags = {
-        f"is_{v}": (F.col(k) == v).cast("double")
+        f"is_{v}": k
         for k, listed in (static or {}).items()
         for v in listed
     }
-    scaled = scale.minmax_apply(raw, stats, keys, values, suffix="").withColumns(cols | flags)
+    scaled = scale.minmax_apply(raw, stats, keys, values, suffix="").withColumns(cols)
+    for k, listed in (static or {}).items():
+        scaled = series.one_hot(scaled, k, listed)
     return ModelTable(raw, scaled, stats, tuple(cols), tuple(flags), spec)
 
 
+def complete(predictions: DataFrame, table: ModelTable, model: WindowModel, folds: Sequence[int]) -> DataFrame:
+    """``unscaled`` predictions of one configuration for every series, fold and step.
+
+    A series too short for the model has rows with a null ``yhat`` and a ``reason``.
+    """
+    keys = list(table.spec.keys)
+    lengths = table.raw.groupBy(*keys).agg(F.max("n").alias("n"))
+    return covered(
+        predictions.drop("n"), lengths, keys, horizon=model.horizon, folds=model.folds, which=list(folds)
+    )
+
+
 def unscaled(predictions: DataFrame, table: ModelTable) -> DataFrame:
     """Forecasts in the target's own unit with their time stamps."""
     spec = table.spec

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +30,9 @@ def partial_sums(
 ) -> DataFrame:
     """Per task and label, the rows of [X'X | X'Y].
 
-    ``design`` turns one input row into labelled ``(label, X, Y)`` blocks. A task
-    holding many labels hands its sums on before they fill its memory.
+    ``design`` turns one input row into labelled ``(label, X, Y)`` blocks; lines with a
+    missing number do not take part. A task holding many labels hands its sums on before
+    they fill its memory.
     """
     names = [f.name for f in labels]
 
@@ -41,6 +42,11 @@ def partial_sums(
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 for label, X, Y in design(row):
+                    whole = np.isfinite(X).all(axis=1) & np.isfinite(Y).all(axis=1)
+                    if not whole.all():
+                        X, Y = X[whole], Y[whole]
+                    if not len(X):
+                        continue
                     part = X.T @ np.hstack([X, Y])
                     if label in held:
                         held[label] += part
@@ -72,7 +78,8 @@ def partial_sums_of_rows(
 ) -> DataFrame:
     """As ``partial_sums`` for a table with arrays ``x`` (no constant) and ``y``.
 
-    Rows whose ``x`` or ``y`` is null do not take part.
+    Rows whose ``x`` or ``y`` is null, or has an element that is null or no number, do not
+    take part.
     """
     names = list(labels)
     schema = T.StructType([*[df.schema[c] for c in names], *STRIPE])
@@ -96,7 +103,8 @@ def partial_sums_of_rows(
         if held:
             yield _emit(held, names)
 
-    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    whole = lambda v: v.isNotNull() & ~F.isnan(v)
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull() & F.forall(x, whole) & F.forall(y, whole))
     return rows.select(*names, x, y).mapInPandas(run, schema)
 
 
@@ -241,9 +249,12 @@ def solve_levels(
     return spread(sums, scope).groupBy(*scope).applyInPandas(run, schema)
 
 
-def dot(x: str, w: str, *, constant: bool = True) -> F.Column:
-    """w0 + w1 x1 + ... in the JVM; with ``constant`` the array x lacks the 1."""
-    xs = F.concat(F.array(F.lit(1.0)), F.col(x)) if constant else F.col(x)
-    return F.aggregate(
-        F.zip_with(xs, F.col(w), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v
-    )
+def dot(x: str | Column, w: str | Column, *, constant: bool = True) -> Column:
+    """w0 + w1 x1 + ... in the JVM; with ``constant`` the array x lacks the 1.
+
+    Null if an element is null or no number.
+    """
+    x, w = (F.col(c) if isinstance(c, str) else c for c in (x, w))
+    xs = F.concat(F.array(F.lit(1.0)), x) if constant else x
+    total = F.aggregate(F.zip_with(xs, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    return F.nullif(total, F.lit(float("nan")))

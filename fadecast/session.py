@@ -39,6 +39,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    # Sums of vectors are object aggregates; their buffers are small beside a task's memory.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
     return spark
 
 

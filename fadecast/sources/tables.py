@@ -56,10 +56,11 @@ def electricity_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def electricity_future(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known covariates of the day after the history; no target."""
-    start = F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
+    past = electricity(spark, sf_dir)
+    last = past.groupBy("unique_id").agg(F.date_trunc("day", F.max("ds")).cast("timestamp_ntz").alias("_day"))
     return (
-        electricity(spark, sf_dir)
-        .filter(F.col("ds") >= start)
+        past.join(last, "unique_id")
+        .filter(F.col("ds") >= F.col("_day"))
         .select(
             "unique_id",
             (F.col("ds") + F.expr("INTERVAL '1' DAY")).alias("ds"),
