@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -21,6 +22,7 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         b = b.config(k, v)
@@ -65,9 +67,29 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_made: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder for one written table."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder for one written table.
+
+    What is written there is deleted when the driver's process ends.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _made:
+        # Registered while the gateway runs, so it is called before the gateway is closed.
+        atexit.register(_forget, spark.sparkContext._gateway.jvm)
+    _made.append(path)
+    return path
+
+
+def _forget(jvm) -> None:
+    for name in _made:
+        try:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        except Exception:  # the driver's JVM is gone, or its store is: nothing left to do
+            return
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
