@@ -158,10 +158,26 @@ def acf(spark, sf):
     return a.select("unique_id", "lag", r6("r").alias("r"), r6("band").alias("band"))
 
 
-@query(None)
+# Durbin-Levinson: phi holds the k coefficients of order k, r[1] is lag 0.
+_PACF = """rs AS (SELECT unique_id, list(r ORDER BY lag) AS r, max(n) AS n FROM ac GROUP BY unique_id),
+rec AS (
+  SELECT unique_id, n, r, 1 AS k, r[2] AS v, [r[2]] AS phi FROM rs
+  UNION ALL
+  SELECT unique_id, n, r, k + 1, v, list_append([phi[i] - v * phi[k + 1 - i] FOR i IN range(1, k + 1)], v)
+  FROM (SELECT unique_id, n, r, k, phi,
+               (r[k + 2] - list_dot_product(phi, list_reverse(r[2:k + 1]))) / (1 - list_dot_product(phi, r[2:k + 1])) AS v
+        FROM rec WHERE k + 2 <= len(r)))"""
+
+
+@query(
+    ctes(ELEC, GRID, _ACF, _PACF).replace("WITH ", "WITH RECURSIVE ", 1)
+    + f"""SELECT unique_id, CAST(k AS BIGINT) AS lag, {q6('v')} AS pacf, {q6(f'{diagnose.Z95!r} / sqrt(n)')} AS band FROM rec
+UNION ALL SELECT unique_id, 0, 1, 0 FROM rs"""
+)
 def pacf(spark, sf):
     a = diagnose.acf(hourly_grid(spark, sf), ["unique_id"], "y0")
-    return diagnose.pacf(a, ["unique_id"])
+    p = diagnose.pacf(a, ["unique_id"])
+    return p.select("unique_id", "lag", r6("pacf").alias("pacf"), r6("band").alias("band"))
 
 
 @query(
