@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -101,29 +102,25 @@ def _lines_of(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, int, s
 _LINES = "doc_id long, text_key long, line_no int, key binary"
 
 
-def _keyed(with_bands: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, at, lines = [], [], []
-            for i, k, line in _lines_of(batch, 2):
-                rows.append(i)
-                at.append(k)
-                lines.append(line)
-            i = pa.array(rows, pa.int64())
-            columns = [
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, at, lines = [], [], []
+        for i, k, line in _lines_of(batch, 2):
+            rows.append(i)
+            at.append(k)
+            lines.append(line)
+        i = pa.array(rows, pa.int64())
+        flat = pa.array(bands(lines).view(np.int64).ravel())
+        yield pa.RecordBatch.from_arrays(
+            [
                 batch.column(0).take(i),
                 batch.column(1).take(i),
                 pa.array(at, pa.int32()),
                 pa.array([line_key(x) for x in lines], pa.binary()),
-            ]
-            names = ["doc_id", "text_key", "line_no", "key"]
-            if with_bands:
-                flat = pa.array(bands(lines).view(np.int64).ravel())
-                columns.append(pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * BANDS, pa.int32()), flat))
-                names.append("bands")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return run
+                pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * BANDS, pa.int32()), flat),
+            ],
+            names=["doc_id", "text_key", "line_no", "key", "bands"],
+        )
 
 
 def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
@@ -138,19 +135,36 @@ def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wanted lines of each text."""
     for batch in batches:
-        lines = [x for _, _, x in _lines_of(batch, 0)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([line_key(x) for x in lines], pa.binary()), pa.array(lines, pa.string())], names=["key", "line"]
-        )
+        keys, lines = [], []
+        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parts = text.split("\n")
+            for w in wanted:
+                keys.append(w["key"])
+                lines.append(normal(parts[w["line_no"]]))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lines, pa.string())], names=["key", "line"])
+
+
+HELD_LINES = 4096  # lines whose shingles a task keeps at hand
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @lru_cache(HELD_LINES)
+    def shingle_set(line: str) -> np.ndarray:
+        return np.unique(char_shingles(line))
+
     for b in batches:
         ok = []
         for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-            x, y = np.unique(char_shingles(x)), np.unique(char_shingles(y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
+            x, y = shingle_set(x), shingle_set(y)
+            if len(x) > len(y):
+                x, y = y, x
+            both = 0
+            if 100 * len(x) >= PERCENT * len(y):  # else their sizes alone keep them apart
+                at = np.searchsorted(y, x)
+                at[at == len(y)] = 0
+                both = int((y[at] == x).sum())
             ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         mask = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["a", "b"])
@@ -164,9 +178,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     place = F.struct("doc_id", "line_no", "text_key")
+    lines = common.written(keyed.mapInArrow(_keyed, f"{_LINES}, bands array<bigint>"), "all-lines")
     distinct = common.written(
-        keyed.mapInArrow(_keyed(True), f"{_LINES}, bands array<bigint>")
-        .groupBy("key")
+        lines.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"), F.first("bands").alias("bands")),
         "lines",
     )
@@ -181,8 +195,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     pairs = close_pairs(ordered, "key_a binary, key_b binary", _same_band, NEAR, "close-lines", region="band")
     pairs = common.written(pairs.dropDuplicates(), "line-pairs")
     wanted = pairs.select(F.col("key_a").alias("key")).union(pairs.select("key_b")).distinct()
-    texts = keyed.select("text").mapInArrow(_texts, "key binary, line string")
-    texts = common.written(texts.join(common.sized(wanted), "key", "left_semi").dropDuplicates(["key"]), "line-texts")
+    # Each wanted line is read where it stands first.
+    there = distinct.select("key", "place").join(common.sized(wanted), "key", "left_semi")
+    there = there.groupBy("place.doc_id", "place.text_key").agg(
+        F.collect_list(F.struct("key", F.col("place.line_no").alias("line_no"))).alias("wanted")
+    )
+    texts = keyed.join(common.sized(there, width=300), ["doc_id", "text_key"]).select("text", "wanted")
+    texts = common.written(texts.mapInArrow(_texts, "key binary, line string").dropDuplicates(["key"]), "line-texts")
     links = (
         pairs.join(texts.toDF("key_a", "line_a"), "key_a")
         .join(texts.toDF("key_b", "line_b"), "key_b")
@@ -199,7 +218,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     stays = member.groupBy("root").agg(F.min("place").alias("stays"))
     fate = member.select("key", "root").join(stays, "root").select("key", "stays")
     return (
-        keyed.mapInArrow(_keyed(False), _LINES)
+        lines.select("doc_id", "text_key", "line_no", "key")
         .join(fate, "key")
         .filter(place != F.col("stays"))
         .select("doc_id", "text_key", "line_no")
