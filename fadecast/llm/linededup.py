@@ -103,15 +103,10 @@ _LINES = "doc_id long, text_key long, line_no int, key binary"
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, at, lines = [], [], []
-        for i, k, line in _lines_of(batch, 2):
-            rows.append(i)
-            at.append(k)
-            lines.append(line)
+    def emit(batch, rows, at, lines):
         i = pa.array(rows, pa.int64())
         flat = pa.array(bands(lines).view(np.int64).ravel())
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(i),
                 batch.column(1).take(i),
@@ -122,6 +117,19 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "text_key", "line_no", "key", "bands"],
         )
 
+    for batch in batches:
+        rows, at, lines, size = [], [], [], 0
+        for i, k, line in _lines_of(batch, 2):
+            rows.append(i)
+            at.append(k)
+            lines.append(line)
+            size += len(line)
+            if size > 4 * common.CHUNK:
+                yield emit(batch, rows, at, lines)
+                rows, at, lines, size = [], [], [], 0
+        if lines:
+            yield emit(batch, rows, at, lines)
+
 
 def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
     band = rows["band"].to_numpy()
@@ -146,14 +154,17 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lines, pa.string())], names=["key", "line"])
 
 
-HELD_LINES = 4096  # lines whose shingles a task keeps at hand
+HELD_LINES, HELD_CHARS = 4096, 4096  # lines whose shingles a task keeps at hand, and their longest
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     @lru_cache(HELD_LINES)
-    def shingle_set(line: str) -> np.ndarray:
+    def held(line: str) -> np.ndarray:
         return np.unique(char_shingles(line))
 
+    def shingle_set(line: str) -> np.ndarray:
+        return held(line) if len(line) <= HELD_CHARS else np.unique(char_shingles(line))
+
     for b in batches:
         ok = []
         for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
