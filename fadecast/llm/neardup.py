@@ -31,8 +31,9 @@ PERMS = 64  # hash functions of a signature
 TREES = 10  # sorted orders
 STEP = 6  # an order starts so many hash functions after the one before
 DEPTH = 8  # hash values that an order sorts by
-NEAR = 3  # neighbours on each side
-HUBS = 6  # hubs of a crowded region
+NEAR = 6  # neighbours on each side
+CROWDED = 6  # rows above which a region has hubs
+HUBS = 8  # hubs of a crowded region
 ROWS = 4000  # rows of an order that a task should at least have
 
 _rng = np.random.default_rng(811)
@@ -154,15 +155,17 @@ def candidates(sets: DataFrame, n: int, similarity: float) -> DataFrame:
         sig.substr(F.col("t") * (STEP * 4) + 1, F.lit(DEPTH * 4)).alias("ord"),
         "key",
         "rep",
-        "low",
+        # The low bytes of all hash values, from where the order's own prefix ends: rows with
+        # one prefix are sorted on by them, through the whole signature.
+        F.concat("low", "low").substr((F.col("t") * STEP + DEPTH) % PERMS + 1, F.lit(PERMS)).alias("low"),
     )
     spread = max(1, min(common.partitions(sets), n * TREES // ROWS))
-    ordered = trees.repartitionByRange(spread, "t", "ord", "key").sortWithinPartitions("t", "ord", "key")
+    ordered = trees.repartitionByRange(spread, "t", "ord", "low", "key").sortWithinPartitions("t", "ord", "low", "key")
     near = close_pairs(ordered.withColumn("rank", F.monotonically_increasing_id()), _PAIR, _pairs(floor), NEAR, "neighbours")
     # Unrelated sets share a hash value about once in fifty; at this depth they meet by chance no more.
     depth = min(DEPTH, max(3, math.ceil(math.log(max(n, 2)) / math.log(50))))
     narrow = trees.select("t", F.col("ord").substr(1, depth * 4).alias("region"), "key", "rep", "low")
-    crowded = narrow.groupBy("t", "region").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 2 * NEAR)
+    crowded = narrow.groupBy("t", "region").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWDED)
     dense = common.written(narrow.join(crowded, ["t", "region"]), "regions")
     common_ness = dense.groupBy("key").agg(F.sum(F.log2("c")).alias("score"))
     # Several hubs a region, each from a part of its sets that differs by order.
