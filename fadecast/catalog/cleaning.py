@@ -167,18 +167,19 @@ def discharge_cycle_id(spark, sf):
 @query(
     ctes(ELEC, GRID, SCORED)
     + """SELECT config_id, CAST(batch_size AS BIGINT) AS batch_size, CAST(depth AS BIGINT) AS depth,
-       CAST(season AS BIGINT) AS season, CAST(floor(rmse) AS BIGINT) AS rmse_whole,
+       CAST(season AS BIGINT) AS season, -CAST(floor(rmse) AS BIGINT) AS rmse_whole,
        CAST(config_id AS VARCHAR) AS config_name FROM scored"""
 )
 def cast_params(spark, sf):
     s = scored(spark, sf).withColumns({n: F.col(n).cast("double") for n in GRID_PARAMS.names})
-    s = search.cast_params(s.withColumn("rmse_whole", F.col("rmse")), [*GRID_PARAMS.names, "rmse_whole"])
+    s = search.cast_params(s.withColumn("rmse_whole", -F.col("rmse")), [*GRID_PARAMS.names, "rmse_whole"])
     return s.withColumn("config_name", F.col("config_id").cast("string")).drop("rmse")
 
 
 @query("SELECT DISTINCT event_type AS unique_id FROM events")
 def distinct_ids(spark, sf):
-    return tables.electricity(spark, sf).select("unique_id").distinct().orderBy("unique_id")
+    ids = tables.load(spark, sf, "events").select(F.col("event_type").alias("unique_id"))
+    return ids.distinct().orderBy("unique_id")
 
 
 @query(

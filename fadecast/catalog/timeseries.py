@@ -321,13 +321,19 @@ def scale_apply(spark, sf):
     return s.select("unique_id", "ds", *[r6(f"{c}_scaled").alias(f"{c}_scaled") for c in _X])
 
 
-@query(ctes(ELEC) + f"SELECT unique_id, ds, {q6('y')} AS y_back FROM elec")
+@query(
+    ctes(ELEC)
+    + f"""SELECT unique_id, ds, {q6('max(y) OVER w + min(y) OVER w - y')} AS y_back
+FROM elec WINDOW w AS (PARTITION BY unique_id)"""
+)
 def scale_inverse(spark, sf):
+    """A forecast on the scaled axis (the mirrored series) in the target's own unit."""
     e = tables.electricity(spark, sf).select("unique_id", "ds", "y")
     st = scale.minmax_stats(e, ["unique_id"], ["y"])
     s = scale.minmax_apply(e, st, ["unique_id"], ["y"])
-    s = scale.minmax_invert(s, st, ["unique_id"], {"y_scaled": "y"})
-    return s.select("unique_id", "ds", r6("y_scaled_raw").alias("y_back"))
+    s = s.withColumn("forecast", 1 - F.col("y_scaled"))
+    s = scale.minmax_invert(s, st, ["unique_id"], {"forecast": "y"})
+    return s.select("unique_id", "ds", r6("forecast_raw").alias("y_back"))
 
 
 _TRAIN = "pos < n - 240"
