@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from fadecast.catalog.base import DISCHARGE, USERS, ctes, q6, r6
+from fadecast.catalog.base import DISCHARGE, ELEC, GRID, USERS, ctes, q6, r6
 from fadecast.operators import score, series
 from fadecast.plans import backtest, battery_models, forecast, search
 from fadecast.plans.battery_features import numbered_features
@@ -31,10 +31,10 @@ def query(sql=None):
     return add
 
 
-def _table(spark, sf, static=False):
+def _table(spark, sf, static=False, **kw):
     hist, fut = tables.electricity(spark, sf), tables.electricity_future(spark, sf)
     flags = {"unique_id": series.known_values(hist, "unique_id")} if static else None
-    return forecast.model_table(hist, fut, ELECTRICITY, static=flags)
+    return forecast.model_table(hist, fut, ELECTRICITY, static=flags, **kw)
 
 
 def _local(table):
@@ -82,6 +82,13 @@ def backtest_window(spark, sf):
     return _scores(t, _run(t, _local(t), range(10)))
 
 
+@query()
+def backtest_window_train_scope(spark, sf):
+    """As ``backtest_window``, with a scaler that has not seen the test folds."""
+    t = _table(spark, sf, fit_scope="train")
+    return _scores(t, _run(t, _local(t), range(10)))
+
+
 @query()
 def backtest_global(spark, sf):
     """Rolling-origin error of the global forecaster."""
@@ -89,6 +96,43 @@ def backtest_global(spark, sf):
     return _scores(t, _run(t, _global(t), range(10)))
 
 
+# One lag and no covariates: ridge on a standardised input has a closed form.
+_ONE_LAG = """mm AS (SELECT unique_id, min(y0) AS lo, max(y0) AS hi FROM grid GROUP BY unique_id),
+s AS (SELECT g.unique_id, g.pos, g.n, (g.y0 - lo) / (hi - lo) AS s, lo, hi FROM grid g JOIN mm ON g.unique_id = mm.unique_id),
+win AS (
+  SELECT a.unique_id, a.pos, a.n, b.pos - a.pos AS step, a.s AS x, b.s AS y
+  FROM s a JOIN s b ON a.unique_id = b.unique_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 24),
+fit AS (
+  SELECT win.unique_id, f.f AS fold, step, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / (var_pop(x) * (1 + 0.5e0)) AS w
+  FROM win JOIN range(11) f(f) ON win.pos + 24 <= win.n - (10 - f.f) * 24 - 1 GROUP BY ALL)"""
+
+
+@query(
+    ctes(ELEC, GRID, _ONE_LAG)
+    + f"""SELECT fit.unique_id, CAST(fold AS BIGINT) AS fold, CAST(step AS BIGINT) AS step,
+  {q6('(my + w * (s.s - mx)) * (hi - lo) + lo')} AS yhat
+FROM fit JOIN s ON s.unique_id = fit.unique_id AND s.pos = s.n - (10 - fold) * 24 - 1"""
+)
+def backtest_one_lag(spark, sf):
+    """Every fold and the final forecast of a one-lag model per series."""
+    t = forecast.model_table(tables.electricity(spark, sf), None, ELECTRICITY)
+    model = WindowModel(local=True, inputs=((1, 1),), penalties=(0.5,))
+    return _run(t, model, range(11)).select("unique_id", "fold", "step", r6("yhat").alias("yhat"))
+
+
+@query(
+    ctes(ELEC, GRID, _ONE_LAG.replace("fit AS (\n  SELECT win.unique_id,", "fit AS (\n  SELECT").replace("GROUP BY ALL", "GROUP BY f.f, step"))
+    + f"""SELECT s.unique_id, CAST(fold AS BIGINT) AS fold, CAST(step AS BIGINT) AS step,
+  {q6('(my + w * (s.s - mx)) * (hi - lo) + lo')} AS yhat
+FROM fit JOIN s ON s.pos = s.n - (10 - fold) * 24 - 1"""
+)
+def backtest_one_lag_global(spark, sf):
+    """The same with one model for all series."""
+    t = forecast.model_table(tables.electricity(spark, sf), None, ELECTRICITY)
+    model = WindowModel(inputs=((1, 1),), penalties=(0.5,))
+    return _run(t, model, range(11)).select("unique_id", "fold", "step", r6("yhat").alias("yhat"))
+
+
 SEARCH = search.ParamGrid(
     {
         "input_chunk_length": [48, 96, 172],
@@ -149,6 +193,26 @@ def forecast_future(spark, sf):
     return p.select("unique_id", "ds", "step", "config_id", F.col("yhat").alias("forecast"))
 
 
+@query()
+def tuned_forecast(spark, sf):
+    """Search, store the best parameters, read them back, merge the fixed ones, refit, forecast."""
+    best = score.best_first(_search(spark, sf)[0], "rmse", ["config_id"])
+    names = ["config_id", *SEARCH.names, "rmse"]
+    stored = search.store_and_reload(spark, search.wide(search.tall(best, names), names), "best-params")
+    stored = search.cast_params(stored, ["config_id", "input_chunk_length", "covariate_lags"])
+    (params,) = [r.asDict() for r in search.merge_params(stored, {"horizon": 24}).collect()]  # one row
+    table = _table(spark, sf, static=True)
+    model = _global(
+        table,
+        inputs=((params["input_chunk_length"], params["covariate_lags"]),),
+        penalties=(params["ridge"],),
+        horizon=params["horizon"],
+    )
+    rows = _run(table, model, [model.folds])
+    config = F.lit(params["config_id"]).cast("long").alias("config_id")
+    return rows.select("unique_id", "ds", "step", config, F.col("yhat").alias("forecast"))
+
+
 def _importance(spark, sf, by):
     t = _table(spark, sf, static=True)
     return forecast.importance(t.grid, KEYS, _global(t), by).select(by, "loss_rise")

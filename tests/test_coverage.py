@@ -116,3 +116,14 @@ def test_all_models_in_one_table(spark, measured):  # noqa: F811
     assert by == {"history mean": 2 * n, "additive": 2 * n, "arimax": 2 * n, "horizon": n, "next value": cycles}
     s = battery_models.prediction_scores(found, measured)
     assert s.filter("n_scored = 0 and rmse is null").count() > 0
+
+
+def test_a_stored_and_reloaded_choice_forecasts_the_same(spark):
+    from fadecast.catalog.models import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    one, two = (
+        {(r["unique_id"], r["ds"], r["config_id"]): r["forecast"] for r in QUERIES[q](spark, sf).collect()}
+        for q in ("forecast_future", "tuned_forecast")
+    )
+    assert one.keys() == two.keys() and all(abs(v - two[k]) < 1e-6 for k, v in one.items())
