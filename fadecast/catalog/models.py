@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from fadecast.catalog.base import DISCHARGE, ELEC, GRID, USERS, ctes, q6, r6
+from fadecast.catalog.base import DISCHARGE, ELEC, FEATURES, GRID, USERS, ctes, q6, r6
 from fadecast.operators import score, series
 from fadecast.plans import backtest, battery_models, forecast, search
 from fadecast.plans.battery_features import numbered_features
@@ -103,7 +103,7 @@ win AS (
   SELECT a.unique_id, a.pos, a.n, b.pos - a.pos AS step, a.s AS x, b.s AS y
   FROM s a JOIN s b ON a.unique_id = b.unique_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 24),
 fit AS (
-  SELECT win.unique_id, f.f AS fold, step, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / (var_pop(x) * (1 + 0.5e0)) AS w
+  SELECT win.unique_id, f.f AS fold, step, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS c, covar_pop(x, y) / (var_pop(x) * (1 + 0.5e0)) AS w
   FROM win JOIN range(11) f(f) ON win.pos + 24 <= win.n - (10 - f.f) * 24 - 1 GROUP BY ALL)"""
 
 
@@ -230,6 +230,26 @@ def lag_importance(spark, sf):
     return _importance(spark, sf, "lag")
 
 
+_RISE = ctes(ELEC, GRID, _ONE_LAG.replace("fit AS (\n  SELECT win.unique_id,", "fit AS (\n  SELECT").replace("GROUP BY ALL", "GROUP BY f.f, step"))
+
+
+def _one_lag_importance(spark, sf, by):
+    t = forecast.model_table(tables.electricity(spark, sf), None, ELECTRICITY)
+    rows = forecast.importance(t.grid, KEYS, WindowModel(inputs=((1, 1),), penalties=(0.5,)), by)
+    return rows.select(by, r6("loss_rise").alias("loss_rise"))
+
+
+@query(_RISE + f"SELECT 'y' AS variable, {q6('sum(2 * w * c)')} AS loss_rise FROM fit WHERE fold = 10")
+def feature_importance_one_lag(spark, sf):
+    """Permuting the only input costs twice weight times covariance, summed over steps."""
+    return _one_lag_importance(spark, sf, "variable")
+
+
+@query(_RISE + f"SELECT CAST(0 AS BIGINT) AS lag, {q6('sum(2 * w * c)')} AS loss_rise FROM fit WHERE fold = 10")
+def lag_importance_one_lag(spark, sf):
+    return _one_lag_importance(spark, sf, "lag")
+
+
 def _features(spark, sf):
     return numbered_features(tables.discharge(spark, sf))
 
@@ -246,6 +266,26 @@ def sequence_regression(spark, sf):
     return battery_models.sequence_regression(_features(spark, sf), FEATS, TARGETS, 3)
 
 
+_PAIRS = ", ".join(f"b.{t} AS y_{t}" for t in TARGETS)
+_FITS = " UNION ALL ".join(
+    f"""SELECT battery_id, '{t}' AS target, avg(x) AS mx, avg(y_{t}) AS my,
+  covar_pop(x, y_{t}) / (var_pop(x) * (1 + 0.01e0)) AS w FROM pairs GROUP BY battery_id"""
+    for t in TARGETS
+)
+
+
+@query(
+    ctes(DISCHARGE, FEATURES, f"""pairs AS (
+  SELECT a.battery_id, a.time_total AS x, {_PAIRS} FROM featp a JOIN featp b ON a.battery_id = b.battery_id AND b.pos = a.pos + 1)""", f"fit AS ({_FITS})")
+    + f"""SELECT fit.battery_id, last.discharge_cycle_id + 1 AS discharge_cycle_id, target, {q6('my + w * (last.time_total - mx)')} AS yhat
+FROM fit JOIN featp last ON last.battery_id = fit.battery_id AND last.pos = last.n - 1"""
+)
+def sequence_regression_one(spark, sf):
+    """Next cycle from one value of the last one: the closed form of the sequence model."""
+    rows = battery_models.sequence_regression(_features(spark, sf), ("time_total",), TARGETS, 1)
+    return rows.withColumn("yhat", r6("yhat"))
+
+
 @query()
 def arimax_by_cycle(spark, sf):
     return battery_models.arimax_by_cycle(tables.discharge(spark, sf))
