@@ -22,20 +22,36 @@ GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def words(text: Column | str) -> Column:
-    parts = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), GAP)
-    return F.filter(parts, lambda x: x != "")
+# The same gaps where A-Z still stand.
+RAW_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case and nothing else; texts of ASCII alone take the fast way."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def words(text: str) -> Column:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return F.array_remove(F.split(lower_ascii(whole), GAP), "")
+
+
+def n_words(text: str) -> Column:
+    return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(RAW_WORD)).cast("long")
 
 
 def _key(text: Column | str) -> Column:
     return F.unhex(F.md5(text))
 
 
-def _shingles(w: Column, size: int) -> Column:
-    """Hashes of the runs of ``size`` words of the array ``w``, in order."""
-    at = F.sequence(F.lit(1), F.size(w) - (size - 1))
-    runs = F.transform(at, lambda i: F.xxhash64(*(F.get(w, i + (k - 1)) for k in range(size))))
-    return F.when(F.size(w) >= size, runs).otherwise(F.array().cast("array<bigint>"))
+def _shingled(df: DataFrame, w: str, size: int, at: str, *keep: str) -> DataFrame:
+    """``keep``, the place ``at`` and the ``token`` (hash) of each run of ``size`` words of the
+    array ``w``. The runs are shifted copies of the array side by side, so that no lambda is
+    called per word."""
+    n = F.greatest(F.size(w) - (size - 1), F.lit(0))
+    shifted = F.arrays_zip(*(F.slice(w, k + 1, n).alias(f"s{k}") for k in range(size)))
+    rows = df.select(*keep, F.posexplode(shifted).alias(at, "run"))
+    return rows.select(*keep, at, F.xxhash64(*(F.col(f"run.s{k}") for k in range(size))).alias("token"))
 
 
 def windows(items: DataFrame) -> DataFrame:
@@ -48,11 +64,9 @@ def windows(items: DataFrame) -> DataFrame:
 def _occurrences(docs: DataFrame, sizes: list[int]) -> DataFrame:
     """``text_key, n, size, pos, token`` of all shingles of the given sizes."""
     out = None
+    w = docs.select(_key("text").alias("text_key"), words("text").alias("w")).withColumn("n", F.size("w"))
     for k in sizes:
-        w = docs.select(_key("text").alias("text_key"), words("text").alias("w"))
-        # Arrays are computed beside the text, not carried along with every exploded row.
-        t = w.select("text_key", F.size("w").alias("n"), F.posexplode(_shingles(F.col("w"), k)).alias("pos", "token"))
-        t = t.withColumn("size", F.lit(k))
+        t = _shingled(w, "w", k, "pos", "text_key", "n").withColumn("size", F.lit(k))
         out = t if out is None else out.unionByName(t)
     return out
 
@@ -62,13 +76,17 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     ``found`` lists ``start`` (from 0) and ``win``."""
     win = common.written(windows(items).select("win").distinct(), "windows")
     size = F.least(F.size("win"), F.lit(SHINGLE))
-    parts = [win.filter(size == k).select("win", F.lit(k).alias("size"), F.posexplode(_shingles(F.col("win"), k)).alias("offset", "token")) for k in range(1, SHINGLE + 1)]
+    parts = [
+        _shingled(win.filter(size == k), "win", k, "offset", "win").withColumn("size", F.lit(k))
+        for k in range(1, SHINGLE + 1)
+    ]
     tokens = parts[0].unionByName(parts[1]).unionByName(parts[2])
     sizes = sorted(r[0] for r in tokens.select("size").distinct().collect())  # SHINGLE values at most
     texts = docs.select("text").filter("text is not null")
-    seen = _occurrences(texts, sizes or [SHINGLE])
+    # One pass over the corpus: where any shingle of the benchmark occurs.
     known = common.sized(tokens.select("token", "size").distinct())
-    counts = seen.join(known, ["token", "size"]).groupBy("token", "size").agg(F.count(F.lit(1)).alias("seen"))
+    seen = common.written(_occurrences(texts, sizes or [SHINGLE]).join(known, ["token", "size"]), "occurrences")
+    counts = seen.groupBy("token", "size").agg(F.count(F.lit(1)).alias("seen"))
     ranked = tokens.join(counts, ["token", "size"], "left").fillna(0, ["seen"])
     # A window whose rarest shingle never occurs can be nowhere.
     prefix = (
@@ -120,7 +138,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
     )
     result = n_hit.join(by_item, "text_key", "left").withColumnRenamed("text_key", "k")
-    rows = docs.select("doc_id", _key("text").alias("text_key"), F.size(words("text")).cast("long").alias("n_words"))
+    rows = docs.select("doc_id", _key("text").alias("text_key"), n_words("text").alias("n_words"))
     out = rows.join(result, rows.text_key == F.col("k"), "left")
     return out.select(
         "doc_id",
