@@ -20,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
     "op5_warc_segments": warc.ORACLE,
+    "op8_minhash_forest": neardup.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
 }

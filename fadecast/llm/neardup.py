@@ -290,3 +290,30 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id."""
     kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
     return docs.filter("doc_id is null").unionByName(docs.join(kept, "doc_id", "left_semi"))
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x20\\x09-\\x0D]+')"
+)
+
+ORACLE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(list_slice(w, i, i + 2), ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT x, y FROM shared JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, root) AS (
+  SELECT x, x FROM (SELECT DISTINCT x FROM edge)
+  UNION
+  SELECT e.x, r.root FROM reach r JOIN edge e ON e.y = r.doc_id WHERE r.root < e.x),
+least AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, coalesce(root, d.doc_id) AS component_id,
+       coalesce(root, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN least ON least.doc_id = d.doc_id
+"""
