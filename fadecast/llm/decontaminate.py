@@ -156,8 +156,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    bad = hits(docs, common.table(spark, sf_dir, "benchmark")).select(F.col("text_key").alias("_bad"))
-    return docs.join(common.sized(bad), _key("text") == F.col("_bad"), "left_anti")
+    bad = hits(docs, common.table(spark, sf_dir, "benchmark")).select(F.col("text_key").alias("hit text"))
+    return docs.join(common.sized(bad), _key("text") == F.col("hit text"), "left_anti")
 
 
 _W = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -245,10 +245,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     the same lines. An empty table gives an empty table. Other columns pass through.
     """
     gone = removed_lines(docs).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("removed_lines"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key"), "removed_lines")
+    gone = gone.toDF("gone id", "gone text", "removed_lines")
+    docs = docs.drop("removed_lines")
     return docs.join(
-        gone, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_text_key")), "left"
-    ).drop("_id", "_text_key")
+        gone, (F.col("doc_id") == F.col("gone id")) & (F.xxhash64("text") == F.col("gone text")), "left"
+    ).drop("gone id", "gone text")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,11 +269,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near copies of lines leave the texts; a document that has no line left goes."""
     names = docs.columns
-    out = dedup_lines(docs)
+    held = {c: f"held {c}" for c in names if c == "removed_lines"}
+    out = dedup_lines(docs.withColumnsRenamed(held))
     rest = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("removed_lines"), i))
     text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    out = out.withColumn("_left", text).filter(F.col("removed_lines").isNull() | (F.trim("_left") != ""))
-    size = F.when(F.col("removed_lines").isNull(), F.col("n_chars")).otherwise(F.length("_left")).cast("long")
-    return out.select(
-        *(F.col("_left").alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(c) for c in names)
-    )
+    out = out.withColumn("text left", text).filter(F.col("removed_lines").isNull() | (F.trim("text left") != ""))
+    fresh = {"text": F.col("text left")}
+    if "n_chars" in names:
+        same = F.col("removed_lines").isNull()
+        fresh["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length("text left")).cast("long")
+    return out.select(*(fresh.get(c, F.col(f"`{held.get(c, c)}`")).alias(c) for c in names))

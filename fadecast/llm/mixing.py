@@ -172,14 +172,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix with ``leaf`` and ``copies``."""
+    """The documents of the mix with ``leaf`` and ``copies``, which replace columns of those names."""
     plain = docs.select("doc_id", "text", "lang", "source").withColumn("domain", domain_of(F.col("source")))
     chosen = mix(plain, WEIGHTS).filter("copies > 0").select("doc_id", "leaf", "copies").distinct()
-    chosen = chosen.toDF("_id", "_leaf", "_copies")
+    chosen = chosen.toDF("chosen id", "chosen leaf", "chosen copies")
     names = [F.coalesce(c.cast("string"), F.lit(NONE)) for c in (domain_of(F.col("source")), F.col("lang"), F.col("source"))]
-    out = docs.withColumn("_path", F.concat_ws("/", *names))
-    out = out.join(common.sized(chosen, width=100), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_path") == F.col("_leaf")))
-    return out.select(*docs.columns, F.col("_leaf").alias("leaf"), F.col("_copies").alias("copies"))
+    same = F.col("doc_id").eqNullSafe(F.col("chosen id")) & (F.concat_ws("/", *names) == F.col("chosen leaf"))
+    out = docs.join(common.sized(chosen, width=100), same)
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("leaf", "copies")]
+    return out.select(*own, F.col("chosen leaf").alias("leaf"), F.col("chosen copies").alias("copies"))
 
 
 _VALUES = ", ".join(f"('{k}', {v})" for k, v in WEIGHTS.items())

@@ -164,23 +164,27 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; boilerplate lines leave the texts of the others."""
-    d = docs.withColumn("_key", _key("text"))
-    names = docs.columns
-    measured = d.select(*names, "_key", F.col("text").alias("_text")).mapInArrow(
-        _base, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_key binary", _BASE])
-    )
-    measured = measured.filter(~base_failed())
+    """Rejected documents go; boilerplate lines leave the texts of the others.
+
+    All columns of ``docs`` pass through, whatever their names.
+    """
+    # The columns travel under numbers, so that none clashes with a measure.
+    held = [F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(docs.columns)]
+    at = {c: f"_c{k}" for k, c in enumerate(docs.columns)}
+    kinds = [f"_c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema)]
+    measured = docs.select(*held, _key("text").alias("_key"), F.col("text").alias("_text"))
+    measured = measured.mapInArrow(_base, ", ".join([*kinds, "_key binary", _BASE])).filter(~base_failed())
     poor = boilerplate(docs.select(F.col("source").alias("host"), "text"))
     poor = poor.select(F.col("host").alias("_host"), F.col("text_key").alias("_poor"), "removed", "lost_words")
-    out = measured.join(poor, F.col("source").eqNullSafe(F.col("_host")) & (F.col("_key") == F.col("_poor")), "left")
+    host, text = F.col(at["source"]), F.col(at["text"])
+    out = measured.join(poor, host.eqNullSafe(F.col("_host")) & (F.col("_key") == F.col("_poor")), "left")
     out = out.filter(F.col("lost_words").isNull() | (100 * F.col("lost_words") <= LOST * F.col("n_words")))
-    rest = F.filter(
-        F.split("text", "\n"), lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(normal_line(x)))
-    )
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    size = F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length(text))
-    return out.select(*(text.alias(c) if c == "text" else size.cast("long").alias(c) if c == "n_chars" else F.col(c) for c in names))
+    rest = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(normal_line(x))))
+    same = F.col("removed").isNull()
+    fresh = {"text": F.when(same, text).otherwise(F.array_join(rest, "\n"))}
+    if "n_chars" in at:
+        fresh["n_chars"] = F.when(same, F.col(at["n_chars"])).otherwise(F.length(fresh["text"])).cast("long")
+    return out.select(*(fresh.get(c, F.col(at[c])).alias(c) for c in docs.columns))
 
 
 _SPACES = "\\x20\\x09-\\x0D"

@@ -18,6 +18,20 @@ def docs(spark, rows):
 ROWS = [(1, None), (2, ""), (3, " \n\t "), (4, LONG), (5, LONG), (6, LINE), (6, LINE), (None, LINE), (7, "a")]
 
 
+CLASHING = ("n_words", "lost_words", "removed", "removed_lines", "leaf", "copies", "token", "n", "root", "_key", "_id", "a b")
+
+
+def test_clashing_columns_pass_through_the_stages(spark, tmp_path):
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(60)) + f"\n{LINE}") for k in range(4)]
+    d = docs(spark, rows).withColumns({c: F.lit(7) for c in CLASHING})
+    spark.createDataFrame([(1, "no such words anywhere in here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for run in (quality.stage, linededup.stage, neardup.stage, decontaminate.stage):
+        out = run(spark, d, str(tmp_path))
+        assert out.columns == d.columns and {r["root"] for r in out.collect()} == {7} and out.count() == 4
+    mixed = mixing.stage(spark, d, "")
+    assert set(mixed.columns) == set(d.columns) and {r["a b"] for r in mixed.collect()} == {7}
+
+
 def by_id(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is None, r[0] or 0, str(r)))
 
