@@ -4,9 +4,10 @@ Lines are compared in a normal form (lower-cased, white space runs as one blank)
 ones collapse first. A distinct line gets MinHash signatures of its character shingles;
 BANDS bands of ROWS values each find at least 99 % of the lines at the threshold. Inside a
 band the rows are sorted, the most frequent line first, and each meets its neighbours and
-the first of the band: crowded bands make a few links per line and never all pairs.
-Candidates are confirmed by exact Jaccard similarity, joined to components by distributed
-union-find, and one line of each component stays.
+the first of the band. Candidates are confirmed by exact Jaccard similarity and joined to
+components by distributed union-find. Crowded bands that these few links per line leave in
+several components are settled by an exact join (``crowded``). One line of each component
+stays.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fadecast.llm import common
+from fadecast.llm import common, crowded
 from fadecast.llm.components import components
 from fadecast.llm.neighbours import close_pairs
 
@@ -181,6 +182,29 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["a", "b"])
 
 
+def _shingles_of(line: bytes) -> np.ndarray:
+    return np.unique(char_shingles(line.decode()))
+
+
+def _first_texts(keyed: DataFrame, distinct: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``key, line`` of the ``wanted (key)`` lines, each read where it stands first."""
+    there = distinct.select("key", "place").join(common.sized(wanted), "key", "left_semi")
+    there = there.groupBy("place.doc_id", "place.text_key").agg(
+        F.collect_list(F.struct("key", F.col("place.line_no").alias("line_no"))).alias("wanted")
+    )
+    texts = keyed.join(common.sized(there, width=300), ["doc_id", "text_key"]).select("text", "wanted")
+    return common.written(texts.mapInArrow(_texts, "key binary, line string").dropDuplicates(["key"]), "line-texts")
+
+
+def _settled(keyed: DataFrame, distinct: DataFrame, banded: DataFrame, roots: DataFrame) -> DataFrame:
+    """``roots`` with the links that crowded bands still lack."""
+    rows = crowded.unsettled(banded.select("band", "key", F.col("key").alias("id")), roots, NEAR + 1)
+    if rows.isEmpty():
+        return roots
+    lines = _first_texts(keyed, distinct, rows.select("key")).join(rows, "key")
+    return crowded.settled(roots, lines.select("root", F.col("line").cast("binary").alias("body")), PERCENT, _shingles_of)
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, line_no`` of the lines of ``docs (doc_id, text)`` that go.
 
@@ -206,20 +230,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     pairs = close_pairs(ordered, "key_a binary, key_b binary", _same_band, NEAR, "close-lines", region="band")
     pairs = common.written(pairs.dropDuplicates(), "line-pairs")
     wanted = pairs.select(F.col("key_a").alias("key")).union(pairs.select("key_b")).distinct()
-    # Each wanted line is read where it stands first.
-    there = distinct.select("key", "place").join(common.sized(wanted), "key", "left_semi")
-    there = there.groupBy("place.doc_id", "place.text_key").agg(
-        F.collect_list(F.struct("key", F.col("place.line_no").alias("line_no"))).alias("wanted")
-    )
-    texts = keyed.join(common.sized(there, width=300), ["doc_id", "text_key"]).select("text", "wanted")
-    texts = common.written(texts.mapInArrow(_texts, "key binary, line string").dropDuplicates(["key"]), "line-texts")
+    texts = _first_texts(keyed, distinct, wanted)
     links = (
         pairs.join(texts.toDF("key_a", "line_a"), "key_a")
         .join(texts.toDF("key_b", "line_b"), "key_b")
         .select("key_a", "key_b", "line_a", "line_b")
         .mapInArrow(_alike, "a binary, b binary")
     )
-    roots = components(links)
+    roots = common.written(_settled(keyed, distinct, banded, components(links)), "line-roots")
     member = distinct.select("key", "place", "n").join(roots, F.col("key") == F.col("node"), "left")
     member = member.select("key", "place", "n", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
     # A line that is neither repeated nor linked to a smaller key can still be a root.

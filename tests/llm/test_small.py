@@ -319,3 +319,25 @@ def test_mix_prefix_fits_the_budget(spark):
     total, used = sum(r.n_tokens for r in out), sum(r.n_tokens * r.copies for r in out)
     assert total * 1.3 - 30 <= used <= total * 1.3 and {r.copies for r in out if r.n_tokens} == {1, 2}
     assert all(r.copies == 0 for r in out if r.n_tokens == 0) and len(out) == 3002
+
+
+def crowd(n, seed=5):
+    """Lines of one template whose names differ, each with one real partner."""
+    import random
+
+    r = random.Random(seed)
+    word = lambda k: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    text = "the annual report of the regional library was sent to all members on time and in full, then read at the general meeting of may and approved without a vote against it by those present and signed "
+    rows = [text[:150] + word(22) for _ in range(n)]
+    rows += [x[:-12] + word(12) for x in rows]
+    return rows
+
+
+def test_line_dedup_of_a_crowded_band_equals_all_pairs(spark):
+    lines = crowd(300)
+    n = linededup.SHINGLE
+    sets = [frozenset(x[i : i + n] for i in range(len(x) - n + 1)) for x in lines]
+    partners = [{j for j in range(len(lines)) if j != i and 100 * len(a & sets[j]) >= linededup.PERCENT * len(a | sets[j])} for i, a in enumerate(sets)]
+    assert all(partners[i] == {(i + 300) % 600} for i in range(600))
+    out = linededup.dedup_lines(docs(spark, [*enumerate(lines), (900, LINE), (901, LINE)])).collect()
+    assert {r.doc_id for r in out if r.removed_lines} == {*range(300, 600), 901}
