@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fadecast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, pii, quality, urls, warc
+from fadecast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, pii, quality, urls, vafile, warc
 
 QUERIES = {
     "op1_language_mixture": langid.op1_language_mixture,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_minhash_forest": neardup.op8_minhash_forest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op12_centroid_clusters": vafile.op12_centroid_clusters,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op8_minhash_forest": neardup.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
+    "op12_centroid_clusters": vafile.ORACLE,
 }
