@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fadecast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, pii, quality, urls, vafile, warc
+from fadecast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, pii, quality, urls, vafile, warc, whitening
 
 QUERIES = {
     "op1_language_mixture": langid.op1_language_mixture,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_mix_sources": mixing.op10_mix_sources,
     "op12_centroid_clusters": vafile.op12_centroid_clusters,
+    "op13_whiten_embeddings": whitening.op13_whiten_embeddings,
 }
 
 ORACLES = {

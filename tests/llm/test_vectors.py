@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fadecast.llm import vafile
+from fadecast.llm import vafile, whitening
 
 VECS = "vec_id long, embedding array<float>, label int, _row long, code string, cluster int, n long"
 
@@ -95,3 +95,79 @@ def test_intervals_hold_the_distance_differences():
     may = vafile.Intervals(cells, centroids).open(cell)
     best = vafile.distances(x, centroids)
     assert may[best == best.min(axis=1, keepdims=True)].all()
+
+
+def plain_whitening(rows, dims, k=4):
+    """Exact integers first, then numpy's eigenvectors."""
+    kept = []
+    for key, v in rows:
+        if v is None or len(v) != dims or any(e is None or not np.isfinite(e) for e in v):
+            continue
+        kept.append((key, tuple(max(-(1 << 27), min(1 << 27, int(np.floor(256 * float(np.float32(e)))))) for e in v)))
+    fit = sorted({v for _, v in kept})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    x = np.array(fit, float) - np.array(sums) / n
+    cov = x.T @ x / n
+    values, vectors = np.linalg.eigh(cov)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    out = []
+    for key, v in kept:
+        deviation = sum((n * a - s) ** 2 for a, s in zip(v, sums))
+        p = (np.array(v) - np.array(sums) / n) @ vectors
+        for c in range(min(k, dims)):
+            known = values[c] > 1e-12 * np.trace(cov)
+            out.append((key, c + 1, n, deviation if deviation < 1 << 63 else None,
+                        abs(p[c]) / np.sqrt(values[c]) if known else None, values[c] / np.trace(cov) if known else 0.0))
+    return sorted(out, key=str)
+
+
+def rounded(rows):
+    return sorted(
+        ((r[0], r[1], r[2], r[3], None if r[4] is None else round(abs(r[4]), 6), round(r[5], 9)) for r in rows), key=str
+    )
+
+
+@pytest.mark.parametrize(
+    "rows, dims",
+    [
+        (noise(300, 6) + [(500 + k, v) for k, v in noise(300, 6)], 6),  # every vector twice
+        ([(k, [float(k % 5), float(k % 7), 1.0, 2.0]) for k in range(100)], 4),  # flat dimensions
+        ([(k, [k * 0.25, 0.5]) for k in range(9)], 2),
+    ],
+)
+def test_whitening_equals_numpy(spark, rows, dims):
+    got = whitening.whiten(table(spark, rows).repartition(7)).collect()
+    assert rounded(got) == rounded(plain_whitening(rows, dims))
+    assert {r.identity_error <= 1e-9 for r in got} == {True}
+
+
+def test_whitening_signs_are_the_same_for_all_rows(spark):
+    rows = noise(200, 5, seed=9)
+    got = whitening.whiten(table(spark, rows))
+    each = {(r.vec_id, r.component): r.whitened for r in got.collect()}
+    w = np.array([[each[k, c] for c in range(1, 5)] for k, _ in rows])
+    assert np.abs(w.T @ w / len(w) - np.eye(4)).max() < 1e-9
+
+
+def test_whitening_of_odd_rows(spark):
+    assert whitening.whiten(table(spark, [])).collect() == []
+    assert whitening.whiten(table(spark, [(1, None), (2, []), (3, [float("nan")])])).collect() == []
+    got = whitening.whiten(table(spark, [(1, [0.5, 0.25]), (1, [0.5, 0.25]), (2, [1.0])])).collect()
+    assert sorted(map(tuple, got)) == sorted([(1, c, 1, 0, None, 0.0, 0.0) for c in (1, 1, 2, 2)])
+    huge = whitening.whiten(table(spark, [(1, [3e38, 0.0]), (2, [-3e38, 0.0]), (None, [0.0, 1.0])])).collect()
+    assert len(huge) == 6 and {r.vec_id for r in huge} == {1, 2, None}
+
+
+def test_rank_one_updates_and_joins_rebuild_the_scatter():
+    rng = np.random.default_rng(0)
+    for x in (rng.normal(0, 30, (80, 12)), rng.integers(0, 2, (60, 7)).astype(float), np.repeat(rng.normal(0, 1, (5, 9)), 4, axis=0)):
+        dims = x.shape[1]
+        scatter = (x - x.mean(0)).T @ (x - x.mean(0))
+        whole, left, right = (whitening.Spectrum.empty(dims) for _ in range(3))
+        for i, v in enumerate(x):
+            whole.add(v)
+            (left if i % 3 else right).add(v)
+        left.join(right)
+        for s in (whole, left):
+            assert np.abs(s.q.T @ s.q - np.eye(dims)).max() < 1e-12
+            assert np.abs(s.q @ np.diag(s.lam) @ s.q.T - scatter).max() < 1e-12 * max(1.0, np.abs(scatter).max())
