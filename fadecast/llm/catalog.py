@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fadecast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, pii, quality, urls, vafile, warc, whitening
+from fadecast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, pii, pitmanyor, quality, urls, vafile, warc, whitening
 
 QUERIES = {
     "op1_language_mixture": langid.op1_language_mixture,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_minhash_forest": neardup.op8_minhash_forest,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_pitman_yor": pitmanyor.op11_pitman_yor,
     "op12_centroid_clusters": vafile.op12_centroid_clusters,
     "op13_whiten_embeddings": whitening.op13_whiten_embeddings,
 }
