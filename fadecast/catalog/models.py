@@ -51,8 +51,7 @@ def _global(table, **kw):
 
 
 def _run(table, model, folds):
-    w = forecast.fit(table.grid, KEYS, model)
-    found = forecast.unscaled(forecast.predict(table.grid, KEYS, model, w, folds), table)
+    found = forecast.unscaled(forecast.forecasts(table, model, folds), table)
     return forecast.complete(found, table, model, folds)
 
 
@@ -133,6 +132,66 @@ def backtest_one_lag_global(spark, sf):
     return _run(t, model, range(11)).select("unique_id", "fold", "step", r6("yhat").alias("yhat"))
 
 
+# Folds every 6 hours overlap; the last one is the forecast after the last row.
+_STRIDE = 6
+_N_FOLDS = backtest.fold_count(stride=_STRIDE)
+_ORIGIN = f"CASE WHEN {{f}} = {_N_FOLDS} THEN {{n}} ELSE {{n}} - 240 + {_STRIDE} * {{f}} END"
+
+
+@query(
+    ctes(ELEC, GRID, _ONE_LAG.replace("range(11)", f"range({_N_FOLDS + 1})").replace(
+        "win.n - (10 - f.f) * 24 - 1", _ORIGIN.format(f="f.f", n="win.n") + " - 1"))
+    + f"""SELECT fit.unique_id, CAST(fold AS BIGINT) AS fold, CAST(step AS BIGINT) AS step,
+  {q6('(my + w * (s.s - mx)) * (hi - lo) + lo')} AS yhat
+FROM fit JOIN s ON s.unique_id = fit.unique_id AND s.pos = {_ORIGIN.format(f='fold', n='s.n')} - 1"""
+)
+def backtest_one_lag_overlapping(spark, sf):
+    """Retrained folds that start every 6 hours, each 24 hours long."""
+    t = forecast.model_table(tables.electricity(spark, sf), None, ELECTRICITY)
+    model = WindowModel(local=True, inputs=((1, 1),), penalties=(0.5,), stride=_STRIDE)
+    return _run(t, model, range(model.n_folds + 1)).select("unique_id", "fold", "step", r6("yhat").alias("yhat"))
+
+
+@query()
+def backtest_window_overlapping(spark, sf):
+    """Rolling-origin error of the per-series forecaster with a fold every 12 hours."""
+    t = _table(spark, sf)
+    model = replace(_local(t), stride=12)
+    return _scores(t, _run(t, model, range(model.n_folds)))
+
+
+@query(
+    ctes(ELEC, GRID, """org AS (
+  SELECT g.unique_id, f.f AS fold, g.n, g.n - (10 - f.f) * 24 AS origin
+  FROM (SELECT DISTINCT unique_id, n FROM grid) g, range(11) f(f)),
+sc AS (
+  SELECT o.unique_id, o.fold, o.origin, min(g.y0) AS lo, CASE WHEN max(g.y0) > min(g.y0) THEN max(g.y0) - min(g.y0) ELSE 1 END AS wide
+  FROM org o JOIN grid g ON g.unique_id = o.unique_id AND g.pos < o.origin GROUP BY ALL),
+win AS (
+  SELECT sc.fold, b.pos - a.pos AS step, (a.y0 - lo) / wide AS x, (b.y0 - lo) / wide AS y
+  FROM sc JOIN grid a ON a.unique_id = sc.unique_id AND a.pos + 24 < sc.origin
+  JOIN grid b ON b.unique_id = a.unique_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 24),
+fit AS (
+  SELECT fold, step, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / (var_pop(x) * (1 + 0.5e0)) AS w
+  FROM win GROUP BY fold, step)""")
+    + f"""SELECT sc.unique_id, CAST(sc.fold AS BIGINT) AS fold, CAST(step AS BIGINT) AS step,
+  {q6('(my + w * ((g.y0 - lo) / wide - mx)) * wide + lo')} AS yhat
+FROM sc JOIN fit ON fit.fold = sc.fold JOIN grid g ON g.unique_id = sc.unique_id AND g.pos = sc.origin - 1"""
+)
+def backtest_one_lag_fold_scope(spark, sf):
+    """One model for all series, scaled by what lies before each fold."""
+    t = forecast.model_table(tables.electricity(spark, sf), None, ELECTRICITY, fit_scope="fold")
+    model = WindowModel(inputs=((1, 1),), penalties=(0.5,))
+    return _run(t, model, range(11)).select("unique_id", "fold", "step", r6("yhat").alias("yhat"))
+
+
+@query()
+def backtest_global_fold_scope(spark, sf):
+    """As ``backtest_global``, with a scaler fitted anew on what lies before each fold."""
+    t = _table(spark, sf, static=True, fit_scope="fold")
+    return _scores(t, _run(t, _global(t), range(10)))
+
+
 SEARCH = search.ParamGrid(
     {
         "input_chunk_length": [48, 96, 172],
@@ -347,6 +406,44 @@ def forecast_coverage_by_user(spark, sf):
     return rows.select("unique_id", "fold", "step", F.col("yhat").isNotNull().alias("predicted"), "reason")
 
 
+@query(
+    ctes(USERS, f"""g0 AS (
+  SELECT unique_id, unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY)) AS ds FROM by_user GROUP BY unique_id),
+grid AS (
+  SELECT g.unique_id, g.ds, coalesce(u.y, 0e0) AS y0, row_number() OVER (PARTITION BY g.unique_id ORDER BY g.ds) - 1 AS pos,
+         count(*) OVER (PARTITION BY g.unique_id) AS n
+  FROM g0 g LEFT JOIN by_user u ON g.unique_id = u.unique_id AND g.ds = u.ds),
+win AS (
+  SELECT a.unique_id, a.pos, a.n, b.pos - a.pos AS step, a.y0 AS x, b.y0 AS y
+  FROM grid a JOIN grid b ON a.unique_id = b.unique_id AND b.pos BETWEEN a.pos + 1 AND a.pos + {_WEEK}),
+fit AS (
+  SELECT win.unique_id, f.f AS fold, step, avg(x) AS mx, avg(y) AS my,
+         CASE WHEN var_pop(x) > 1e-9 * avg(x * x) THEN covar_pop(x, y) / (var_pop(x) * (1 + 0.5e0)) ELSE 0 END AS w
+  FROM win JOIN range({_FOLDS + 1}) f(f) ON win.pos + {_WEEK} <= win.n - ({_FOLDS} - f.f) * {_WEEK} - 1 GROUP BY ALL)""")
+    + f"""SELECT fit.unique_id, CAST(fold AS BIGINT) AS fold, CAST(step AS BIGINT) AS step, round(my + w * (g.y0 - mx) + 1e-7, 3) AS yhat
+FROM fit JOIN grid g ON g.unique_id = fit.unique_id AND g.pos = g.n - ({_FOLDS} - fold) * {_WEEK} - 1"""
+)
+def backtest_one_lag_by_user(spark, sf):
+    """A one-lag model for each of many short series, fitted where the series lies."""
+    t = _by_user(spark, sf)
+    model = WindowModel(local=True, inputs=((1, 1),), horizon=_WEEK, folds=_FOLDS, penalties=(0.5,))
+    rows = forecast.unscaled(forecast.forecasts(t, model, range(_FOLDS + 1)), t)
+    return rows.select("unique_id", "fold", "step", F.round(F.col("yhat") + 1e-7, 3).alias("yhat"))
+
+
+@query()
+def backtest_window_by_user(spark, sf):
+    """Rolling-origin error of a window model for each of many short series."""
+    t = _by_user(spark, sf)
+    model = WindowModel(
+        past=ELECTRICITY.past, calendar=t.calendar, local=True, inputs=((_LAGS, 3),), horizon=_WEEK, folds=_FOLDS, penalties=(1.0,)
+    )
+    rows = _run(t, model, range(_FOLDS))
+    n = rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n_points"), F.count("yhat").alias("n_scored"))
+    seen = score.align(rows.filter("yhat IS NOT NULL"), t.history, KEYS, "ds", "y")
+    return n.join(score.errors(seen, ["fold"]).drop("n_points"), "fold", "left")
+
+
 @query(
     ctes(USERS, _FRAME, """days AS (
   SELECT f.unique_id, f.fold, f.step, f.origin, u.y, f.origin + f.step - 1 - 7 AS back,

@@ -20,6 +20,20 @@ def first_origin(n: str | Column, horizon: int = HORIZON, folds: int = FOLDS) ->
     return c - folds * horizon
 
 
+def fold_count(horizon: int = HORIZON, folds: int = FOLDS, stride: int | None = None) -> int:
+    """Folds of a whole horizon within the last ``folds * horizon`` rows, one every ``stride``."""
+    return (folds * horizon - horizon) // (stride or horizon) + 1
+
+
+def origin_of(
+    fold: str | Column, n: str | Column, horizon: int = HORIZON, folds: int = FOLDS, stride: int | None = None
+) -> Column:
+    """First predicted position of a fold; the fold after the last one starts at ``n``."""
+    f, n = (F.col(c) if isinstance(c, str) else c for c in (fold, n))
+    inner = first_origin(n, horizon, folds) + f * (stride or horizon)
+    return F.when(f >= fold_count(horizon, folds, stride), n).otherwise(inner).cast("long")
+
+
 def folds_of_series(
     lengths: DataFrame,
     n: str = "n",
@@ -33,11 +47,10 @@ def folds_of_series(
     Everything before ``origin`` may be trained on, ``horizon`` rows from it on
     are predicted.
     """
-    stride = stride or horizon
-    count = folds if stride == horizon else (folds * horizon - horizon) // stride + 1
+    count = fold_count(horizon, folds, stride)
     d = lengths.withColumn("fold", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
-    origin = first_origin(n, horizon, folds) + F.col("fold") * stride
-    return d.withColumn("origin", origin.cast("long")).withColumn("n_train", F.col("origin"))
+    origin = origin_of("fold", n, horizon, folds, stride)
+    return d.withColumn("origin", origin).withColumn("n_train", F.col("origin"))
 
 
 def covered(
@@ -48,19 +61,21 @@ def covered(
     n: str = "n",
     horizon: int = HORIZON,
     folds: int = FOLDS,
+    stride: int | None = None,
     which: Sequence[int] | None = None,
 ) -> DataFrame:
     """``forecasts`` (keys, fold, step, yhat, ...) completed to every series, fold and step.
 
     What no forecaster could predict has a null ``yhat`` and a ``reason``, so that a short
-    series is seen and not lost. ``lengths`` has one row per series; fold ``folds`` is
-    the forecast after the last row.
+    series is seen and not lost. ``lengths`` has one row per series; the fold after the
+    last one is the forecast after the last row.
     """
-    chosen = F.array(*[F.lit(f).cast("long") for f in (which if which is not None else range(folds))])
+    every = range(fold_count(horizon, folds, stride)) if which is None else which
+    chosen = F.array(*[F.lit(f).cast("long") for f in every])
     steps = F.sequence(F.lit(1).cast("long"), F.lit(horizon).cast("long"))
     frame = lengths.select(*keys, F.col(n).alias("_n"), F.explode(chosen).alias("fold"))
     frame = frame.withColumn("step", F.explode(steps))
-    origin = F.col("_n") - (folds - F.col("fold")) * horizon
+    origin = origin_of("fold", "_n", horizon, folds, stride)
     out = frame.join(forecasts, [*keys, "fold", "step"], "left")
     reason = F.when(F.col("yhat").isNotNull(), F.lit(None).cast("string")).when(
         origin <= 0, "the origin lies before the series"
@@ -83,7 +98,7 @@ def fold_rows(
     and appears once for each.
     """
     stride = stride or horizon
-    count = folds if stride == horizon else (folds * horizon - horizon) // stride + 1
+    count = fold_count(horizon, folds, stride)
     rel = (F.col(pos) - first_origin(n, horizon, folds)).cast("long")
     test = grid.filter(rel >= 0)
     lo = F.greatest(F.lit(0).cast("long"), F.floor((rel - horizon) / stride) + 1)

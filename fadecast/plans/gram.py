@@ -25,6 +25,14 @@ HELD_FLOATS = 16_000_000
 STRIPE = [T.StructField("i", T.IntegerType()), T.StructField("stripe", T.ArrayType(T.DoubleType()))]
 
 
+def outer_sums(X: np.ndarray, Y: np.ndarray) -> np.ndarray | None:
+    """[X'X | X'Y] of the lines without a missing number, None without a line."""
+    whole = np.isfinite(X).all(axis=1) & np.isfinite(Y).all(axis=1)
+    if not whole.all():
+        X, Y = X[whole], Y[whole]
+    return X.T @ np.hstack([X, Y]) if len(X) else None
+
+
 def partial_sums(
     df: DataFrame, labels: Sequence[T.StructField], design: Callable[[tuple], Iterable[Labelled]]
 ) -> DataFrame:
@@ -42,27 +50,25 @@ def partial_sums(
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 for label, X, Y in design(row):
-                    whole = np.isfinite(X).all(axis=1) & np.isfinite(Y).all(axis=1)
-                    if not whole.all():
-                        X, Y = X[whole], Y[whole]
-                    if not len(X):
+                    part = outer_sums(X, Y)
+                    if part is None:
                         continue
-                    part = X.T @ np.hstack([X, Y])
                     if label in held:
                         held[label] += part
                     else:
                         held[label] = part
                         floats += part.size
                     if floats > HELD_FLOATS:
-                        yield _emit(held, names)
+                        yield lines(held, names)
                         held, floats = {}, 0
         if held:
-            yield _emit(held, names)
+            yield lines(held, names)
 
     return df.mapInPandas(run, T.StructType([*labels, *STRIPE]))
 
 
-def _emit(held: dict[tuple, np.ndarray], names: list[str]) -> pd.DataFrame:
+def lines(held: dict[tuple, np.ndarray], names: Sequence[str]) -> pd.DataFrame:
+    """Labelled matrices as a table of their lines."""
     cols = {n: [] for n in (*names, "i", "stripe")}
     for label, m in held.items():
         for i, line in enumerate(m):
@@ -70,7 +76,7 @@ def _emit(held: dict[tuple, np.ndarray], names: list[str]) -> pd.DataFrame:
                 cols[n].append(v)
             cols["i"].append(i)
             cols["stripe"].append(line)
-    return pd.DataFrame(cols)
+    return pd.DataFrame({n: pd.Series(v, dtype=None if v else object) for n, v in cols.items()})
 
 
 def partial_sums_of_rows(
@@ -98,10 +104,10 @@ def partial_sums_of_rows(
                     held[label] = m
                     floats += m.size
                 if floats > HELD_FLOATS:
-                    yield _emit(held, names)
+                    yield lines(held, names)
                     held, floats = {}, 0
         if held:
-            yield _emit(held, names)
+            yield lines(held, names)
 
     whole = lambda v: v.isNotNull() & ~F.isnan(v)
     rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull() & F.forall(x, whole) & F.forall(y, whole))
@@ -219,6 +225,17 @@ def solve(sums: DataFrame, model: Sequence[str], penalties: Sequence[float]) ->
     return spread(sums, names).groupBy(*names).applyInPandas(run, schema)
 
 
+def cumulated(by_level: dict[int, np.ndarray], wanted: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each wanted level that has any sums, with the sums of all levels up to it."""
+    total, below = None, sorted(by_level)
+    for k in sorted(wanted):
+        while below and below[0] <= k:
+            m = by_level[below.pop(0)]
+            total = m if total is None else total + m
+        if total is not None:
+            yield k, total
+
+
 def solve_levels(
     sums: DataFrame,
     scope: Sequence[str],
@@ -235,12 +252,7 @@ def solve_levels(
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         by_level = {int(k): matrix(g) for k, g in pdf.groupby(level)}
-        total, out = None, []
-        for k in range(levels):
-            if k in by_level:
-                total = by_level[k] if total is None else total + by_level[k]
-            if total is not None:
-                out += [(k, *r) for r in _fitted(total, penalties)]
+        out = [(k, *r) for k, total in cumulated(by_level, range(levels)) for r in _fitted(total, penalties)]
         res = pd.DataFrame(out, columns=[level, "penalty_id", "step", "w"])
         for c in scope:
             res[c] = pdf[c].iloc[0]
@@ -257,4 +269,4 @@ def dot(x: str | Column, w: str | Column, *, constant: bool = True) -> Column:
     x, w = (F.col(c) if isinstance(c, str) else c for c in (x, w))
     xs = F.concat(F.array(F.lit(1.0)), x) if constant else x
     total = F.aggregate(F.zip_with(xs, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    return F.nullif(total, F.lit(float("nan")))
+    return F.nanvl(total, F.lit(None).cast("double"))
