@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from fadecast.catalog.base import DISCHARGE, ELEC, FEATURES, GRID, USERS, ctes, q6, r6
-from fadecast.operators import score, series
+from fadecast.operators import score, sequences, series
 from fadecast.plans import backtest, battery_models, forecast, search
 from fadecast.plans.battery_features import numbered_features
 from fadecast.plans.forecast import WindowModel
@@ -202,12 +202,8 @@ SEARCH = search.ParamGrid(
 N_ITER = 10
 
 
-def _search(spark, sf):
-    """Coefficients and back-test scores of the sampled configurations."""
-    configs = SEARCH.sample(spark, N_ITER)
-    table = _table(spark, sf, static=True)
-    shapes = sorted({(c["input_chunk_length"], c["covariate_lags"]) for c in configs})
-    model = _global(table, inputs=tuple(shapes), penalties=tuple(SEARCH.lists["ridge"]))
+def _search(spark, grid, configs, table, model):
+    """Coefficients of the sampled configurations and their completed back-test forecasts."""
     # Penalties share a matrix, so all of them are solved and the sampled kept.
     chosen = F.array(
         *[
@@ -215,7 +211,7 @@ def _search(spark, sf):
                 F.lit(c["config_id"]).cast("long").alias("config_id"),
                 F.lit(c["input_chunk_length"]).cast("long").alias("lags"),
                 F.lit(c["covariate_lags"]).cast("long").alias("cov_lags"),
-                F.lit(SEARCH.lists["ridge"].index(c["ridge"])).cast("long").alias("penalty_id"),
+                F.lit(grid.lists["ridge"].index(c["ridge"])).cast("long").alias("penalty_id"),
             )
             for c in configs
         ]
@@ -230,32 +226,59 @@ def _search(spark, sf):
     w = w.withColumn("config_id", F.get(mine, F.lit(0))["config_id"]).filter("config_id IS NOT NULL")
     # Bounded by the settings, and used for scoring and for the final forecast.
     w = checkpointed(w)
-    p = forecast.predict(table.grid, KEYS, model, w, range(model.folds), extra=["config_id"])
-    rmse = _scores(table, forecast.unscaled(p, table), by=["config_id"])
-    return search.attach_params(rmse, configs), table, model, w
+    return w, _of_configs(spark, configs, table, model, w, range(model.n_folds))
+
+
+def _of_configs(spark, configs, table, model, w, folds):
+    """Forecasts of each configuration, series, fold and step; null with a reason where none is."""
+    p = forecast.predict(table.grid, KEYS, model, w, folds, extra=["config_id"])
+    ids = spark.createDataFrame([(c["config_id"],) for c in configs], "config_id long")
+    return forecast.complete(forecast.unscaled(p, table), table, model, folds, ids)
+
+
+def _search_scores(configs, table, found):
+    """Scores over the series and folds that all configurations predict, and what each lost."""
+    shared = backtest.shared_by_all(found, KEYS, "config_id", len(configs))
+    rmse = _scores(table, shared, by=["config_id"])
+    rows = backtest.coverage(found, "config_id").join(rmse, "config_id", "left")
+    return search.attach_params(rows, configs)
+
+
+def _searched(grid, configs):
+    """The shapes and penalties of a search."""
+    shapes = sorted({(c["input_chunk_length"], c["covariate_lags"]) for c in configs})
+    return {"inputs": tuple(shapes), "penalties": tuple(grid.lists["ridge"])}
+
+
+def _best_of_search(spark, sf):
+    configs = SEARCH.sample(spark, N_ITER)
+    table = _table(spark, sf, static=True)
+    model = _global(table, **_searched(SEARCH, configs))
+    w, found = _search(spark, SEARCH, configs, table, model)
+    return _search_scores(configs, table, found), configs, table, model, w
 
 
 @query()
 def random_search(spark, sf):
     """Score of every sampled configuration."""
-    return _search(spark, sf)[0]
+    return _best_of_search(spark, sf)[0]
 
 
 @query()
 def forecast_future(spark, sf):
     """Next 24 hours from the best configuration of the search."""
-    scores, table, model, w = _search(spark, sf)
+    scores, configs, table, model, w = _best_of_search(spark, sf)
     best = score.best_first(scores, "rmse", ["config_id"]).select("config_id")
-    w = w.join(best, "config_id", "left_semi")
-    p = forecast.predict(table.grid, KEYS, model, w, [model.folds], extra=["config_id"])
-    p = forecast.unscaled(p, table)
-    return p.select("unique_id", "ds", "step", "config_id", F.col("yhat").alias("forecast"))
+    best = [c for c in configs if c["config_id"] == best.first()["config_id"]]
+    w = w.filter(F.col("config_id") == best[0]["config_id"])
+    p = _of_configs(spark, best, table, model, w, [model.n_folds])
+    return p.select("unique_id", "ds", "step", "config_id", F.col("yhat").alias("forecast"), "reason")
 
 
 @query()
 def tuned_forecast(spark, sf):
     """Search, store the best parameters, read them back, merge the fixed ones, refit, forecast."""
-    best = score.best_first(_search(spark, sf)[0], "rmse", ["config_id"])
+    best = score.best_first(_best_of_search(spark, sf)[0], "rmse", ["config_id"])
     names = ["config_id", *SEARCH.names, "rmse"]
     stored = search.store_and_reload(spark, search.wide(search.tall(best, names), names), "best-params")
     stored = search.cast_params(stored, ["config_id", "input_chunk_length", "covariate_lags"])
@@ -360,6 +383,90 @@ def capacity_next(spark, sf):
     return battery_models.capacity_next(tables.discharge(spark, sf))
 
 
+_STARTS = """rown AS (
+  SELECT *, row_number() OVER (PARTITION BY battery_id ORDER BY datetime_, event_id) - 1 AS pos FROM discharge),
+starts AS (SELECT battery_id, cycle, min(pos) AS m FROM rown GROUP BY battery_id, cycle)"""
+
+
+@query(
+    ctes(DISCHARGE, _STARTS, """pair AS (
+  SELECT b.battery_id, b.pos, a.Voltage_measured AS x, b.Voltage_measured AS y
+  FROM rown a JOIN rown b ON a.battery_id = b.battery_id AND b.pos = a.pos + 1),
+fit AS (
+  SELECT s.battery_id, s.cycle, s.m, avg(x) AS mx, avg(y) AS my,
+    CASE WHEN var_pop(x) > 1e-9 * avg(x * x) THEN covar_pop(x, y) / (var_pop(x) * (1 + 0.01e0)) ELSE 0 END AS w
+  FROM starts s JOIN pair p ON p.battery_id = s.battery_id AND p.pos <= s.m - 2 WHERE s.m >= 3 GROUP BY ALL)""")
+    + f"""SELECT s.battery_id, s.cycle, CAST(CASE WHEN s.m >= 3 THEN 1 END AS BIGINT) AS length,
+  {q6('my + w * (r.Voltage_measured - mx)')} AS yhat
+FROM starts s LEFT JOIN fit f ON f.battery_id = s.battery_id AND f.cycle = s.cycle
+LEFT JOIN rown r ON r.battery_id = s.battery_id AND r.pos = s.m - 1"""
+)
+def next_value_one_lag(spark, sf):
+    """The next voltage of each cycle from the value before it: the closed form of the sequence model."""
+    rows = battery_models.capacity_next(tables.discharge(spark, sf), target="Voltage_measured", exog=(), length=1)
+    return rows.select("battery_id", "cycle", "length", r6("yhat").alias("yhat"))
+
+
+@query(
+    ctes(DISCHARGE, _STARTS)
+    + """SELECT battery_id, cycle, CAST(CASE WHEN m >= 3 THEN least(150, (m - 1) // 2) END AS BIGINT) AS length,
+  m >= 3 AS predicted FROM starts"""
+)
+def capacity_next_lengths(spark, sf):
+    """How long the sequences are that each cycle's history allows."""
+    rows = battery_models.capacity_next(tables.discharge(spark, sf), exog=(), length=150)
+    return rows.select("battery_id", "cycle", "length", F.col("yhat").isNotNull().alias("predicted"))
+
+
+# --- histories of the last cycles only
+
+_LAST = 3
+_RANKED = """ranked AS (
+  SELECT *, dense_rank() OVER (PARTITION BY battery_id ORDER BY cycle) AS r FROM discharge)"""
+
+
+@query(
+    ctes(DISCHARGE, _RANKED, "cyc AS (SELECT DISTINCT battery_id, cycle, r FROM ranked)")
+    + f"""SELECT c.battery_id, c.cycle, h.cycle AS history_cycle, h.event_id, h.Capacity
+FROM cyc c JOIN ranked h ON h.battery_id = c.battery_id AND h.r BETWEEN c.r - {_LAST} AND c.r - 1"""
+)
+def history_last_k_cycles(spark, sf):
+    """The rows each cycle may learn from, if it looks back three cycles."""
+    rows = tables.discharge(spark, sf).select("battery_id", "cycle", "event_id", "Capacity")
+    rows = sequences.history_rows(rows, ["battery_id"], "cycle", _LAST)
+    return rows.select("battery_id", "cycle", "history_cycle", "event_id", "Capacity")
+
+
+@query(
+    ctes(DISCHARGE, _RANKED, "cyc AS (SELECT DISTINCT battery_id, cycle, r FROM ranked)", f"""fit AS (
+  SELECT c.battery_id, c.cycle, avg(h.Temperature_measured) AS mx, avg(h.Voltage_measured) AS my,
+    CASE WHEN var_pop(h.Temperature_measured) > 1e-9 * avg(h.Temperature_measured * h.Temperature_measured)
+      THEN covar_pop(h.Temperature_measured, h.Voltage_measured) / (var_pop(h.Temperature_measured) * (1 + 0.001e0)) ELSE 0 END AS w
+  FROM cyc c JOIN ranked h ON h.battery_id = c.battery_id AND h.r BETWEEN c.r - {_LAST} AND c.r - 1 GROUP BY ALL)""")
+    + f"""SELECT d.battery_id, d.cycle, d.event_id, {q6('my + w * (d.Temperature_measured - mx)')} AS yhat
+FROM discharge d LEFT JOIN fit ON fit.battery_id = d.battery_id AND fit.cycle = d.cycle"""
+)
+def regression_last_k_cycles(spark, sf):
+    """A regression per cycle on the last three cycles, from differences of cumulated sums."""
+    rows = battery_models.regression_by_cycle(
+        tables.discharge(spark, sf), targets=("Voltage_measured",), exog=("Temperature_measured",), max_history=_LAST
+    )
+    return rows.select("battery_id", "cycle", "event_id", r6("yhat").alias("yhat"))
+
+
+@query(
+    ctes(DISCHARGE, f"""c AS (SELECT battery_id, cycle, count(*) AS n, sum(Time) AS t, sum(Capacity) AS c
+  FROM discharge GROUP BY battery_id, cycle),
+h AS (SELECT battery_id, cycle, sum(t) OVER w / sum(n) OVER w AS ht, sum(c) OVER w / sum(n) OVER w AS hc FROM c
+  WINDOW w AS (PARTITION BY battery_id ORDER BY cycle ROWS BETWEEN {_LAST} PRECEDING AND 1 PRECEDING))""")
+    + f"""SELECT d.battery_id, d.cycle, d.event_id, {q6('h.ht')} AS "yhat_Time", {q6('h.hc')} AS "yhat_Capacity"
+FROM discharge d JOIN h ON d.battery_id = h.battery_id AND d.cycle = h.cycle"""
+)
+def history_mean_last_k_cycles(spark, sf):
+    h = battery_models.history_mean(tables.discharge(spark, sf), max_history=_LAST)
+    return h.withColumns({c: r6(c) for c in ("yhat_Time", "yhat_Capacity")})
+
+
 @query()
 def capacity_horizon(spark, sf):
     return battery_models.capacity_horizon(tables.discharge(spark, sf))
@@ -465,6 +572,48 @@ def backtest_coverage_by_user(spark, sf):
     return rows.select("unique_id", "fold", "step", r6("yhat").alias("yhat"), "reason")
 
 
+USER_SEARCH = search.ParamGrid(
+    {"input_chunk_length": [7, 14], "covariate_lags": [1, 10], "ridge": [0.1, 1.0]}
+)
+
+
+def _user_search(spark, sf):
+    """All configurations of a small grid over many short series."""
+    configs = USER_SEARCH.all_configs()
+    t = _by_user(spark, sf)
+    model = WindowModel(
+        past=ELECTRICITY.past, calendar=t.calendar, horizon=_WEEK, folds=_FOLDS, **_searched(USER_SEARCH, configs)
+    )
+    return configs, t, _search(spark, USER_SEARCH, configs, t, model)[1]
+
+
+# Names in sorted order, the last one fastest.
+_CONFIGS = """cfg AS (
+  SELECT CAST(range AS BIGINT) AS config_id, CASE WHEN range % 4 < 2 THEN 7 ELSE 14 END AS lags, CASE WHEN range < 4 THEN 1 ELSE 10 END AS cov
+  FROM range(8))"""
+
+
+@query(
+    ctes(USERS, _FRAME, _CONFIGS, "longest AS (SELECT fold, max(origin) AS most FROM frame GROUP BY fold)")
+    + f"""SELECT config_id, unique_id, fold,
+  bool_and(origin >= greatest(lags, cov) AND most >= greatest(lags, cov) + {_WEEK}) AS predicted, count(*) AS n_points
+FROM frame JOIN longest USING (fold), cfg GROUP BY config_id, unique_id, fold"""
+)
+def random_search_coverage(spark, sf):
+    """Which series and folds each configuration of a search predicts."""
+    rows = _user_search(spark, sf)[2].groupBy("config_id", "unique_id", "fold").agg(
+        (F.count("yhat") == F.count(F.lit(1))).alias("predicted"), F.count(F.lit(1)).alias("n_points")
+    )
+    return rows
+
+
+@query()
+def random_search_by_user(spark, sf):
+    """Scores of a search over many series, some too short for some configurations."""
+    configs, t, found = _user_search(spark, sf)
+    return _search_scores(configs, t, found)
+
+
 @query(
     ctes(USERS)
     + """SELECT unique_id, count(*) AS n_seen, (epoch(max(ds)) - epoch(min(ds)))::BIGINT // min(gap) + 1 AS n, min(gap) AS step_seconds

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fadecast.operators.ordered import CHUNK, running, sliding
@@ -103,3 +103,24 @@ def walk_forward(
     aggs |= {f"train_sum_{c}": ("sum", F.col(c)) for c in sums}
     r = running(df, keys, pos, aggs, inclusive=False, size=size)
     return r.filter(F.col(pos) >= first)
+
+
+def history_rows(
+    df: DataFrame, keys: Sequence[str], block: str, last: int, *, before: str = "history_"
+) -> DataFrame:
+    """The rows of the ``last`` blocks before each block, one copy for each block they serve.
+
+    ``block`` is the block served, ``<before><block>`` the row's own. Blocks without rows do
+    not count, rows without a block take no part. Rows meet their blocks by an equality on
+    the block's number, so nothing is compared that does not match.
+    """
+    if last < 1:
+        raise ValueError("a history has at least one block")
+    # One line per block, never rows.
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(block)).cast("long")
+    blocks = df.filter(F.col(block).isNotNull()).select(*keys, block).distinct().withColumn("_number", number)
+    rows = df.withColumnRenamed(block, before + block).join(
+        blocks.withColumnRenamed(block, before + block), [*keys, before + block]
+    )
+    served = F.explode(F.sequence(F.col("_number") + 1, F.col("_number") + last))
+    return rows.withColumn("_number", served).join(blocks, [*keys, "_number"]).drop("_number")

@@ -83,6 +83,26 @@ def covered(
     return out.withColumn("reason", reason).drop("_n")
 
 
+def shared_by_all(forecasts: DataFrame, keys: Sequence[str], config: str, n_configs: int) -> DataFrame:
+    """Of ``covered`` forecasts of several configurations the series and folds that every one
+    of the ``n_configs`` predicts, so that scores compare like with like.
+
+    Adds nothing; what is left out is counted by ``coverage``.
+    """
+    cell = [*keys, "fold"]
+    whole = forecasts.groupBy(*cell, config).agg((F.count("yhat") == F.count(F.lit(1))).alias("_whole"))
+    n = F.sum(F.col("_whole").cast("long"))
+    shared = whole.groupBy(*cell).agg(n.alias("_n")).filter(F.col("_n") == n_configs).drop("_n")
+    return forecasts.join(shared, cell, "left_semi")
+
+
+def coverage(forecasts: DataFrame, config: str) -> DataFrame:
+    """``n_points, n_predicted`` of ``covered`` forecasts per configuration."""
+    return forecasts.groupBy(config).agg(
+        F.count(F.lit(1)).alias("n_points"), F.count("yhat").alias("n_predicted")
+    )
+
+
 def fold_rows(
     grid: DataFrame,
     *,

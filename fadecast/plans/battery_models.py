@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,12 +121,14 @@ def arimax_by_cycle(
     key: str = "battery_id",
     targets: Sequence[str] = TARGETS,
     exog: Sequence[str] = EXOG,
+    max_history: int | None = None,
     size: int = 4096,
 ) -> DataFrame:
     """Each target over each cycle with order (1, 1, 1) and known regressors.
 
     ``key, cycle, target, event_id, step, yhat``; null where the history is
-    too short.
+    too short. ``max_history`` limits the differences fitted on to those of the last so
+    many cycles.
     """
     rows = numbered(measured, key).select(key, "cycle", "event_id", "pos", *targets, *exog)
     need = LONG_ORDER + 3
@@ -153,7 +155,7 @@ def arimax_by_cycle(
         F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"),
         F.col("cycle").cast("long").alias("cycle"),
     )
-    history = gram.cumulate(sums, [key, "target"], "cycle", wanted)
+    history = gram.cumulate(sums, [key, "target"], "cycle", wanted, max_history)
     fit_schema = T.StructType([*labels, T.StructField("alpha", _A), T.StructField("arma", _A)])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -307,13 +309,14 @@ def additive_inputs(time: Column, start: Column, end: Column, exog: Sequence[str
 
 
 def cycle_models(
-    rows: DataFrame, x: str, y: str, penalty: float, key: str = "battery_id"
+    rows: DataFrame, x: str, y: str, penalty: float, key: str = "battery_id", max_history: int | None = None
 ) -> DataFrame:
-    """Ridge models of every cycle on the rows of the cycles before it."""
+    """Ridge models of every cycle on the rows of the cycles before it, or of the last
+    ``max_history`` of them."""
     parts = gram.partial_sums_of_rows(rows, [key, "cycle"], x, y)
     sums = gram.add_up(parts, [key, "cycle"])
     wanted = rows.select(key, "cycle").distinct()
-    history = gram.cumulate(sums, [key], "cycle", wanted)
+    history = gram.cumulate(sums, [key], "cycle", wanted, max_history)
     return gram.solve(history, [key, "cycle"], [penalty])
 
 
@@ -334,7 +337,8 @@ def _with_models(rows, models, x, targets, key):
     done = rows.join(m, [key, "cycle"], "left").withColumn(
         "_p", F.array(*[one(k, t) for k, t in enumerate(targets, start=1)])
     )
-    return done.drop(x, "_w").select("*", F.inline("_p")).drop("_p")
+    # The outer form: for the inner one the optimiser adds a filter that computes _p again.
+    return done.drop(x, "_w").select("*", F.inline_outer("_p")).drop("_p")
 
 
 def additive_by_cycle(
@@ -344,17 +348,38 @@ def additive_by_cycle(
     targets: Sequence[str] = TARGETS,
     exog: Sequence[str] = EXOG,
     penalty: float = 1e-3,
+    max_history: int | None = None,
 ) -> DataFrame:
     """Each target over each cycle from trend, seasonality and regressors.
 
-    The inputs depend on one row alone, so the fit needs no ordering.
+    The inputs depend on one row alone, so the fit needs no ordering. ``max_history`` limits
+    the training rows to the last so many cycles.
     """
     span = measured.groupBy(key).agg(F.min("datetime_").alias("_t0"), F.max("datetime_").alias("_t1"))
     x = additive_inputs(F.col("datetime_"), F.col("_t0"), F.col("_t1"), exog)
     rows = measured.join(span, key).select(
         key, "cycle", "event_id", x.alias("x"), F.array(*targets).alias("y")
     )
-    models = cycle_models(rows, "x", "y", penalty, key)
+    models = cycle_models(rows, "x", "y", penalty, key, max_history)
+    out = _with_models(rows.drop("y"), models, "x", targets, key)
+    return out.select(key, "cycle", "target", "event_id", "yhat")
+
+
+def regression_by_cycle(
+    measured: DataFrame,
+    *,
+    key: str = "battery_id",
+    targets: Sequence[str] = TARGETS,
+    exog: Sequence[str] = EXOG,
+    penalty: float = 1e-3,
+    max_history: int | None = None,
+) -> DataFrame:
+    """Each target over each cycle from the regressors alone."""
+    rows = measured.select(
+        key, "cycle", "event_id",
+        F.array(*[F.col(c).cast("double") for c in exog]).alias("x"), F.array(*targets).alias("y"),
+    )
+    models = cycle_models(rows, "x", "y", penalty, key, max_history)
     out = _with_models(rows.drop("y"), models, "x", targets, key)
     return out.select(key, "cycle", "target", "event_id", "yhat")
 
@@ -376,7 +401,8 @@ def capacity_next(
 
     Scaling uses the smallest and largest values of the history, the last
     ``length`` samples of the history are kept back from the fit. A history of
-    at most ``2 * length`` rows leaves no training sample: null.
+    at most ``2 * length`` rows is modelled with shorter sequences, as long as leave a
+    training sample; the column ``length`` says how long. Below three rows: null.
     """
     cols = [target, *exog]
     rows = numbered(measured, key).select(key, "cycle", "pos", *cols)
@@ -413,14 +439,18 @@ def capacity_next(
         ),
         [key, "cycle"],
     ).withColumn("cycle", F.col("cycle").cast("long"))
-    schema = T.StructType([*labels, T.StructField("yhat", _D)])
+    schema = T.StructType([*labels, T.StructField("length", _L), T.StructField("yhat", _D)])
 
     def fit(lines: pd.DataFrame, last: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame(columns=schema.names)
-        if lines.empty or last.empty or last["cycle_start"].iloc[0] <= 2 * length:
+        if last.empty:
             return empty
         one = last.iloc[0]
         v = np.column_stack([np.asarray(one[f"tail_{c}"], dtype=float) for c in cols])
+        if one["cycle_start"] <= 2 * length:
+            return of_short(one, v)
+        if lines.empty:
+            return empty
         held = np.arange(length, 2 * length)
         X = windows(v, held)
         m = gram.matrix(lines) - X.T @ np.hstack([X, v[held, :1]])
@@ -440,7 +470,26 @@ def capacity_next(
             return empty
         x = np.concatenate([[1.0], ((v[-length:] - lo) / width).ravel()])
         yhat = float(x @ w[:, 0]) * width[0] + lo[0]
-        return pd.DataFrame({key: [one[key]], "cycle": [one["cycle"]], "yhat": [yhat]})
+        return pd.DataFrame({key: [one[key]], "cycle": [one["cycle"]], "length": [length], "yhat": [yhat]})
+
+    def of_short(one, v: np.ndarray) -> pd.DataFrame:
+        """The whole history is at hand: its own design with sequences that fit."""
+        m = len(v)
+        own = min(length, (m - 1) // 2)
+        empty = pd.DataFrame(columns=schema.names)
+        if own < 1:
+            return empty
+        lo, hi = np.asarray(one["lo"], dtype=float), np.asarray(one["hi"], dtype=float)
+        width = np.where(hi > lo, hi - lo, 1.0)
+        s = (v - lo) / width
+        past = lambda idx: s[idx[:, None] + np.arange(-own, 0)].reshape(len(idx), -1)
+        idx = np.arange(own, m - own)
+        sums = gram.outer_sums(np.hstack([np.ones((len(idx), 1)), past(idx)]), s[idx, :1])
+        w = None if sums is None else gram.ridge(sums, penalty)
+        yhat = np.nan if w is None else float(np.concatenate([[1.0], past(np.array([m]))[0]]) @ w[:, 0]) * width[0] + lo[0]
+        if not np.isfinite(yhat):
+            return empty
+        return pd.DataFrame({key: [one[key]], "cycle": [one["cycle"]], "length": [own], "yhat": [yhat]})
 
     got = (
         gram.spread(history, [key, "cycle"])
@@ -464,6 +513,7 @@ def capacity_horizon(
     exog: Sequence[str] = EXOG,
     encoder: int = ENCODER,
     penalty: float = 1e-2,
+    max_history: int | None = None,
 ) -> DataFrame:
     """``target`` of every row of each cycle.
 
@@ -498,7 +548,7 @@ def capacity_horizon(
     d = d.withColumn("x", F.concat(own, F.col("enc"))).withColumn(
         "y", F.when(F.col("centre").isNotNull(), F.array(y))
     )
-    models = cycle_models(d.select(key, "cycle", "x", "y"), "x", "y", penalty, key)
+    models = cycle_models(d.select(key, "cycle", "x", "y"), "x", "y", penalty, key, max_history)
     out = _with_models(d.drop("y"), models, "x", [target], key)
     return out.select(
         key, "cycle", "target", "event_id", "step",
@@ -510,17 +560,28 @@ def capacity_horizon(
 
 
 def history_mean(
-    measured: DataFrame, *, key: str = "battery_id", targets: Sequence[str] = TARGETS
+    measured: DataFrame,
+    *,
+    key: str = "battery_id",
+    targets: Sequence[str] = TARGETS,
+    max_history: int | None = None,
 ) -> DataFrame:
-    """Mean of each target over all earlier cycles, for every row of a cycle.
+    """Mean of each target over all earlier cycles, or the last ``max_history`` of them, for
+    every row of a cycle.
 
     The first cycle has no history, so its predictions are null, one per row.
     """
     per = measured.groupBy(key, "cycle").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(t).alias(f"_s_{t}") for t in targets]
     )
-    aggs = {"_hn": ("sum", F.col("_n"))} | {f"_h_{t}": ("sum", F.col(f"_s_{t}")) for t in targets}
-    h = running(per, [key], "cycle", aggs, inclusive=False)
+    sums = {"_hn": "_n"} | {f"_h_{t}": f"_s_{t}" for t in targets}
+    if max_history is None:
+        h = running(per, [key], "cycle", {n: ("sum", F.col(c)) for n, c in sums.items()}, inclusive=False)
+    else:
+        if max_history < 1:
+            raise ValueError("a history has at least one cycle")
+        before = Window.partitionBy(key).orderBy("cycle").rowsBetween(-max_history, -1)  # of lines per cycle
+        h = per.withColumns({n: F.sum(c).over(before) for n, c in sums.items()})
     h = h.select(key, "cycle", *[(F.col(f"_h_{t}") / F.col("_hn")).alias(f"yhat_{t}") for t in targets])
     return measured.select(key, "cycle", "event_id").join(h, [key, "cycle"], "left")
 

@@ -611,13 +611,25 @@ def forecasts(table: ModelTable, model: WindowModel, folds: Sequence[int]) -> Da
     return predict(table.grid, keys, model, fit(table.grid, keys, model), folds)
 
 
-def complete(predictions: DataFrame, table: ModelTable, model: WindowModel, folds: Sequence[int]) -> DataFrame:
-    """``unscaled`` predictions of one configuration for every series, fold and step.
+def complete(
+    predictions: DataFrame,
+    table: ModelTable,
+    model: WindowModel,
+    folds: Sequence[int],
+    configs: DataFrame | None = None,
+) -> DataFrame:
+    """``unscaled`` predictions for every series, fold and step.
 
-    A series too short for the model has rows with a null ``yhat`` and a ``reason``.
+    A series too short for the model has rows with a null ``yhat`` and a ``reason``. With
+    ``configs``, a table of one column, this holds for every configuration of it.
     """
     keys = list(table.spec.keys)
     lengths = table.raw.groupBy(*keys).agg(F.max("n").alias("n"))
+    if configs is not None:
+        (name,) = configs.columns
+        # The number of configurations is a setting.
+        every = F.array(*[F.lit(r[0]) for r in configs.distinct().collect()])
+        lengths, keys = lengths.withColumn(name, F.explode(every)), [*keys, name]
     return covered(
         predictions.drop("n"), lengths, keys, horizon=model.horizon, folds=model.folds,
         stride=model.stride, which=list(folds),

@@ -96,8 +96,9 @@ def partial_sums_of_rows(
         for pdf in batches:
             for label, part in pdf.groupby(names, sort=False):
                 X = np.vstack(part[x].to_numpy()).astype(float)
-                X = np.hstack([np.ones((len(X), 1)), X])
-                m = X.T @ np.hstack([X, np.vstack(part[y].to_numpy()).astype(float)])
+                m = outer_sums(np.hstack([np.ones((len(X), 1)), X]), np.vstack(part[y].to_numpy()).astype(float))
+                if m is None:
+                    continue
                 if label in held:
                     held[label] += m
                 else:
@@ -109,8 +110,8 @@ def partial_sums_of_rows(
         if held:
             yield lines(held, names)
 
-    whole = lambda v: v.isNotNull() & ~F.isnan(v)
-    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull() & F.forall(x, whole) & F.forall(y, whole))
+    # Elements are looked at in the task: a filter on them would compute the arrays twice.
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     return rows.select(*names, x, y).mapInPandas(run, schema)
 
 
@@ -132,14 +133,17 @@ def add_up(parts: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def cumulate(
-    sums: DataFrame, scope: Sequence[str], block: str, wanted: DataFrame
+    sums: DataFrame, scope: Sequence[str], block: str, wanted: DataFrame, last: int | None = None
 ) -> DataFrame:
     """Sums over all smaller ``block`` values, for each block in ``wanted``.
 
-    ``wanted`` has the columns ``scope`` and ``block``. A block with nothing
+    ``wanted`` has the columns ``scope`` and ``block``. With ``last`` only so many blocks of
+    ``wanted`` before each one count: the difference of two sums. A block with nothing
     before it has no result. A group holds one matrix line per block, never
     data rows.
     """
+    if last is not None and last < 1:
+        raise ValueError("a history has at least one block")
     schema = T.StructType([*[sums.schema[c] for c in (*scope, block)], *STRIPE])
     at = wanted.groupBy(*scope).agg(F.sort_array(F.collect_set(block)).alias("_at"))
 
@@ -147,8 +151,12 @@ def cumulate(
         pdf = pdf.sort_values(block)
         at = np.asarray(pdf["_at"].iloc[0])
         total = np.cumsum(np.vstack(pdf["stripe"].to_numpy()), axis=0)
-        k = np.searchsorted(pdf[block].to_numpy(), at, side="left")
-        out = pd.DataFrame({block: at[k > 0], "stripe": [total[j - 1] for j in k if j > 0]})
+        total = np.vstack([np.zeros((1, total.shape[1])), total])
+        hi = np.searchsorted(pdf[block].to_numpy(), at, side="left")
+        lo = np.zeros_like(hi)
+        if last is not None:
+            lo[last:] = hi[:-last]
+        out = pd.DataFrame({block: at[hi > lo], "stripe": list(total[hi[hi > lo]] - total[lo[hi > lo]])})
         for c in (*scope, "i"):
             out[c] = pdf[c].iloc[0]
         return out[[*schema.names]]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fadecast.operators import score, series
+from fadecast.operators import score, sequences, series
 from fadecast.plans import backtest, battery_models, forecast, gram, search
 from fadecast.plans.battery_features import capacity_fade, cycle_features, numbered_features
 from fadecast.plans.forecast import WindowModel
@@ -146,6 +146,24 @@ def test_fold_models_equal_a_retrain_per_fold(spark, local, size):
                         assert mine == pytest.approx(list(want[k]), abs=1e-8)
 
 
+def test_scores_compare_what_all_configurations_predict(spark):
+    """A short series is lost for long windows only; it must not make them look better."""
+    rng = np.random.default_rng(8)
+    ys = {"a": rng.normal(size=60), "b": rng.normal(size=20)}
+    lengths = spark.createDataFrame([(k, c, len(v)) for k, v in ys.items() for c in (1, 2)], "k string, c long, n long")
+    rows = [(k, c, f, s, 1.0) for k in ys for c in (1, 2) for f in range(3) for s in range(1, 5)
+            if not (k == "b" and c == 2 and f == 0) and not (k == "b" and c == 1 and f == 2 and s == 4)]
+    found = backtest.covered(
+        spark.createDataFrame(rows, "k string, c long, fold long, step long, yhat double"), lengths, ["k", "c"], horizon=4, folds=3
+    )
+    assert {tuple(r) for r in backtest.coverage(found, "c").collect()} == {(1, 24, 23), (2, 24, 20)}
+    shared = backtest.shared_by_all(found, ["k"], "c", 2)
+    cells = {(r["k"], r["fold"]) for r in shared.collect()}
+    assert cells == {("a", 0), ("a", 1), ("a", 2), ("b", 1)} and shared.count() == 4 * 2 * 4
+    lost = found.filter("yhat IS NULL").collect()
+    assert len(lost) == 5 and {r["reason"] for r in lost} == {"the history is too short"}
+
+
 def test_forecaster_beats_naive_on_an_autoregressive_series(spark):
     rng = np.random.default_rng(4)
     y = np.zeros(500)
@@ -317,16 +335,76 @@ def test_next_capacity_equals_a_fit_per_cycle(spark, measured, size):
         v = np.column_stack([ys["Capacity"], x])
         for c in (2, 4, 6, 10):
             h = v[cyc < c]
-            if len(h) <= 2 * L:
-                assert got[(b, c)] is None
-                continue
-            lo, hi = h.min(0), h.max(0)
-            s = (h - lo) / (hi - lo)
-            X = np.array([np.concatenate([[1.0], s[i - L : i].ravel()]) for i in range(L, len(s))])[:-L]
-            Y = s[L:, :1][:-L]
-            w = gram.ridge(X.T @ np.hstack([X, Y]), 1e-2)
-            want = np.concatenate([[1.0], s[-L:].ravel()]) @ w[:, 0] * (hi[0] - lo[0]) + lo[0]
-            assert got[(b, c)] == pytest.approx(want, rel=1e-6)
+            assert got[(b, c)] == next_value(h, min(L, (len(h) - 1) // 2))
+
+
+def next_value(h, L):
+    """A plain loop over sequences of length L; None if none can be trained on."""
+    if L < 1:
+        return None
+    lo, hi = h.min(0), h.max(0)
+    s = (h - lo) / np.where(hi > lo, hi - lo, 1.0)
+    X = np.array([np.concatenate([[1.0], s[i - L : i].ravel()]) for i in range(L, len(s))])[:-L]
+    Y = s[L:, :1][:-L]
+    w = gram.ridge(X.T @ np.hstack([X, Y]), 1e-2)
+    width = hi[0] - lo[0] if hi[0] > lo[0] else 1.0
+    return pytest.approx(np.concatenate([[1.0], s[-L:].ravel()]) @ w[:, 0] * width + lo[0], rel=1e-6)
+
+
+@pytest.mark.parametrize("length", [5, 40])
+def test_short_histories_get_shorter_sequences(spark, length):
+    measured = spark.createDataFrame(battery(cycles=9, per=3), COLS)
+    rows = battery(cycles=9, per=3)
+    got = battery_models.capacity_next(measured, length=length).collect()
+    assert len(got) == 2 * 9
+    for b in ("B0", "B1"):
+        mine, cyc, x, ys = split_rows(rows, b)
+        v = np.column_stack([ys["Capacity"], x])
+        for r in got:
+            if r["battery_id"] == b:
+                h = v[cyc < r["cycle"]]
+                own = min(length, (len(h) - 1) // 2)
+                assert r["length"] == (own if own > 0 else None)
+                assert r["yhat"] == next_value(h, own)
+
+
+@pytest.mark.parametrize("last", [1, 2, 50])
+def test_bounded_histories_equal_a_fit_on_the_last_cycles(spark, measured, last):
+    rows = battery()
+    got = {(r["target"], r["event_id"]): r["yhat"] for r in battery_models.regression_by_cycle(measured, max_history=last).collect()}
+    mean = {r["event_id"]: r["yhat_Time"] for r in battery_models.history_mean(measured, max_history=last).collect()}
+    all_rows = {(r["target"], r["event_id"]): r["yhat"] for r in battery_models.regression_by_cycle(measured).collect()}
+    for b in ("B0", "B1"):
+        mine, cyc, x, ys = split_rows(rows, b)
+        ids = np.array([r[0] for r in mine])
+        for k, c in enumerate((2, 4, 6, 8, 10)):
+            seen = np.isin(cyc, [2, 4, 6, 8, 10][max(0, k - last) : k])
+            for t in ("Time", "Capacity"):
+                here = ids[cyc == c]
+                if not k:
+                    assert {got[t, i] for i in here} == {None}
+                    continue
+                X = np.column_stack([np.ones(seen.sum()), x[seen]])
+                w = gram.ridge(X.T @ np.column_stack([X, ys[t][seen]]), 1e-3)[:, 0]
+                want = np.column_stack([np.ones(len(here)), x[cyc == c]]) @ w
+                assert [got[t, i] for i in here] == pytest.approx(list(want), rel=1e-6)
+                if last == 50:
+                    assert [got[t, i] for i in here] == pytest.approx([all_rows[t, i] for i in here], rel=1e-9)
+            if k:
+                assert [mean[i] for i in ids[cyc == c]] == pytest.approx([ys["Time"][seen].mean()] * (cyc == c).sum())
+
+
+def test_history_rows_of_the_last_blocks(spark):
+    rows = [("a", c, 10 * c + i) for c in (1, 4, 5, 9) for i in range(c)] + [("b", 2, 7), ("b", None, 8), (None, 3, 9)]
+    df = spark.createDataFrame(rows, "k string, c int, v int")
+    got = sorted(tuple(r) for r in sequences.history_rows(df, ["k"], "c", 2).select("k", "c", "history_c", "v").collect())
+    want = []
+    for k, blocks in (("a", [1, 4, 5, 9]),):
+        for i, c in enumerate(blocks):
+            want += [(k, c, h, v) for h in blocks[max(0, i - 2) : i] for kk, hh, v in rows if kk == k and hh == h]
+    assert got == sorted(want)
+    with pytest.raises(ValueError):
+        sequences.history_rows(df, ["k"], "c", 0)
 
 
 def test_capacity_horizon_uses_only_the_past_and_known_inputs(spark, measured):
