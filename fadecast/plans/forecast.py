@@ -628,7 +628,8 @@ def complete(
     if configs is not None:
         (name,) = configs.columns
         # The number of configurations is a setting.
-        every = F.array(*[F.lit(r[0]) for r in configs.distinct().collect()])
+        kind = configs.schema[name].dataType
+        every = F.array(*[F.lit(r[0]).cast(kind) for r in configs.distinct().collect()])
         lengths, keys = lengths.withColumn(name, F.explode(every)), [*keys, name]
     return covered(
         predictions.drop("n"), lengths, keys, horizon=model.horizon, folds=model.folds,
