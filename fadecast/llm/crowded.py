@@ -5,7 +5,10 @@ region still has rows of different components, the sets of its rows are joined e
 sets at the threshold share one of their first shingles in any fixed order, at places from
 which enough of both sets is left. The order puts rare shingles first, by counts of BUCKETS
 hash buckets; other counts would only make more candidates. Rows of one component need no
-further pair. The shingles that many rows share are dealt over tasks in parts.
+further pair. The rows with one shingle are dealt to tiles of two parts, which hold a bounded
+number of rows each. A tile's pairs are looked at where they lie: by sizes, by places, and by
+a sketch that bounds the difference of two sets from below, the parity of the shingles in
+each of BITS hash buckets. Only pairs that pass, nearly all of them similar, leave the task.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from fadecast.llm.components import components
 PART = 1000  # rows with one shingle that a task's part holds
 TOKENS = 1 << 18  # shingles of a batch
 BUCKETS = 1 << 18  # counts of shingles
+BITS = 1024  # of a sketch
+PAIRS = 1 << 17  # pairs looked at at a time
 
 Shingles = Callable[[bytes], np.ndarray]  # the distinct shingle hashes of a row's body
 
@@ -64,6 +69,13 @@ def _levels(sets: DataFrame, shingles: Shingles) -> np.ndarray:
     return out.clip(0, 255).astype(np.uint8)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in BITS buckets. The bits in which two sketches differ are at
+    most as many as the shingles that one of the sets lacks."""
+    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
 def _prefixes(levels, percent: int, shingles: Shingles):
     """The first shingles of each set, with the number of the set's shingles from there on."""
 
@@ -76,14 +88,17 @@ def _prefixes(levels, percent: int, shingles: Shingles):
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             columns = [np.repeat(np.array([r[k] for r in rows], np.int64), size) for k in (0, 1)]
             columns += [np.repeat(n, size), np.repeat(n, size) - place, np.concatenate([r[2] for r in rows]).view(np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "part_of", "n", "left", "shingle"])
+            bits = common.binaries(np.vstack([r[4] for r in rows])).take(pa.array(np.repeat(np.arange(len(rows)), size)))
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in columns), bits], names=["id", "part_of", "n", "left", "shingle", "bits"]
+            )
 
         for b in batches:
             rows, held = [], 0
             for i, r, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 s = shingles(body.as_py())
                 first = len(s) - (percent * len(s) + 99) // 100 + 1
-                rows.append((i, r, s[np.lexsort((s, rank[_buckets(s)]))[:first]], len(s)))
+                rows.append((i, r, s[np.lexsort((s, rank[_buckets(s)]))[:first]], len(s), sketch(s)))
                 held += first
                 if held > TOKENS:
                     yield emit(rows)
@@ -94,24 +109,75 @@ def _prefixes(levels, percent: int, shingles: Shingles):
     return run
 
 
+def _passing(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """Pairs of rows of one tile that sizes, places and sketches allow."""
+    column = lambda c: rows.column(c).to_numpy()
+    ids, part_of, n, left, side = (column(c) for c in ("id", "part_of", "n", "left", "side"))
+    bits = common.matrix(rows.column("bits"), BITS // 8).view(np.uint64)
+    tile = np.vstack([column(c) for c in ("shingle", "p", "q")])
+    new = np.append(True, (tile[:, 1:] != tile[:, :-1]).any(axis=0))
+    end = np.append(np.flatnonzero(new)[1:], len(ids))[np.cumsum(new) - 1]
+    within = column("p") == column("q")
+    later = end - np.arange(len(ids)) - 1
+    upto, found = np.cumsum(later), []
+    lo = 0
+    while lo < len(ids):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
+        i = np.repeat(np.arange(lo, hi), later[lo:hi])
+        j = np.arange(len(i)) - np.repeat(np.cumsum(later[lo:hi]) - later[lo:hi], later[lo:hi]) + i + 1
+        ok = (part_of[i] != part_of[j]) & (within[i] | (side[i] != side[j]))
+        ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        ok &= (100 + percent) * np.minimum(left[i], left[j]) >= percent * (n[i] + n[j])
+        i, j = i[ok], j[ok]
+        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
+        found.append(np.stack([ids[i[ok]], ids[j[ok]]]))
+        lo = hi
+    pairs = np.unique(np.sort(np.hstack(found), axis=0), axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["id_a", "id_b"])
+
+
+def _tiles(percent: int):
+    """Passing pairs of whole tiles; the last tile of a batch waits for the next one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+            if not t.num_rows:
+                continue
+            last = [t.column(c)[t.num_rows - 1] for c in ("shingle", "p", "q")]
+            same = np.logical_and.reduce([t.column(c).to_numpy() == v.as_py() for c, v in zip(("shingle", "p", "q"), last)])
+            start = t.num_rows - int(same.sum())
+            held = t.slice(start)
+            if start:
+                yield _passing(t.slice(0, start), percent)
+        if held is not None:
+            yield _passing(held, percent)
+
+    return run
+
+
 def candidates(sets: DataFrame, percent: int, shingles: Shingles) -> DataFrame:
     """All pairs ``id_a, id_b`` of ``sets (id, part_of, body)`` that may be similar and are
     not part of one component."""
     levels = sets.sparkSession.sparkContext.broadcast(_levels(sets, shingles))
     first = sets.select("id", "part_of", "body").mapInArrow(
-        _prefixes(levels, percent, shingles), "id long, part_of long, n long, left long, shingle long"
+        _prefixes(levels, percent, shingles), "id long, part_of long, n long, left long, shingle long, bits binary"
     )
     first = common.written(first, "prefixes")
     parts = first.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("part_of").alias("x"), F.max("part_of").alias("y"))
     parts = parts.filter("x <> y").select("shingle", F.ceil(F.col("c") / PART).cast("int").alias("parts"))
-    first = first.join(common.sized(parts), "shingle")
-    a = first.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    b = first.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    a, b = (d.select("shingle", "part", *(F.col(c).alias(f"{c}_{k}") for c in ("id", "part_of", "n", "left"))) for d, k in ((a, "a"), (b, "b")))
-    pairs = a.join(b, ["shingle", "part"]).filter("id_a < id_b and part_of_a <> part_of_b")
-    pairs = pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    pairs = pairs.filter(f"{100 + percent} * least(left_a, left_b) >= {percent} * (n_a + n_b)")
-    return pairs.select("id_a", "id_b").distinct()
+    rows = first.join(common.sized(parts), "shingle").withColumn("side", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select(
+        "shingle", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"),
+        "id", "part_of", "n", "left", "side", "bits",
+    )
+    tile = ["shingle", "p", "q"]
+    dealt = rows.repartition(common.partitions(sets), *tile).sortWithinPartitions(*tile)
+    return dealt.mapInArrow(_tiles(percent), "id_a long, id_b long").distinct()
 
 
 def _confirmed(percent: int, shingles: Shingles):

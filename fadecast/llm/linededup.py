@@ -1,7 +1,7 @@
 """Fuzzy line de-duplication.
 
 Lines are compared in a normal form (lower-cased, white space runs as one blank). Equal
-ones collapse first. A distinct line gets MinHash signatures of its character shingles;
+ones collapse first, at any length. A distinct line of at least SHINGLE characters gets MinHash signatures of its character shingles;
 BANDS bands of ROWS values each find at least 99 % of the lines at the threshold. Inside a
 band the rows are sorted, the most frequent line first, and each meets its neighbours and
 the first of the band. Candidates are confirmed by exact Jaccard similarity and joined to
@@ -29,7 +29,6 @@ SHINGLE = 8  # characters
 BANDS = 8
 ROWS = 3
 PERCENT = 80
-MIN_WORDS = 5  # shorter lines are never compared
 NEAR = 2
 HELD = 1 << 18  # characters that one numpy step looks at
 
@@ -61,7 +60,7 @@ def char_shingles(text: str) -> np.ndarray:
 
 
 def bands(lines: list[str]) -> np.ndarray:
-    """A row of BANDS hashes per normal line of SHINGLE characters or more."""
+    """A row of BANDS hashes per normal line; all lines have SHINGLE characters or more."""
     out = np.empty((len(lines), BANDS), np.uint64)
     lo = 0
     while lo < len(lines):
@@ -90,13 +89,13 @@ def bands(lines: list[str]) -> np.ndarray:
 
 
 def _lines_of(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, int, str]]:
-    """``row, line number, normal line`` of the lines long enough to be compared."""
+    """``row, line number, normal line`` of all lines that are not blank."""
     for i, text in enumerate(batch.column(text_at)):
         text = text.as_py()
         if text:
             for k, line in enumerate(text.split("\n")):
                 line = normal(line)
-                if line.count(" ") + 1 >= MIN_WORDS:
+                if line:
                     yield i, k, line
 
 
@@ -106,14 +105,17 @@ _LINES = "doc_id long, text_key long, line_no int, key binary"
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def emit(batch, rows, at, lines):
         i = pa.array(rows, pa.int64())
-        flat = pa.array(bands(lines).view(np.int64).ravel())
+        # A line without a shingle has no bands: only equal ones are its copies.
+        long = np.array([len(x) >= SHINGLE for x in lines])
+        flat = pa.array(bands([x for x in lines if len(x) >= SHINGLE]).view(np.int64).ravel())
+        ends = np.concatenate([[0], np.cumsum(long)]) * BANDS
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(i),
                 batch.column(1).take(i),
                 pa.array(at, pa.int32()),
                 pa.array([line_key(x) for x in lines], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * BANDS, pa.int32()), flat),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
             ],
             names=["doc_id", "text_key", "line_no", "key", "bands"],
         )
@@ -258,7 +260,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``removed_lines``, the numbers (from 0) of the lines that are near
     copies of an earlier line of the corpus; null if there are none.
 
-    Lines of fewer than MIN_WORDS words stay. Null and empty texts have no line to remove.
+    Blank lines stay; lines of fewer than SHINGLE characters go only as equal copies. Null and
+    empty texts have no line to remove. Long lines and texts are compared whole.
     Rows without an id take no part. Equal rows are one document, so they lose and keep
     the same lines. An empty table gives an empty table. Other columns pass through.
     """

@@ -67,10 +67,11 @@ def gone_lines(texts):
     for d, t in texts.items():
         for k, line in enumerate((t or "").split("\n")):
             line = linededup.normal(line)
-            if line.count(" ") + 1 >= linededup.MIN_WORDS:
+            if line:
                 where[line].append((d, k))
     n = linededup.SHINGLE
-    sets = {min(v): frozenset(x[i : i + n] for i in range(len(x) - n + 1)) for x, v in where.items()}
+    # A line without a shingle is like its equals only.
+    sets = {min(v): frozenset(x[i : i + n] for i in range(len(x) - n + 1)) or frozenset([x]) for x, v in where.items()}
     root = linked(sets, linededup.PERCENT)
     return {p for v in where.values() for p in v if p != root[min(v)]}
 
