@@ -5,11 +5,14 @@ directions, scores tags (outside, or begin / inside of a kind) and a CRF decodes
 allowed sequence; it adds spans that the rules' patterns do not cover. It is trained here
 in numpy, from labelled spans.
 
-Long texts are read in overlapping windows. A personal-data span holds a digit or an at
-sign by definition of the four kinds, so windows without one are decided without reading
-them. In the overlap of two windows each character takes its tag from the window in whose
-inner part it stands, so every character is decided once with context on both sides, and
-spans over window borders are joined by that.
+Texts are read in cells of CELL characters; each cell lies in two overlapping windows, which
+see it with context on different sides. Their scores are added, weighted by the distance to
+the window's edge, and one Viterbi search runs over each whole stretch of cells, so windows
+that disagree are reconciled over the stretch and no border cuts a span.
+
+Every span that can be added holds a digit, an at sign or the word "at" between blanks
+(``spans_of`` asks for it), so cells further than REACH characters from all of these are
+outside of every span and are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ KINDS = ("email", "ip", "card", "phone")
 # The patterns of the base rules.
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    # Matches only start where digits start, which keeps the search linear in long numbers.
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
@@ -59,14 +63,6 @@ def _holds(kind: str, found: str) -> bool:
 
 
 _AT_OR_DIGIT = re.compile("[0-9@]")
-# Every match of a pattern lies in a run of its characters; matching run by run keeps
-# the search linear on long texts.
-_RUNS = {
-    "email": re.compile(r"[A-Za-z0-9._%+@-]+"),
-    "ip": re.compile(r"[0-9.]+"),
-    "card": re.compile(r"[0-9][0-9\x20-]*"),
-    "phone": re.compile(r"\+[\x20().0-9-]+"),
-}
 _ADDRESS = re.compile(r"@")
 
 
@@ -103,8 +99,9 @@ def _emails(text: str) -> list[Span]:
 
 # --- the tagger -------------------------------------------------------------------------
 
-WINDOW = 96  # characters
-CONTEXT = 32  # of them on each side that only give context
+CELL = 48  # characters
+WINDOW = 2 * CELL
+REACH = 64  # characters around a digit or at sign that are read
 HIDDEN = 20
 EMBED = 12
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -115,20 +112,19 @@ _ALPHABET = "@.+-()_% :=,\"'/#"
 
 
 def codes(text: str) -> np.ndarray:
-    """A small number per character: classes of letters, single digits, signs."""
+    """A small number per character: one per ASCII letter, digit and listed sign."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = np.full(len(c), 1, np.int64)  # other
-    out[(c >= 97) & (c <= 122)] = 2
-    out[(c >= 65) & (c <= 90)] = 3
-    out[(c >= 48) & (c <= 57)] = 4
-    out[(c == 10) | (c == 13) | (c == 9)] = 5
-    for k, ch in enumerate(_ALPHABET):
-        out[c == ord(ch)] = 6 + k
-    out[(c > 127)] = 6 + len(_ALPHABET)
-    return out
+    return _SYMBOL[np.minimum(c, 128)]
 
 
-SYMBOLS = 7 + len(_ALPHABET)  # 0 pads
+_SYMBOL = np.full(129, 1, np.uint8)  # other signs
+_SYMBOL[128] = 2  # beyond ASCII
+_SYMBOL[[9, 10, 13]] = 3
+_SYMBOL[[ord(ch) for ch in _ALPHABET]] = 4 + np.arange(len(_ALPHABET))
+_PLAIN = [*range(48, 58), *range(65, 91), *range(97, 123)]
+_SYMBOL[_PLAIN] = 4 + len(_ALPHABET) + np.arange(len(_PLAIN))
+
+SYMBOLS = 4 + len(_ALPHABET) + len(_PLAIN)  # 0 pads
 
 
 def _allowed() -> np.ndarray:
@@ -168,8 +164,8 @@ class Tagger:
     def _direction(self, side: str, e: np.ndarray, keep: bool):
         n, t, _ = e.shape
         x = e @ self.w[f"x{side}"] + self.w[f"b{side}"]
-        h, c = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
-        out, held = np.empty((n, t, HIDDEN)), []
+        h, c = np.zeros((2, n, HIDDEN), e.dtype)
+        out, held = np.empty((n, t, HIDDEN), e.dtype), []
         for k in range(t) if side == "f" else range(t - 1, -1, -1):
             g = x[:, k] + h @ self.w[f"h{side}"]
             i, f, o = (sigmoid(g[:, s * HIDDEN : (s + 1) * HIDDEN]) for s in (0, 1, 2))
@@ -189,8 +185,53 @@ class Tagger:
         h = np.concatenate([hf, hb], axis=2)
         return h @ self.w["out"] + self.w["bias"], (e, h, kf, kb)
 
+    def read(self, s: np.ndarray) -> np.ndarray:
+        """As ``scores`` without what training needs, in single precision."""
+        n, t = s.shape
+        s, sides, H = np.ascontiguousarray(s.T), [], HIDDEN
+        # A logistic gate is a hyperbolic tangent of half its input. Rows are units, so that
+        # every gate is one contiguous block.
+        half = np.repeat([0.5, 0.5, 0.5, 1.0], H)
+        for side in "fb":
+            x = ((self.w["emb"] @ self.w[f"x{side}"] + self.w[f"b{side}"]) * half).T.astype(np.float32)
+            back = np.ascontiguousarray((self.w[f"h{side}"] * half).T, np.float32)
+            h, c = np.zeros((2, H, n), np.float32)
+            out = np.empty((t, H, n), np.float32)
+            for k in range(t) if side == "f" else range(t - 1, -1, -1):
+                g = np.take(x, s[k], axis=1)
+                g += back @ h
+                np.tanh(g, out=g)
+                gate = g[: 3 * H]
+                gate *= 0.5
+                gate += 0.5
+                c *= gate[H : 2 * H]
+                c += gate[:H] * g[3 * H :]
+                h = np.tanh(c, out=out[k])
+                h *= gate[2 * H :]
+            sides.append(out)
+        w = self.w["out"].T.astype(np.float32)
+        score = w[:, :H] @ sides[0] + w[:, H:] @ sides[1]
+        return score.transpose(2, 0, 1) + self.w["bias"].astype(np.float32)
+
+    def chances(self, score: np.ndarray) -> np.ndarray:
+        """Tag probabilities as of ``marginals``, by scaled sums of products."""
+        n, t, m = score.shape
+        move = np.exp(self.moves()).astype(np.float32)
+        e = np.exp(score - score.max(2, keepdims=True)).transpose(1, 2, 0).astype(np.float32)
+        a, b = np.empty_like(e), np.ones_like(e)
+        a[0] = e[0] * START[:, None]
+        for k in range(1, t):
+            a[k] = (move.T @ a[k - 1]) * e[k]
+            a[k] /= a[k].sum(0)
+        for k in range(t - 2, -1, -1):
+            b[k] = move @ (b[k + 1] * e[k + 1])
+            b[k] /= b[k].sum(0)
+        a *= b
+        a /= a.sum(1, keepdims=True)
+        return a.transpose(2, 0, 1)
+
     def moves(self) -> np.ndarray:
-        return np.where(ALLOWED, self.w["move"], NEVER)
+        return np.where(ALLOWED, self.w["move"], self.w["move"].dtype.type(NEVER))
 
     def marginals(self, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tag probabilities, expected transitions and log of the sum over all sequences."""
@@ -224,6 +265,60 @@ class Tagger:
             path[:, k] = back[k][np.arange(n), path[:, k + 1]]
         return path
 
+    def _cells(self, score: np.ndarray, keep: bool) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Best scores (tag before the cell, its last tag, cell), and the way back."""
+        move = self.moves().astype(score.dtype)
+        score = np.ascontiguousarray(score.transpose(1, 2, 0))  # one line of cells per tag
+        best, ways = move[:, :, None] + score[0], []
+        before = [np.flatnonzero(ALLOWED[:, j]) for j in range(len(TAGS))]
+        for k in range(1, len(score)):
+            now, way = np.empty_like(best), np.empty(best.shape, np.int8)
+            for j, froms in enumerate(before):
+                top = best[:, froms[0]] + move[froms[0], j]
+                if keep:
+                    way[:, j] = froms[0]
+                for i in froms[1:]:
+                    other = best[:, i] + move[i, j]
+                    if keep:
+                        way[:, j][other > top] = i
+                    np.maximum(top, other, out=top)
+                now[:, j] = top + score[k, j]
+            best = now
+            if keep:
+                ways.append(way)
+        return best, ways
+
+    def decode_long(self, score: np.ndarray, block: int = 2048) -> np.ndarray:
+        """The best tag sequence of one long stretch, given by cells (cells, CELL, tags).
+
+        Cells are solved side by side for every tag before them, then chained: the result of
+        ``decode`` on the stretch, without a step per character.
+        """
+        n, t, m = score.shape
+        # Before the stretch stands a cell of tag O with free moves into the first tag.
+        score = score.copy()
+        score[0, 0] += np.where(START, 0, NEVER) - self.moves()[0]
+        came = np.zeros((n, m), np.int8)
+        v = np.where(np.arange(m) == 0, 0, NEVER).astype(np.float64)
+        for lo in range(0, n, block):
+            best = self._cells(score[lo : lo + block], keep=False)[0].transpose(2, 0, 1)
+            for k, own in enumerate(best, start=lo):
+                both = v[:, None] + own
+                came[k], v = both.argmax(0), both.max(0)
+        ends = np.zeros(n + 1, np.int8)  # ends[0] stands before the stretch
+        ends[n] = v.argmax()
+        for k in range(n, 0, -1):
+            ends[k - 1] = came[k - 1, ends[k]]
+        path = np.empty((n, t), np.int64)
+        for lo in range(0, n, block):
+            part = path[lo : lo + block]
+            _, back = self._cells(score[lo : lo + block], keep=True)
+            rows, before = np.arange(len(part)), ends[lo : lo + len(part)]
+            part[:, -1] = ends[lo + 1 : lo + 1 + len(part)]
+            for k in range(t - 2, -1, -1):
+                part[:, k] = back[k][before, part[:, k + 1], rows]
+        return path
+
     def gradients(self, s: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the tags ``y`` and its gradients."""
         n, t = s.shape
@@ -241,7 +336,8 @@ class Tagger:
         dh = d @ self.w["out"].T
         de = np.zeros_like(e)
         for side, held, part in (("f", kf, dh[:, :, :HIDDEN]), ("b", kb, dh[:, :, HIDDEN:])):
-            dx, dn, dc = np.empty((n, t, 4 * HIDDEN)), np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
+            dx = np.empty((n, t, 4 * HIDDEN), e.dtype)
+            dn, dc = np.zeros((2, n, HIDDEN), e.dtype)
             gh = np.zeros_like(self.w[f"h{side}"])
             for k, i, f, o, u, tc, c0, h0 in reversed(held):
                 up = part[:, k] + dn
@@ -264,9 +360,10 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - m).sum(axis)) + m.squeeze(axis)
 
 
-def fit(s: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 48, rate: float = 0.015, seed: int = SEED) -> Tagger:
+def fit(s: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.015, seed: int = SEED) -> Tagger:
     """A tagger fitted by Adam to windows ``s`` and their tags ``y``."""
     tagger, r = Tagger(seed), np.random.default_rng(seed)
+    tagger.w = {k: v.astype(np.float32) for k, v in tagger.w.items()}
     m1 = {k: np.zeros_like(v) for k, v in tagger.w.items()}
     m2 = {k: np.zeros_like(v) for k, v in tagger.w.items()}
     step = 0
@@ -288,7 +385,7 @@ def fit(s: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 48, rate: fl
 
 # --- labelled spans ---------------------------------------------------------------------
 
-EXAMPLES = 500
+EXAMPLES = 1200
 
 
 def labelled(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, list[Span]]]:
@@ -347,7 +444,7 @@ def windows_of(examples: list[tuple[str, list[Span]]]) -> tuple[np.ndarray, np.n
             tags[a:b] = TAGS.index(f"I-{kind}")
             tags[a] = TAGS.index(f"B-{kind}")
         own = codes(text)
-        for at in range(0, len(text), WINDOW - CONTEXT):
+        for at in range(0, len(text), CELL):
             part, t = own[at : at + WINDOW], tags[at : at + WINDOW].copy()
             if t[0] and TAGS[t[0]][0] == "I":  # a span cut by the window's start
                 t[0] -= 1
@@ -363,50 +460,113 @@ def trained() -> Tagger:
 
 # --- reading whole texts ----------------------------------------------------------------
 
-INNER = WINDOW - 2 * CONTEXT
-
-
-def window_starts(text: str) -> list[int]:
-    """Starts of the inner parts that have to be read: those within reach of a digit or @."""
-    need = set()
-    for m in _AT_OR_DIGIT.finditer(text):
-        k = m.start() // INNER
-        need.update((k - 1, k, k + 1))
-    last = (len(text) - 1) // INNER
-    return [k * INNER for k in sorted(need) if 0 <= k <= last]
-
-
-def tag_texts(texts: list[str], tagger: Tagger, batch: int = 256) -> list[list[Span]]:
-    """Spans of the tagger in each text, from windows reconciled over the whole text."""
-    where = [(i, at) for i, text in enumerate(texts) for at in window_starts(text)]
-    own: dict[int, np.ndarray] = {}
-    tags: dict[int, np.ndarray] = {}
-    sure: dict[int, np.ndarray] = {}
-    for lo in range(0, len(where), batch):
-        part = where[lo : lo + batch]
-        s = np.zeros((len(part), WINDOW), np.int64)
-        for k, (i, at) in enumerate(part):
-            if i not in own:
-                own[i] = codes(texts[i])
-                tags[i], sure[i] = np.zeros(len(texts[i]), np.int8), np.ones(len(texts[i]), np.float32)
-            a = max(0, at - CONTEXT)
-            piece = own[i][a : at + INNER + CONTEXT]
-            shift = CONTEXT - (at - a)
-            s[k, shift : shift + len(piece)] = piece
-        score, _ = tagger.scores(s)
-        path, p = tagger.decode(score), tagger.marginals(score)[0]
-        for k, (i, at) in enumerate(part):
-            n = min(INNER, len(texts[i]) - at)
-            t = path[k, CONTEXT : CONTEXT + n]
-            tags[i][at : at + n] = t
-            sure[i][at : at + n] = p[k, np.arange(CONTEXT, CONTEXT + n), t]
-    return [spans_of(texts[i], tags[i], sure[i]) if i in tags else [] for i in range(len(texts))]
+_AT = re.compile(" at ")
+# Weights of a cell's characters in the window that ends with it and in the one that starts
+# with it; they add up to 1.
+_FALLING = (CELL - np.arange(CELL, dtype=np.float32)) / (CELL + 1)
+_SHORT = 8  # cells; stretches up to here are decoded in batches of equal length
+
+
+def cells_to_read(text: str, own: np.ndarray) -> np.ndarray:
+    """Numbers of the cells within REACH of a digit, an at sign or the word "at"."""
+    if not len(own):
+        return np.zeros(0, np.int64)
+    at = np.flatnonzero(_TRIGGER[own])
+    at = np.concatenate([at, np.array([m.start() for m in _AT.finditer(text)], np.int64)])
+    last = (len(own) - 1) // CELL
+    step = np.zeros(last + 2, np.int64)
+    np.add.at(step, np.maximum(at - REACH, 0) // CELL, 1)
+    np.add.at(step, np.minimum((at + REACH) // CELL, last) + 1, -1)
+    return np.flatnonzero(np.cumsum(step)[:-1])
+
+
+_TRIGGER = np.zeros(SYMBOLS, bool)
+_TRIGGER[codes("0123456789@")] = True
+
+
+def _of_windows(padded: np.ndarray, cells: np.ndarray, score, tags: int, batch: int = 512) -> np.ndarray:
+    """Weighted sums per cell of what ``score`` gives for the two windows around it.
+
+    ``padded`` are codes with a cell of padding before each text and two behind it, ``cells``
+    are ascending cell numbers in it; window k holds cells k and k + 1.
+    """
+    out = np.zeros((len(cells), CELL, tags), np.float32)
+    windows = np.union1d(cells - 1, cells)
+    for lo in range(0, len(windows), batch):
+        k = windows[lo : lo + batch]
+        got = score(padded[(k * CELL)[:, None] + np.arange(WINDOW)])
+        for shift, weight, half in ((0, 1 - _FALLING, got[:, :CELL]), (1, _FALLING, got[:, CELL:])):
+            place = np.searchsorted(cells, k + shift)
+            place[place == len(cells)] = 0
+            there = cells[place] == k + shift
+            out[place[there]] += half[there] * weight[:, None]
+    return out
+
+
+def tag_texts(texts: list[str], tagger: Tagger, characters: int = 1 << 18) -> list[list[Span]]:
+    """Spans of the tagger in each text, decoded over the whole text; several texts of
+    together ``characters`` are read at once."""
+    out: list[list[Span]] = []
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= characters:
+            out += _tag_some(held, tagger)
+            held, size = [], 0
+    return out + _tag_some(held, tagger)
+
+
+def _tag_some(texts: list[str], tagger: Tagger) -> list[list[Span]]:
+    own, starts, cells, at = [], [], [], 0
+    for text in texts:
+        c = codes(text)
+        room = -(-len(c) // CELL) + 3  # one cell of padding before the text, two behind it
+        own.append(np.pad(c, (CELL, room * CELL - CELL - len(c))))
+        starts.append(at)
+        cells.append(cells_to_read(text, c) + at + 1)
+        at += room
+    if not texts or not (n := sum(map(len, cells))):
+        return [[] for _ in texts]
+    flat, all_cells = np.concatenate(own), np.concatenate(cells)
+    score = _of_windows(flat, all_cells, tagger.read, len(TAGS))
+    score[flat.reshape(-1, CELL)[all_cells] == 0] = np.where(np.arange(len(TAGS)) == 0, 0, NEVER)
+    tags = np.zeros((n, CELL), np.int64)
+    edges = np.flatnonzero(np.r_[True, np.diff(all_cells) > 1, True])
+    lengths = np.diff(edges)
+    for k in np.unique(lengths):
+        runs = edges[:-1][lengths == k]
+        if k > _SHORT:
+            for a in runs:
+                tags[a : a + k] = tagger.decode_long(score[a : a + k])
+        else:
+            rows = runs[:, None] + np.arange(k)
+            tags[rows] = tagger.decode(score[rows].reshape(len(runs), k * CELL, -1)).reshape(len(runs), k, CELL)
+    # Probabilities are only needed where something was found.
+    some = np.flatnonzero(tags.any(1))
+    sure = np.ones((n, CELL), np.float32)
+    if len(some):
+        p = _of_windows(flat, all_cells[some], lambda s: tagger.chances(tagger.read(s)), len(TAGS))
+        sure[some] = np.take_along_axis(p, tags[some][:, :, None], 2)[:, :, 0]
+    out, lo = [], 0
+    for text, start, mine in zip(texts, starts, cells):
+        part = slice(lo, lo + len(mine))
+        lo += len(mine)
+        if not tags[part].any():
+            out.append([])
+            continue
+        t, q = np.zeros((-(-len(text) // CELL), CELL), np.int8), np.ones((-(-len(text) // CELL), CELL), np.float32)
+        t[mine - start - 1], q[mine - start - 1] = tags[part], sure[part]
+        out.append(spans_of(text, t.ravel()[: len(text)], q.ravel()[: len(text)]))
+    return out
 
 
 def spans_of(text: str, tags: np.ndarray, sure: np.ndarray) -> list[Span]:
     """Spans of a text's reconciled tags: sure ones that the kind's own rules allow."""
     kind_at = (tags + 1) // 2
-    edges = np.flatnonzero(np.r_[True, kind_at[1:] != kind_at[:-1], True])
+    begins = (tags[1:] % 2 == 1) | (kind_at[1:] != kind_at[:-1])
+    edges = np.flatnonzero(np.r_[True, begins, True])
     out = []
     for a, b in zip(edges[:-1], edges[1:]):
         if kind_at[a] and sure[a:b].mean() >= SURE:
@@ -429,11 +589,11 @@ def merged(base: list[Span], more: list[Span]) -> list[Span]:
     """All base spans, and the added ones that overlap none of them."""
     taken = sorted((a, b) for _, a, b in base)
     starts = np.array([a for a, _ in taken])
+    # Base spans of different kinds may overlap each other: the furthest end so far counts.
+    ends = np.maximum.accumulate(np.array([0, *(b for _, b in taken)]))
     out = list(base)
     for kind, a, b in more:
-        k = int(np.searchsorted(starts, b)) if len(starts) else 0
-        # Base spans of different kinds may overlap each other, so all before are looked at.
-        if not any(x < b and a < y for x, y in taken[:k]):
+        if ends[np.searchsorted(starts, b)] <= a:
             out.append((kind, a, b))
     return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 
