@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fadecast.catalog.base import DISCHARGE, ELEC, FEATURES, GRID, USERS, ctes, q6, r6
 from fadecast.operators import score, sequences, series
-from fadecast.plans import backtest, battery_models, forecast, search
+from fadecast.plans import backtest, battery_models, changepoints, forecast, search
 from fadecast.plans.battery_features import numbered_features
 from fadecast.plans.forecast import WindowModel
 from fadecast.session import checkpointed
@@ -378,6 +378,70 @@ def additive_by_cycle(spark, sf):
     return battery_models.additive_by_cycle(tables.discharge(spark, sf))
 
 
+@query()
+def additive_changepoints(spark, sf):
+    """The additive model with changepoints selected by an L1 penalty per cycle."""
+    return changepoints.additive_changepoints(tables.discharge(spark, sf))
+
+
+_TARGET_NAMES = ", ".join(f"('{t}')" for t in battery_models.TARGETS)
+
+
+@query(
+    ctes(DISCHARGE, """c AS (SELECT battery_id, cycle, count(*) AS n FROM discharge GROUP BY battery_id, cycle),
+h AS (SELECT battery_id, cycle, CAST(sum(n) OVER (PARTITION BY battery_id ORDER BY cycle
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS n_rows FROM c)""")
+    + f"""SELECT battery_id, cycle, target, CAST(p.k AS BIGINT) AS penalty_id, n_rows, true AS optimal
+FROM h, (VALUES {_TARGET_NAMES}) t(target), range({len(changepoints.SHARES)}) p(k) WHERE n_rows > 0"""
+)
+def changepoint_path(spark, sf):
+    """Every cycle, target and penalty has a model that meets the conditions of the minimum."""
+    targets = battery_models.TARGETS
+    rows = changepoints.additive_rows(tables.discharge(spark, sf), targets, battery_models.EXOG)
+    found = changepoints.models(rows, "x", "y", changepoints.TREND_KNOTS)
+    target = F.element_at(F.array(*[F.lit(t) for t in targets]), F.col("step").cast("int"))
+    return found.select(
+        "battery_id", "cycle", target.alias("target"), "penalty_id", "n_rows", (F.col("gap") < 1e-9).alias("optimal")
+    )
+
+
+# One knot in the middle of a battery's time span, at two fifths of the penalty that keeps it out.
+_SHARE = 0.4
+
+
+@query(
+    ctes(DISCHARGE, """span AS (
+  SELECT battery_id, min(epoch_us(datetime_)) AS t0, max(epoch_us(datetime_)) AS t1 FROM discharge GROUP BY battery_id),
+x AS (
+  SELECT d.battery_id, d.cycle, d.event_id, d.Voltage_measured AS y, (epoch_us(datetime_) - t0) / 86400e6 AS t,
+    greatest(0e0, (epoch_us(datetime_) - t0) / 86400e6 - 0.5e0 * (t1 - t0) / 86400e6) AS k
+  FROM discharge d JOIN span USING (battery_id)),
+cyc AS (SELECT DISTINCT battery_id, cycle FROM x),
+h AS (
+  SELECT c.battery_id, c.cycle, avg(y) AS my, avg(t) AS mt, avg(k) AS mk, avg(k * k) AS kk, var_pop(t) AS tt,
+    covar_pop(t, y) AS ty, covar_pop(k, y) AS ky, covar_pop(t, k) AS tk, var_pop(k) AS vk
+  FROM cyc c JOIN x ON x.battery_id = c.battery_id AND x.cycle < c.cycle GROUP BY c.battery_id, c.cycle),
+w AS (
+  SELECT *, CASE WHEN vk > 1e-10 * kk AND 1 - tk * tk / (tt * vk) > 1e-9
+    THEN (1 - 0.4e0) * (ky - tk * ty / tt) / (vk - tk * tk / tt) ELSE 0 END AS wk FROM h)""")
+    + f"""SELECT x.battery_id, x.cycle, x.event_id, {q6('my + (ty - wk * tk) / tt * (t - mt) + wk * (k - mk)')} AS yhat
+FROM x LEFT JOIN w ON w.battery_id = x.battery_id AND w.cycle = x.cycle"""
+)
+def changepoint_one_knot(spark, sf):
+    """A trend with one penalised knot per cycle: the closed form of the selection."""
+    d = tables.discharge(spark, sf)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    span = d.groupBy("battery_id").agg(F.min("datetime_").alias("_t0"), F.max("datetime_").alias("_t1"))
+    t = (micros("datetime_") - micros("_t0")) / 86400e6
+    knot = F.greatest(F.lit(0.0), t - 0.5 * (micros("_t1") - micros("_t0")) / 86400e6)
+    rows = d.join(span, "battery_id").select(
+        "battery_id", "cycle", "event_id", F.array(t, knot).alias("x"), F.array("Voltage_measured").alias("y")
+    )
+    found = changepoints.models(rows, "x", "y", slice(1, 2), ridge=0.0, shares=(_SHARE,))
+    out = battery_models.with_models(rows.drop("y"), found.select("battery_id", "cycle", "step", "w"), "x", ("Voltage",), "battery_id")
+    return out.select("battery_id", "cycle", "event_id", r6("yhat").alias("yhat"))
+
+
 @query()
 def capacity_next(spark, sf):
     return battery_models.capacity_next(tables.discharge(spark, sf))

@@ -320,7 +320,7 @@ def cycle_models(
     return gram.solve(history, [key, "cycle"], [penalty])
 
 
-def _with_models(rows, models, x, targets, key):
+def with_models(rows, models, x, targets, key):
     """Predictions of each row and target; null where the cycle has no model."""
     # The weights of all targets stand in one line per cycle, so each row meets them in
     # one join and is multiplied by targets only after its inputs are gone. Skewed cycles
@@ -361,7 +361,7 @@ def additive_by_cycle(
         key, "cycle", "event_id", x.alias("x"), F.array(*targets).alias("y")
     )
     models = cycle_models(rows, "x", "y", penalty, key, max_history)
-    out = _with_models(rows.drop("y"), models, "x", targets, key)
+    out = with_models(rows.drop("y"), models, "x", targets, key)
     return out.select(key, "cycle", "target", "event_id", "yhat")
 
 
@@ -380,7 +380,7 @@ def regression_by_cycle(
         F.array(*[F.col(c).cast("double") for c in exog]).alias("x"), F.array(*targets).alias("y"),
     )
     models = cycle_models(rows, "x", "y", penalty, key, max_history)
-    out = _with_models(rows.drop("y"), models, "x", targets, key)
+    out = with_models(rows.drop("y"), models, "x", targets, key)
     return out.select(key, "cycle", "target", "event_id", "yhat")
 
 
@@ -549,7 +549,7 @@ def capacity_horizon(
         "y", F.when(F.col("centre").isNotNull(), F.array(y))
     )
     models = cycle_models(d.select(key, "cycle", "x", "y"), "x", "y", penalty, key, max_history)
-    out = _with_models(d.drop("y"), models, "x", [target], key)
+    out = with_models(d.drop("y"), models, "x", [target], key)
     return out.select(
         key, "cycle", "target", "event_id", "step",
         (F.col("yhat") * F.col("width") + F.col("centre")).alias("yhat"),
