@@ -27,11 +27,11 @@ def sums(x, y):
     return gram.outer_sums(np.hstack([np.ones((len(x), 1)), x, y]), y)
 
 
-def objective(x, y, w, lam, ridge):
+def objective(x, y, w, lam, ridge, knots=KNOTS):
     """From the rows, in standardised units; constant columns have no part in it."""
     sd, sy = x.std(0), y.std()
     held = np.zeros(x.shape[1], bool)
-    held[KNOTS] = True
+    held[knots] = True
     s = w[1:] * sd / sy
     error = ((y - w[0] - x @ w[1:]) ** 2).mean() / sy**2
     return error / 2 + ridge / 2 * (s[~held] ** 2).sum() + lam * np.abs(s[held]).sum()
@@ -51,15 +51,24 @@ def test_every_model_of_the_path_is_a_minimum():
                 assert objective(x, y[:, target], other, f.penalty, 1e-3) >= best - 1e-9
 
 
+def finished(Q, c, lam, sign):
+    """The minimum if it has these signs, else None."""
+    on, out = sign != 0, np.zeros(len(c))
+    out[on] = np.linalg.solve(Q[np.ix_(on, on)], c[on] - lam * sign[on])
+    same = (np.sign(out) == sign).all() and (np.abs(c - Q @ out)[~on] <= lam + 1e-12).all()
+    return out if same else None
+
+
 def test_descent_equals_a_search_over_all_signs():
     r = np.random.default_rng(4)
     for _ in range(30):
         a = r.normal(0, 1, (12, 4)) @ np.diag([1, 1, 0.3, 2])
+        a[:, 3] = a[:, 0] + 0.01 * a[:, 3]  # two that are nearly alike
         Q, c, lam = a.T @ a / 12, r.normal(0, 1, 4), float(r.uniform(0.05, 0.9))
         got = changepoints.descend(Q, c, lam, np.zeros(4))
         best = None
         for signs in itertools.product((-1, 0, 1), repeat=4):
-            w = changepoints.finished(Q, c, lam, np.array(signs, float))
+            w = finished(Q, c, lam, np.array(signs, float))
             best = w if w is not None else best
         assert got == pytest.approx(best, abs=1e-9) and changepoints.violation(Q, c, lam, got) < 1e-9
 
@@ -89,28 +98,34 @@ def test_degenerate_histories():
 
 @pytest.mark.parametrize("last", [None, 2])
 def test_models_per_cycle_equal_a_fit_from_the_rows(spark, measured, last):  # noqa: F811
-    rows = changepoints.additive_rows(measured, battery_models.TARGETS, battery_models.EXOG)
+    """The toy batteries' knots are nearly alike, so models are compared by what they minimise."""
+    targets, knots = battery_models.TARGETS, changepoints.TREND_KNOTS
+    rows = changepoints.additive_rows(measured, targets, battery_models.EXOG)
     feats = {r["event_id"]: r["x"] for r in rows.collect()}
-    got = {
-        (r["target"], r["event_id"]): r["yhat"]
-        for r in changepoints.additive_changepoints(measured, max_history=last).collect()
-    }
-    assert len(got) == 2 * len(battery())
+    found = {}
+    for r in changepoints.models(rows, "x", "y", knots, max_history=last).filter("battery_id = 'B0'").collect():
+        found.setdefault((r["cycle"], targets[r["step"] - 1]), []).append(r)
+    out = changepoints.additive_changepoints(measured, max_history=last).collect()
+    got = {(r["target"], r["event_id"]): r["yhat"] for r in out}
+    assert len(out) == len(got) == 2 * len(battery())
     mine, cyc, _, ys = split_rows(battery(), "B0")
     X = np.array([feats[r[0]] for r in mine])
     cycles = sorted(set(cyc))
     for c in cycles:
-        at = np.flatnonzero(cyc == c)
-        h = cyc < c
-        if last:
-            h &= np.isin(cyc, [k for k in cycles if k < c][-last:])
-        if not h.any():
+        at, before = np.flatnonzero(cyc == c), [k for k in cycles if k < c]
+        h = np.isin(cyc, before[-last:] if last else before)
+        if not before:
             assert all(got[(t, mine[i][0])] is None for t in ys for i in at)
             continue
-        Y = np.column_stack([ys[t][h] for t in battery_models.TARGETS])
-        for t, fits in zip(battery_models.TARGETS, changepoints.l1_path(sums(X[h], Y), changepoints.TREND_KNOTS, 1e-3)):
-            w = min(fits, key=lambda f: (f.bic, f.penalty_id)).w
-            assert [got[(t, mine[i][0])] for i in at] == pytest.approx(list(w[0] + X[at] @ w[1:]), rel=1e-4, abs=1e-6)
+        paths = changepoints.l1_path(sums(X[h], np.column_stack([ys[t][h] for t in targets])), knots, 1e-3)
+        for t, fits in zip(targets, paths):
+            emitted = sorted(found[(c, t)], key=lambda r: r["penalty_id"])
+            assert [r["n_rows"] for r in emitted] == [h.sum()] * len(fits)
+            for r, f in zip(emitted, fits):
+                mine_, want = (objective(X[h], ys[t][h], np.array(w), f.penalty, 1e-3, knots) for w in (r["w"], f.w))
+                assert mine_ == pytest.approx(want, rel=1e-5, abs=1e-7)
+            (w,) = [np.array(r["w"]) for r in emitted if r["chosen"]]
+            assert [got[(t, mine[i][0])] for i in at] == pytest.approx(list(w[0] + X[at] @ w[1:]), rel=1e-6)
 
 
 def test_rows_with_gaps_and_empty_tables(spark, measured):  # noqa: F811
