@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from fadecast.llm import common
 
 END, RARE = 0, 1  # the end of a text, as a context its start; words seen at most once
 RUN = 3_000_000  # words of a run, but for a longer text
+PIECE = 1 << 18  # tokens of a run that one numpy step sorts or adds up
 CELL = 2_000_000  # tokens a cell is meant to see; twice as many occurrences are split
 LEAST_CELLS = 64
 HOT = 256  # a context with more than one token in so many is spread over all cells
@@ -88,9 +90,9 @@ def _mapped(df: DataFrame, fn) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                rows = fn({n: b.column(n)[k].as_py() for n in b.schema.names})
-                for lo in range(0, len(rows), 256):
-                    yield _batch(rows[lo : lo + 256])
+                rows = iter(fn({n: b.column(n)[k].as_py() for n in b.schema.names}))
+                while some := list(islice(rows, 64)):
+                    yield _batch(some)
 
     return df.mapInArrow(run, MESSAGE)
 
@@ -126,16 +128,19 @@ def _runs(docs: DataFrame) -> DataFrame:
         first, held, hashes, lens, ids, size = TaskContext.get().partitionId() << 32, [], [], [], [], 0
 
         def flush(number):
-            w, n, h = np.concatenate(hashes), np.concatenate(lens), np.concatenate(held)
-            vocabulary, word = np.unique(w, return_inverse=True)
-            counts = np.bincount(word[np.repeat(~h, n)], minlength=len(vocabulary))
+            n, h = np.concatenate(lens), np.concatenate(held)
+            vocabulary = np.unique(np.concatenate(hashes))
+            word = np.concatenate([np.searchsorted(vocabulary, w).astype(np.uint32) for w in hashes])
+            counts, train = np.zeros(len(vocabulary), np.uint64), np.repeat(~h, n)
+            for lo in range(0, len(word), PIECE):
+                part = word[lo : lo + PIECE][train[lo : lo + PIECE]]
+                counts += np.bincount(part, minlength=len(vocabulary)).astype(np.uint64)
             who = pa.concat_arrays(ids)
             cols = [
                 pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(who)], pa.int32()), who),
                 pa.array([h.tolist()], pa.list_(pa.bool_())),
                 *[pa.array([b], pa.binary()) for b in (
-                    pack(n.astype(np.uint32)), pack(word.astype(np.uint32)), pack(vocabulary, sorted_=True),
-                    pack(counts.astype(np.uint64)))],
+                    pack(n.astype(np.uint32)), pack(word), pack(vocabulary, sorted_=True), pack(counts))],
                 pa.array([int((~h).sum())], pa.int64()),
             ]
             return pa.RecordBatch.from_arrays(cols, names=schema.names)
@@ -235,16 +240,22 @@ def _numbered(runs: DataFrame, replies: DataFrame, v: Vocabulary, blocks: int) -
         for r in row["replies"]:
             ids[place[r["part"]]] = unpack(r["body"][0], np.uint32)
             total[place[r["part"]]] = unpack(r["body"][1], np.uint64)
-        text = np.repeat(np.arange(len(n)), n)
         ends = np.cumsum(n + 1) - 1
         tokens = np.full(len(word) + len(n), END, np.uint32)
         inner = np.ones(len(tokens), bool)
         inner[ends] = False
         tokens[inner] = ids[word]
         each = np.log10(total + 1.0) - room
-        base = np.bincount(text, weights=each[word], minlength=len(n)) + np.log10(v.texts + 1.0) - room
-        known = np.bincount(text, weights=(total > 0)[word], minlength=len(n)).astype(np.int64) + (v.texts > 0)
-        return n + 1, known, base, tokens
+        base, known = np.zeros(len(n)), np.zeros(len(n), np.int64)
+        first = np.append(0, np.cumsum(n))
+        lo = 0
+        while lo < len(n):  # whole texts of about PIECE words at a time
+            hi = max(lo + 1, int(np.searchsorted(first, first[lo] + PIECE, side="right")) - 1)
+            text, part = np.repeat(np.arange(hi - lo), n[lo:hi]), word[first[lo] : first[hi]]
+            base[lo:hi] = np.bincount(text, weights=each[part], minlength=hi - lo)
+            known[lo:hi] = np.bincount(text, weights=(total > 0)[part], minlength=hi - lo)
+            lo = hi
+        return n + 1, known + (v.texts > 0), base + np.log10(v.texts + 1.0) - room, tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -281,26 +292,45 @@ def _cell_of(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return common.mix(np.where(np.isin(context, hot), keys, context))
 
 
-def _dishes_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The dish of each token. The END before a text is the context of its first word."""
-    context = np.concatenate([np.array([END], np.uint64), tokens[:-1].astype(np.uint64)])
-    keys = (context << np.uint64(32)) | tokens.astype(np.uint64)
-    order = np.argsort(keys, kind="stable")
-    return keys[order], order
+def _dishes_of(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The dish of the tokens at some places. The END before a text is the context of its first word."""
+    context = np.where(at > 0, tokens[at - 1], np.uint32(END))
+    return (context.astype(np.uint64) << np.uint64(32)) | tokens[at].astype(np.uint64)
+
+
+def _in_cells(tokens: np.ndarray, cells: int, hot: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``first cell, end cell, sorted dishes, their places`` of a run, for ranges of cells with
+    about PIECE tokens, so that no sort holds a whole run."""
+    place = np.empty(len(tokens), np.uint32)
+    for lo in range(0, len(tokens), PIECE):
+        keys = _dishes_of(tokens, np.arange(lo, min(lo + PIECE, len(tokens))))
+        place[lo : lo + PIECE] = _cell_of(keys, hot) % np.uint64(cells)
+    step = -(-cells // max(1, -(-len(tokens) // PIECE)))
+    for lo in range(0, cells, step):
+        at = np.flatnonzero((place >= lo) & (place < lo + step))
+        if len(at):
+            keys = _dishes_of(tokens, at)
+            order = np.argsort(keys, kind="stable")
+            yield lo, min(lo + step, cells), keys[order], at[order]
+
+
+def _per_cell(dishes: np.ndarray, lo: int, hi: int, cells: int, hot: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Cells from ``lo`` up to ``hi`` that have dishes, with the places of theirs."""
+    for k, at in enumerate(_dealt(_cell_of(dishes, hot) % np.uint64(cells) - np.uint64(lo), hi - lo)):
+        if len(at):
+            yield lo + k, at
 
 
 def _counted(cells: int, hot: np.ndarray):
     def fn(row):
-        keys, order = _dishes_of(unpack(row["tokens"], np.uint32))
-        train = np.repeat(~np.array(row["held"], bool), row["n_tokens"])[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        counts = np.add.reduceat(train.astype(np.uint64), first)
-        size = np.diff(np.append(first, len(keys)))
-        dishes, out = keys[first], []
-        for k, at in enumerate(_dealt(_cell_of(dishes, hot), cells)):
-            if len(at):
-                out.append((k, DISHES, int(size[at].sum()), [pack(dishes[at], sorted_=True), pack(counts[at])]))
-        return out
+        train = np.repeat(~np.array(row["held"], bool), row["n_tokens"])
+        for lo, hi, keys, places in _in_cells(unpack(row["tokens"], np.uint32), cells, hot):
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            counts = np.add.reduceat(train[places].astype(np.uint64), first)
+            size = np.diff(np.append(first, len(keys)))
+            dishes = keys[first]
+            for k, at in _per_cell(dishes, lo, hi, cells, hot):
+                yield k, DISHES, int(size[at].sum()), [pack(dishes[at], sorted_=True), pack(counts[at])]
 
     return fn
 
@@ -324,23 +354,20 @@ def _occurring(cells: int, hot: np.ndarray, split: dict[int, int]):
     """Per dish the texts of a run that hold it and how often."""
 
     def fn(row):
-        keys, order = _dishes_of(unpack(row["tokens"], np.uint32))
-        text = np.repeat(np.arange(len(row["n_tokens"]), dtype=np.uint32), row["n_tokens"])[order]
-        new = np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]))
-        first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(keys))).astype(np.uint32)
-        keys, text = keys[first], text[first]
-        start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        size = np.diff(np.append(start, len(keys)))
-        dishes, out = keys[start], []
-        for k, at in enumerate(_dealt(_cell_of(dishes, hot), cells)):
-            if not len(at):
-                continue
-            n = size[at]
-            each = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            body = [pack(dishes[at], sorted_=True), pack(n.astype(np.uint32)), pack(text[each]), pack(times[each])]
-            out.append((k + cells * (row["run"] % split.get(k, 1)), OCCURRENCES, row["run"], body))
-        return out
+        texts = np.repeat(np.arange(len(row["n_tokens"]), dtype=np.uint32), row["n_tokens"])
+        for lo, hi, keys, places in _in_cells(unpack(row["tokens"], np.uint32), cells, hot):
+            text = texts[places]
+            first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])))
+            times = np.diff(np.append(first, len(keys))).astype(np.uint32)
+            keys, text = keys[first], text[first]
+            start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            size = np.diff(np.append(start, len(keys)))
+            dishes = keys[start]
+            for k, at in _per_cell(dishes, lo, hi, cells, hot):
+                n = size[at]
+                each = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                body = [pack(dishes[at], sorted_=True), pack(n.astype(np.uint32)), pack(text[each]), pack(times[each])]
+                yield k + cells * (row["run"] % split.get(k, 1)), OCCURRENCES, row["run"], body
 
     return fn
 

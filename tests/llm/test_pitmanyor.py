@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
@@ -223,3 +224,29 @@ def test_packing():
         for n in (0, 1, 1000):
             a = np.sort(rng.integers(0, 1 << 30, n)).astype(kind)
             assert (py.unpack(py.pack(a), kind) == a).all() and (py.unpack(py.pack(a, sorted_=True), kind, sorted_=True) == a).all()
+
+
+def test_runs_are_dealt_to_cells_in_pieces(monkeypatch):
+    """Messages do not depend on the pieces, and a piece bounds what is held beside the tokens."""
+    rng = np.random.default_rng(5)
+    n = 2_000_000
+    tokens = np.minimum(rng.zipf(1.2, n), 300_000).astype(np.uint32) + 1
+    tokens[999::1000] = py.END
+    hot = np.array([py.END, py.RARE, 2, 3], np.uint64)
+
+    def made(fn, tokens):
+        texts = len(tokens) // 1000
+        row = {"run": 5, "tokens": py.pack(tokens), "held": [k % 7 == 2 for k in range(texts)], "n_tokens": [1000] * texts}
+        return list(fn(row))
+
+    for fn in (py._counted(67, hot), py._occurring(67, hot, {3: 2})):
+        tracemalloc.start()
+        made(fn, tokens)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 32 * n
+        whole = made(fn, tokens[:200_000])
+        with monkeypatch.context() as m:
+            m.setattr(py, "PIECE", 7001)
+            assert made(fn, tokens[:200_000]) == whole
+    assert sum(r[2] for r in made(py._counted(67, hot), tokens)) == n
