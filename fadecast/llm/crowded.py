@@ -69,13 +69,43 @@ def _levels(sets: DataFrame, shingles: Shingles) -> np.ndarray:
     return out.clip(0, 255).astype(np.uint8)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parities of the shingles in BITS buckets. The bits in which two sketches differ are at
+def sketch(shingles: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parities of the shingles in ``bits`` buckets. The bits in which two sketches differ are at
     most as many as the shingles that one of the sets lacks."""
-    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8))
 
 
+def _folds(n: np.ndarray) -> np.ndarray:
+    """How often the sketch of a set of ``n`` shingles is folded: it keeps a bit a shingle, a quarter of BITS at least."""
+    return (2 * n <= BITS).astype(np.int64) + (4 * n <= BITS)
+
+
+def folded(bits: np.ndarray, times: int) -> np.ndarray:
+    """Sketches (bytes in the last axis) of half as many buckets, ``times`` over: parities add up."""
+    for _ in range(times):
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+class Sketches:
+    """Sketches of sets of ``n`` shingles, each folded as its size says."""
+
+    def __init__(self, bits: list[bytes], n: np.ndarray):
+        wide = np.frombuffer(b"".join(b.ljust(BITS // 8, b"\0") for b in bits), np.uint8).reshape(-1, BITS // 8)
+        self.folds = _folds(n)
+        self.words = [np.ascontiguousarray(folded(wide, k)).view(np.uint64) for k in range(3)]
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Bits in which rows i and j differ, both folded as often as one of them is."""
+        out, most = np.zeros(len(i), np.int64), np.maximum(self.folds[i], self.folds[j])
+        for k, words in enumerate(self.words):
+            at = np.flatnonzero(most == k)
+            out[at] = np.bitwise_count(words[i[at]] ^ words[j[at]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _prefixes(levels, percent: int, shingles: Shingles):
     """The first shingles of each set, with the number of the set's shingles from there on."""
 
@@ -88,7 +118,7 @@ def _prefixes(levels, percent: int, shingles: Shingles):
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             columns = [np.repeat(np.array([r[k] for r in rows], np.int64), size) for k in (0, 1)]
             columns += [np.repeat(n, size), np.repeat(n, size) - place, np.concatenate([r[2] for r in rows]).view(np.int64)]
-            bits = common.binaries(np.vstack([r[4] for r in rows])).take(pa.array(np.repeat(np.arange(len(rows)), size)))
+            bits = pa.array([r[4].tobytes() for r in rows], pa.binary()).take(pa.array(np.repeat(np.arange(len(rows)), size)))
             return pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in columns), bits], names=["id", "part_of", "n", "left", "shingle", "bits"]
             )
@@ -98,7 +128,7 @@ def _prefixes(levels, percent: int, shingles: Shingles):
             for i, r, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 s = shingles(body.as_py())
                 first = len(s) - (percent * len(s) + 99) // 100 + 1
-                rows.append((i, r, s[np.lexsort((s, rank[_buckets(s)]))[:first]], len(s), sketch(s)))
+                rows.append((i, r, s[np.lexsort((s, rank[_buckets(s)]))[:first]], len(s), folded(sketch(s), int(_folds(np.array(len(s)))))))
                 held += first
                 if held > TOKENS:
                     yield emit(rows)
@@ -113,7 +143,7 @@ def _passing(rows: pa.Table, percent: int) -> pa.RecordBatch:
     """Pairs of rows of one tile that sizes, places and sketches allow."""
     column = lambda c: rows.column(c).to_numpy()
     ids, part_of, n, left, side = (column(c) for c in ("id", "part_of", "n", "left", "side"))
-    bits = common.matrix(rows.column("bits"), BITS // 8).view(np.uint64)
+    sketches = Sketches(rows.column("bits").to_pylist(), n)
     tile = np.vstack([column(c) for c in ("shingle", "p", "q")])
     new = np.append(True, (tile[:, 1:] != tile[:, :-1]).any(axis=0))
     end = np.append(np.flatnonzero(new)[1:], len(ids))[np.cumsum(new) - 1]
@@ -129,8 +159,7 @@ def _passing(rows: pa.Table, percent: int) -> pa.RecordBatch:
         ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
         ok &= (100 + percent) * np.minimum(left[i], left[j]) >= percent * (n[i] + n[j])
         i, j = i[ok], j[ok]
-        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-        ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
+        ok = (100 + percent) * sketches.apart(i, j) <= (100 - percent) * (n[i] + n[j])
         found.append(np.stack([ids[i[ok]], ids[j[ok]]]))
         lo = hi
     pairs = np.unique(np.sort(np.hstack(found), axis=0), axis=1) if found else np.zeros((2, 0), np.int64)

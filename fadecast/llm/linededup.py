@@ -2,9 +2,11 @@
 
 Lines are compared in a normal form (lower-cased, white space runs as one blank). Equal
 ones collapse first, at any length. A distinct line of at least SHINGLE characters gets MinHash signatures of its character shingles;
-BANDS bands of ROWS values each find at least 99 % of the lines at the threshold. Inside a
-band the rows are sorted, the most frequent line first, and each meets its neighbours and
-the first of the band. Candidates are confirmed by exact Jaccard similarity and joined to
+BANDS bands of ROWS values each find at least 99 % of the lines at the threshold. Most bands
+are one line's alone; packed chunks of lines ask blocks of bands which are not, and only
+lines with such bands go on. Inside a band the rows are sorted, the most frequent line first,
+and each meets its neighbours and the first of the band, unless parity sketches keep them
+apart. Candidates are confirmed by exact Jaccard similarity and joined to
 components by distributed union-find. Crowded bands that these few links per line leave in
 several components are settled by an exact join (``crowded``). One line of each component
 stays.
@@ -18,12 +20,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fadecast.llm import common, crowded
 from fadecast.llm.components import components
 from fadecast.llm.neighbours import close_pairs
+from fadecast.llm.pitmanyor import pack, unpack
 
 SHINGLE = 8  # characters
 BANDS = 8
@@ -31,6 +35,9 @@ ROWS = 3
 PERCENT = 80
 NEAR = 2
 HELD = 1 << 18  # characters that one numpy step looks at
+CHUNK_LINES = 80_000  # distinct lines that ask for their bands together
+ASKED = np.uint64(24)  # low bits of a band that are not asked for; equal high bits alone make no pair
+BITS = 512  # of a line's sketch
 
 _rng = np.random.default_rng(4177)
 _MUL = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -107,15 +114,15 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i = pa.array(rows, pa.int64())
         # A line without a shingle has no bands: only equal ones are its copies.
         long = np.array([len(x) >= SHINGLE for x in lines])
-        flat = pa.array(bands([x for x in lines if len(x) >= SHINGLE]).view(np.int64).ravel())
-        ends = np.concatenate([[0], np.cumsum(long)]) * BANDS
+        flat = common.binaries(bands([x for x in lines if len(x) >= SHINGLE]).view(np.uint8))
+        at_band = pa.array(np.cumsum(long) - 1, pa.int64(), mask=~long)
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(i),
                 batch.column(1).take(i),
                 pa.array(at, pa.int32()),
                 pa.array([line_key(x) for x in lines], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+                flat.take(at_band),
             ],
             names=["doc_id", "text_key", "line_no", "key", "bands"],
         )
@@ -134,9 +141,106 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield emit(batch, rows, at, lines)
 
 
+_PLACE = "place struct<doc_id:bigint,line_no:int,text_key:bigint>"
+_CHUNK = "chunk long, key array<binary>, n array<bigint>, place array<struct<doc_id:bigint,line_no:int,text_key:bigint>>, banded array<boolean>, bands binary"
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct lines ``key, n, place, bands`` in chunks of one row."""
+    chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+    def emit():
+        t = pa.Table.from_batches(held).combine_chunks()
+        column = lambda c: t.column(c).combine_chunks()
+        found = column("bands")
+        one = lambda c: pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), c)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk], pa.int64()), *(one(column(c)) for c in ("key", "n", "place")), one(found.is_valid()),
+             pa.array([common.matrix(found.drop_null(), 8 * BANDS).tobytes()], pa.binary())],
+            names=["chunk", "key", "n", "place", "banded", "bands"],
+        )
+
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.num_rows
+        if size >= CHUNK_LINES:
+            yield emit()
+            chunk, held, size = chunk + 1, [], 0
+    if held:
+        yield emit()
+
+
+def _ask(blocks: int):
+    """The distinct bands of a chunk, dealt to blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chunk, found in zip(b.column(0).to_pylist(), b.column(1)):
+                asked = np.unique(np.frombuffer(found.as_buffer(), np.uint64) >> ASKED)
+                place = asked % np.uint64(blocks)
+                parts = [(k, pack(asked[place == k], sorted_=True)) for k in np.unique(place).tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in parts], pa.int64()), pa.array([chunk] * len(parts), pa.int64()),
+                     pa.array([x for _, x in parts], pa.binary())],
+                    names=["block", "chunk", "asked"],
+                )
+
+    return run
+
+
+def _shared(rows: pa.Table) -> pa.Table:
+    """To each chunk those of its bands in a block that another chunk has, too."""
+    asked = [unpack(x, np.uint64, sorted_=True) for x in rows.column("asked").to_pylist()]
+    found, times = np.unique(np.concatenate(asked), return_counts=True)
+    found = found[times > 1]
+    shared = [x[np.isin(x, found, assume_unique=True)] for x in asked]
+    some = np.array([len(x) > 0 for x in shared])
+    return pa.table(
+        {"chunk": rows.column("chunk").filter(pa.array(some)), "shared": pa.array([pack(x, sorted_=True) for x in shared if len(x)], pa.binary())}
+    )
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of a chunk that are repeated or share a band, with the bands they share."""
+    for b in batches:
+        for i in range(b.num_rows):
+            row = b.slice(i, 1)
+            key, n, place, banded = (row.column(c).flatten() for c in ("key", "n", "place", "banded"))
+            full = np.frombuffer(row.column("bands")[0].as_buffer(), np.uint64)
+            asked = full >> ASKED
+            own, times = np.unique(asked, return_counts=True)
+            told = [unpack(x, np.uint64, sorted_=True) for x in row.column("replies")[0].as_py() or []]
+            shared = np.isin(asked, np.concatenate([own[times > 1], *told])).reshape(-1, BANDS)
+            count = np.zeros(len(key), np.int64)
+            count[banded.to_numpy(zero_copy_only=False)] = shared.sum(axis=1)
+            at = np.flatnonzero((count > 0) | (n.to_numpy() > 1))
+            ends = np.append(0, np.cumsum(count[at]))
+            out = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(full[shared.ravel()].view(np.int64)))
+            at = pa.array(at)
+            yield pa.RecordBatch.from_arrays([key.take(at), n.take(at), place.take(at), out], names=["key", "n", "place", "bands"])
+
+
+def _meeting(distinct: DataFrame, blocks: int) -> DataFrame:
+    """The lines of ``distinct (key, n, place, bands)`` that are repeated or share a band with
+    another line, each with the bands it shares (none if it is repeated only)."""
+    chunks = common.written(distinct.select("key", "n", "place", "bands").mapInArrow(_chunked, _CHUNK), "line-chunks")
+    asked = chunks.select("chunk", "bands").mapInArrow(_ask(blocks), "block long, chunk long, asked binary")
+    told = asked.repartition(blocks, "block").groupBy("block").applyInArrow(_shared, "chunk long, shared binary")
+    told = common.written(told.groupBy("chunk").agg(F.collect_list("shared").alias("replies")), "shared-bands")
+    size = told.agg(F.sum(F.aggregate("replies", F.lit(0).cast("long"), lambda m, x: m + F.length(x)))).first()[0] or 0
+    rows = chunks.join(F.broadcast(told) if size <= common.SMALL else told, "chunk", "left")
+    return common.written(rows.mapInArrow(_met, f"key binary, n long, {_PLACE}, bands array<bigint>"), "lines")
+
+
 def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
-    band = rows["band"].to_numpy()
+    band, n = rows["band"].to_numpy(), rows["size"].to_numpy()
+    bits = common.matrix(rows["bits"], BITS // 8).view(np.uint64)
     ok = band[i] == band[j]
+    i, j = i[ok], j[ok]
+    both = n[i] + n[j]
+    ok = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
+    ok &= (100 + PERCENT) * np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= (100 - PERCENT) * both
     keys = rows["key"].combine_chunks()
     a, b = keys.take(pa.array(i[ok])).to_pylist(), keys.take(pa.array(j[ok])).to_pylist()
     return pa.Table.from_arrays(
@@ -146,15 +250,21 @@ def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The wanted lines of each text."""
+    """The wanted lines of each text, with the sizes of their sets and their sketches."""
     for batch in batches:
-        keys, lines = [], []
+        keys, lines, sizes, bits = [], [], [], []
         for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             parts = text.split("\n")
             for w in wanted:
                 keys.append(w["key"])
                 lines.append(normal(parts[w["line_no"]]))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lines, pa.string())], names=["key", "line"])
+                found = np.unique(char_shingles(lines[-1]))
+                sizes.append(len(found))
+                bits.append(crowded.sketch(found, BITS).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.binary()), pa.array(lines, pa.string()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())],
+            names=["key", "line", "size", "bits"],
+        )
 
 
 HELD_LINES, HELD_CHARS = 4096, 4096  # lines whose shingles a task keeps at hand, and their longest
@@ -188,22 +298,22 @@ def _shingles_of(line: bytes) -> np.ndarray:
     return np.unique(char_shingles(line.decode()))
 
 
-def _first_texts(keyed: DataFrame, distinct: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key, line`` of the ``wanted (key)`` lines, each read where it stands first."""
-    there = distinct.select("key", "place").join(common.sized(wanted), "key", "left_semi")
-    there = there.groupBy("place.doc_id", "place.text_key").agg(
+def _first_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``key, line, size, bits`` of the ``wanted (key, place)`` lines, each read where it stands first."""
+    there = wanted.groupBy("place.doc_id", "place.text_key").agg(
         F.collect_list(F.struct("key", F.col("place.line_no").alias("line_no"))).alias("wanted")
     )
     texts = keyed.join(common.sized(there, width=300), ["doc_id", "text_key"]).select("text", "wanted")
-    return common.written(texts.mapInArrow(_texts, "key binary, line string").dropDuplicates(["key"]), "line-texts")
+    found = texts.mapInArrow(_texts, "key binary, line string, size long, bits binary")
+    return common.written(found.dropDuplicates(["key"]), "line-texts")
 
 
-def _settled(keyed: DataFrame, distinct: DataFrame, banded: DataFrame, roots: DataFrame) -> DataFrame:
+def _settled(texts: DataFrame, banded: DataFrame, roots: DataFrame) -> DataFrame:
     """``roots`` with the links that crowded bands still lack."""
     rows = crowded.unsettled(banded.select("band", "key", F.col("key").alias("id")), roots, NEAR + 1)
     if rows.isEmpty():
         return roots
-    lines = _first_texts(keyed, distinct, rows.select("key")).join(rows, "key")
+    lines = texts.select("key", "line").join(rows, "key")
     return crowded.settled(roots, lines.select("root", F.col("line").cast("binary").alias("body")), PERCENT, _shingles_of)
 
 
@@ -215,32 +325,32 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     place = F.struct("doc_id", "line_no", "text_key")
-    lines = common.written(keyed.mapInArrow(_keyed, f"{_LINES}, bands array<bigint>"), "all-lines")
-    distinct = common.written(
-        lines.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"), F.first("bands").alias("bands")),
-        "lines",
-    )
-    banded = distinct.select(
+    lines = common.written(keyed.mapInArrow(_keyed, f"{_LINES}, bands binary"), "all-lines")
+    distinct = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"), F.first("bands").alias("bands"))
+    met = _meeting(distinct, common.partitions(docs))
+    texts = _first_texts(keyed, met.filter(F.size("bands") > 0).select("key", "place"))
+    banded = met.join(texts.select("key", "size", "bits"), "key").select(
         "key",
         (-F.least("n", F.lit(2**31 - 1))).cast("int").alias("rare"),
+        "size",
+        "bits",
         F.explode("bands").alias("band"),
-    ).select("band", "rare", "key")
+    )
+    banded = common.written(banded.select("band", "rare", "key", "size", "bits"), "banded")
     order = ["band", "rare", F.xxhash64("key", "band")]
     ordered = banded.repartitionByRange(common.partitions(docs), *order).sortWithinPartitions(*order)
     ordered = ordered.withColumn("rank", F.monotonically_increasing_id())
     pairs = close_pairs(ordered, "key_a binary, key_b binary", _same_band, NEAR, "close-lines", region="band")
-    pairs = common.written(pairs.dropDuplicates(), "line-pairs")
-    wanted = pairs.select(F.col("key_a").alias("key")).union(pairs.select("key_b")).distinct()
-    texts = _first_texts(keyed, distinct, wanted)
+    pairs = pairs.dropDuplicates()
+    texts_of = texts.select("key", "line")
     links = (
-        pairs.join(texts.toDF("key_a", "line_a"), "key_a")
-        .join(texts.toDF("key_b", "line_b"), "key_b")
+        pairs.join(texts_of.toDF("key_a", "line_a"), "key_a")
+        .join(texts_of.toDF("key_b", "line_b"), "key_b")
         .select("key_a", "key_b", "line_a", "line_b")
         .mapInArrow(_alike, "a binary, b binary")
     )
-    roots = common.written(_settled(keyed, distinct, banded, components(links)), "line-roots")
-    member = distinct.select("key", "place", "n").join(roots, F.col("key") == F.col("node"), "left")
+    roots = common.written(_settled(texts, banded, components(links)), "line-roots")
+    member = met.select("key", "place", "n").join(roots, F.col("key") == F.col("node"), "left")
     member = member.select("key", "place", "n", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
     # A line that is neither repeated nor linked to a smaller key can still be a root.
     tops = roots.select("root").distinct().withColumn("is_root", F.lit(True))
@@ -250,7 +360,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     fate = member.select("key", "root").join(stays, "root").select("key", "stays")
     return (
         lines.select("doc_id", "text_key", "line_no", "key")
-        .join(fate, "key")
+        .join(common.sized(fate, width=64), "key")
         .filter(place != F.col("stays"))
         .select("doc_id", "text_key", "line_no")
     )

@@ -53,3 +53,34 @@ def test_candidates_hold_all_similar_pairs(spark, monkeypatch):
     assert want and want <= got and len(got) < 3 * len(want) + 200
     assert spark.createDataFrame([], sets.schema).select(F.count("id")).first()[0] == 0
     assert crowded.candidates(spark.createDataFrame([], sets.schema), 80, shingles).collect() == []
+
+
+def test_folded_sketches_bound_the_difference():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (5, 200, 256, 257, 512, 513, 3000)]
+    sets += [np.concatenate([s[1:], s[:1] + np.uint64(1)]) for s in sets]
+    n = np.array([len(s) for s in sets])
+    rows = [crowded.folded(crowded.sketch(s), int(crowded._folds(k))).tobytes() for s, k in zip(sets, n)]
+    assert {len(r) for r in rows} == {32, 64, 128}
+    i, j = np.triu_indices(len(sets), 1)
+    apart = crowded.Sketches(rows, n).apart(i, j)
+    assert all(d <= len(np.setxor1d(sets[a], sets[b])) for d, a, b in zip(apart, i, j)) and apart.max() > 100
+
+
+def test_only_lines_that_share_a_band_are_sorted(spark, monkeypatch):
+    """Lines without a near copy go no further than their chunk, whatever the chunks."""
+    rng = random.Random(3)
+    texts = {k: "\n".join(" ".join(f"w{rng.randint(0, 10**9)}" for _ in range(9)) for _ in range(4)) for k in range(60)}
+    texts |= {100 + k: texts[k].replace("w", "v", 1) for k in range(5)} | {200: texts[0], 201: "short\nshort", 202: None}
+    seen, pairs = [], linededup.close_pairs
+
+    def counted(ordered, *a, **b):
+        seen.append(ordered.select("key").distinct().count())
+        return pairs(ordered, *a, **b)
+
+    monkeypatch.setattr(linededup, "close_pairs", counted)
+    for size in (7, 80_000):
+        monkeypatch.setattr(linededup, "CHUNK_LINES", size, raising=False)
+        rows = linededup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+        assert {(r.doc_id, k) for r in rows for k in r.removed_lines or []} == gone_lines(texts)
+    assert max(seen) <= 12
