@@ -1,7 +1,8 @@
-"""Links that a capped candidate search leaves out, by an exact prefix-filtered join.
+"""Links that a capped candidate search leaves out.
 
 The search makes a fixed number of candidates per row of a crowded region. Where such a
-region still has rows of different components, the sets of its rows are joined exactly: two
+region still has rows of different components and at most WHOLE rows, all its pairs are looked
+at, by sizes and sketches. The sets of larger regions are joined exactly by prefixes: two
 sets at the threshold share one of their first shingles in any fixed order, at places from
 which enough of both sets is left. The order puts rare shingles first, by counts of BUCKETS
 hash buckets; other counts would only make more candidates. Rows of one component need no
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from fadecast.llm import common
 from fadecast.llm.components import components
 
+WHOLE = 64  # rows of a region whose pairs are all looked at
 PART = 1000  # rows with one shingle that a task's part holds
 TOKENS = 1 << 18  # shingles of a batch
 BUCKETS = 1 << 18  # counts of shingles
@@ -33,14 +35,67 @@ Shingles = Callable[[bytes], np.ndarray]  # the distinct shingle hashes of a row
 
 
 def unsettled(regions: DataFrame, roots: DataFrame, most: int) -> DataFrame:
-    """``key, root`` of the rows of ``regions (region.., key, id)`` in regions of more than
-    ``most`` rows that ``roots (node, root)``, over ids, leave in different components."""
-    at = [c for c in regions.columns if c not in ("key", "id")]
-    large = regions.groupBy(*at).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > most).drop("c")
-    rows = regions.join(common.sized(large), at, "left_semi").join(roots, F.col("id") == F.col("node"), "left")
-    rows = common.written(rows.select(*at, "key", F.coalesce("root", "id").alias("root")), "large-regions")
-    mixed = rows.groupBy(*at).agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select(*at)
-    return common.written(rows.join(common.sized(mixed), at, "left_semi").select("key", "root").distinct(), "unsettled")
+    """The rows of ``regions (region, key, ..)`` in regions of more than ``most`` rows that
+    ``roots (node, root)``, over keys, leave in different components, with ``root`` and the
+    number ``c`` of the region's rows."""
+    at = regions.columns[0]
+    large = regions.groupBy(at).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > most)
+    rows = regions.join(common.sized(large), at).join(roots, F.col("key") == F.col("node"), "left")
+    rows = common.written(rows.select(*regions.columns, "c", F.coalesce("root", "key").alias("root")), "large-regions")
+    mixed = rows.groupBy(at).agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select(at)
+    return common.written(rows.join(common.sized(mixed), at, "left_semi"), "unsettled")
+
+
+def _together(percent: int, bits: int):
+    """Pairs of a region (rows ``at, key, root, n, bits``) that sizes and sketches allow."""
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        at, root, n = (rows.column(c).to_numpy() for c in ("at", "root", "n"))
+        words = common.matrix(rows.column("bits"), bits // 8).view(np.uint64)
+        keys = rows.column("key").combine_chunks()
+        end = np.searchsorted(at, at, side="right")
+        later = end - np.arange(len(at)) - 1
+        upto, lo = np.cumsum(later), 0
+        while lo < len(at):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
+            i = np.repeat(np.arange(lo, hi), later[lo:hi])
+            j = np.arange(len(i)) - np.repeat(np.cumsum(later[lo:hi]) - later[lo:hi], later[lo:hi]) + i + 1
+            ok = root[i] != root[j]
+            i, j = i[ok], j[ok]
+            ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[ok], j[ok]
+            apart = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64)
+            ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
+            a, b = keys.take(pa.array(i[ok])).to_pylist(), keys.take(pa.array(j[ok])).to_pylist()
+            if a:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(map(min, a, b), keys.type), pa.array(map(max, a, b), keys.type)], names=["key_a", "key_b"]
+                )
+            lo = hi
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            if t.num_rows:  # the last region waits for the next batch
+                at = t.column("at").to_numpy()
+                start = int(np.searchsorted(at, at[-1]))
+                held = t.slice(start).combine_chunks()
+                yield from pairs(t.slice(0, start))
+        if held is not None:
+            yield from pairs(held)
+
+    return run
+
+
+def within(rows: DataFrame, region: str, percent: int, bits: int) -> DataFrame:
+    """Pairs ``key_a, key_b`` of one region and different roots that may be similar, of
+    ``rows (region, key, root, size, bits)`` with sketches of ``bits`` bits."""
+    kind = rows.schema["key"].dataType.simpleString()
+    rows = rows.select(F.col(region).alias("at"), "key", F.xxhash64("root").alias("root"), F.col("size").alias("n"), "bits")
+    dealt = rows.repartition(common.partitions(rows), "at").sortWithinPartitions("at")
+    return dealt.mapInArrow(_together(percent, bits), f"key_a {kind}, key_b {kind}").distinct()
 
 
 def _counted(shingles: Shingles):
@@ -76,6 +131,13 @@ def sketch(shingles: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8))
 
 
+def sketches(shingles: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
+    """The sketch of each of the sets of ``sizes`` that stand one after the other."""
+    at = np.repeat(np.arange(len(sizes)) * bits, sizes) + ((shingles >> np.uint64(40)).astype(np.int64) & (bits - 1))
+    odd = np.bincount(at, minlength=len(sizes) * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sizes), bits), axis=1)
+
+
 def _folds(n: np.ndarray) -> np.ndarray:
     """How often the sketch of a set of ``n`` shingles is folded: it keeps a bit a shingle, a quarter of BITS at least."""
     return (2 * n <= BITS).astype(np.int64) + (4 * n <= BITS)
@@ -223,18 +285,24 @@ def _confirmed(percent: int, shingles: Shingles):
     return run
 
 
-def settled(roots: DataFrame, sets: DataFrame, percent: int, shingles: Shingles) -> DataFrame:
-    """``roots (node, root)`` with all links between ``sets (root, body)`` of different roots."""
+def links(sets: DataFrame, percent: int, shingles: Shingles) -> DataFrame:
+    """All links ``a, b`` between ``sets (root, body)`` of different roots."""
     kind = sets.schema["root"].dataType.simpleString()
     sets = sets.select("root", "body", F.xxhash64("root").alias("part_of"), F.monotonically_increasing_id().alias("id"))
     sets = common.written(sets, "crowded-sets")
     pairs = candidates(sets, percent, shingles)
-    links = (
+    return (
         pairs.join(sets.select(F.col("id").alias("id_a"), F.col("root").alias("root_a"), F.col("body").alias("body_a")), "id_a")
         .join(sets.select(F.col("id").alias("id_b"), F.col("root").alias("root_b"), F.col("body").alias("body_b")), "id_b")
         .select("root_a", "root_b", "body_a", "body_b")
         .mapInArrow(_confirmed(percent, shingles), f"a {kind}, b {kind}")
     )
-    more = common.written(components(links.distinct()), "more-roots")
+
+
+def settled(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots (node, root)`` with the links ``found (a, b)`` between nodes, too."""
+    for c in ("a", "b"):
+        found = found.join(roots.toDF(c, "up"), c, "left").withColumn(c, F.coalesce("up", c)).drop("up")
+    more = common.written(components(found.select("a", "b").distinct()), "more-roots")
     moved = roots.join(more.toDF("old", "new"), F.col("root") == F.col("old"), "left")
     return moved.select("node", F.coalesce("new", "root").alias("root")).unionByName(more)

@@ -1,22 +1,20 @@
 """Fuzzy line de-duplication.
 
-Lines are compared in a normal form (lower-cased, white space runs as one blank). Equal
-ones collapse first, at any length. A distinct line of at least SHINGLE characters gets MinHash signatures of its character shingles;
-BANDS bands of ROWS values each find at least 99 % of the lines at the threshold. Most bands
-are one line's alone; packed chunks of lines ask blocks of bands which are not, and only
-lines with such bands go on. Inside a band the rows are sorted, the most frequent line first,
+Lines are compared in a normal form (lower-cased, white space runs as one blank). A line of
+at least SHINGLE characters gets MinHash signatures of its character shingles; BANDS bands of
+ROWS values each find at least 99 % of the lines at the threshold. Most bands are one line's
+alone; packed chunks of lines ask blocks of bands which are not, and only lines with such bands
+go on. Equal ones (of any length) collapse, and ask again. Inside a band the rows are sorted, the most frequent line first,
 and each meets its neighbours and the first of the band, unless parity sketches keep them
 apart. Candidates are confirmed by exact Jaccard similarity and joined to
 components by distributed union-find. Crowded bands that these few links per line leave in
-several components are settled by an exact join (``crowded``). One line of each component
-stays.
+several components are settled exactly (``crowded``). One line of each component stays.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +32,18 @@ BANDS = 8
 ROWS = 3
 PERCENT = 80
 NEAR = 2
-HELD = 1 << 18  # characters that one numpy step looks at
-CHUNK_LINES = 80_000  # distinct lines that ask for their bands together
-ASKED = np.uint64(24)  # low bits of a band that are not asked for; equal high bits alone make no pair
+HELD = 1 << 17  # characters that one numpy step looks at
+CHUNK_LINES = 80_000  # lines that ask for their bands together
+WIDE = 5  # bytes of a band; an equal hash of different bands only makes candidates
+KEY = 12  # bytes of a line's key
 BITS = 512  # of a line's sketch
 
 _rng = np.random.default_rng(4177)
 _MUL = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _XOR = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
+# Further bands of lines in crowded regions.
+_MUL = np.append(_MUL, _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))
+_XOR = np.append(_XOR, _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32))
 _P1 = np.uint64(0x9E3779B97F4A7C15)
 _P2 = np.uint64(0x9E3779B97F4A7C15**2 % 2**64)
 _P4 = np.uint64(0x9E3779B97F4A7C15**4 % 2**64)
@@ -52,49 +54,94 @@ def normal(line: str) -> str:
 
 
 def line_key(line: str) -> bytes:
-    return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=12).digest()
+    return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=KEY).digest()
 
 
 def char_shingles(text: str) -> np.ndarray:
     """Hashes of the runs of SHINGLE characters, at all places of ``text``."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     if len(c) < SHINGLE:
         return np.zeros(0, np.uint64)
-    h = c[:-1] * _P1 + c[1:]
-    h = h[:-2] * _P2 + h[2:]
-    h = h[:-4] * _P4 + h[4:]
-    return common.mix(h)
-
-
-def bands(lines: list[str]) -> np.ndarray:
-    """A row of BANDS hashes per normal line; all lines have SHINGLE characters or more."""
-    out = np.empty((len(lines), BANDS), np.uint64)
+    c += np.uint64(1)
+    h = c[:-1] * _P1
+    h += c[1:]
+    c = h[:-2] * _P2
+    c += h[2:]
+    h = c[:-4] * _P4
+    h += c[4:]
+    return _mixed(h)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """``common.mix`` in place."""
+    t = h >> np.uint64(33)
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h ^= t
+        h *= np.uint64(factor)
+        np.right_shift(h, np.uint64(33), out=t)
+    h ^= t
+    return h
+
+
+def _pieces(lines: list[str]) -> Iterator[tuple[int, int]]:
+    """Runs of lines with about HELD characters; a longer line makes a run of its own."""
     lo = 0
     while lo < len(lines):
         hi, size = lo + 1, len(lines[lo])
         while hi < len(lines) and size + len(lines[hi]) <= HELD:
             size += len(lines[hi])
             hi += 1
-        lengths = np.array([len(x) for x in lines[lo:hi]])
-        ends = np.cumsum(lengths)
-        all_runs = char_shingles("".join(lines[lo:hi])) >> np.uint64(32)
-        # Runs that reach into the next line are not shingles.
-        inside = np.ones(len(all_runs), bool)
-        for k in range(1, SHINGLE):
-            at = ends[:-1] - k
-            inside[at[at >= 0]] = False
-        runs = all_runs[inside].astype(np.uint32)
-        starts = np.r_[0, np.cumsum(lengths - SHINGLE + 1)[:-1]]
-        for b in range(BANDS):
-            h = np.full(hi - lo, b + 1, np.uint64)
-            for j in range(b * ROWS, (b + 1) * ROWS):
-                least = np.minimum.reduceat((runs ^ _XOR[j]) * _MUL[j], starts)
-                h = common.mix(h * _P1 + least)
-            out[lo:hi, b] = h
+        yield lo, hi
         lo = hi
+
+
+def _runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle hashes of all places of lines of SHINGLE characters or more, and where each line's end."""
+    lengths = np.array([len(x) for x in lines])
+    ends = np.cumsum(lengths)
+    found = char_shingles("".join(lines))
+    if len(lines) > 1:  # runs that reach into the next line are not shingles
+        inside = np.ones(len(found), bool)
+        inside[(ends[:-1, None] - np.arange(1, SHINGLE)).ravel()] = False
+        found = found[inside]
+    return found, ends - (SHINGLE - 1) * np.arange(1, len(lines) + 1)
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """A row of BANDS hashes per normal line; all lines have SHINGLE characters or more."""
+    out = np.empty((len(lines), BANDS), np.uint64)
+    for lo, hi in _pieces(lines):
+        out[lo:hi] = _bands(*_runs(lines[lo:hi]), range(BANDS))
     return out
 
 
+def _bands(found: np.ndarray, ends: np.ndarray, which: range) -> np.ndarray:
+    """Bands of sets of shingles that stand one after the other and end at ``ends``."""
+    found = (found >> np.uint64(32)).astype(np.uint32)
+    starts, hashed = np.append(0, ends[:-1]), np.empty_like(found)
+    least = np.empty((len(which), ROWS, len(ends)), np.uint64)
+    for j in range(which[0] * ROWS, (which[-1] + 1) * ROWS):
+        np.bitwise_xor(found, _XOR[j], out=hashed)
+        np.multiply(hashed, _MUL[j], out=hashed)
+        least[j // ROWS - which[0], j % ROWS] = np.minimum.reduceat(hashed, starts)
+    out = np.repeat(np.array(which, np.uint64)[:, None] + np.uint64(1), len(ends), axis=1)
+    for k in range(ROWS):
+        out = common.mix(out * _P1 + least[:, k])
+    return out.T
+
+
+def _sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of each line, one line after the other, and where each line's end."""
+    found, ends = _runs(lines)
+    starts = np.append(0, ends[:-1])
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        found[a:b].sort()
+    new = np.ones(len(found), bool)
+    new[1:] = found[1:] != found[:-1]
+    new[starts] = True
+    return found[new], np.cumsum(new)[ends - 1]
+
+
 def _lines_of(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, int, str]]:
     """``row, line number, normal line`` of all lines that are not blank."""
     for i, text in enumerate(batch.column(text_at)):
@@ -106,83 +153,122 @@ def _lines_of(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, int, s
                     yield i, k, line
 
 
-_LINES = "doc_id long, text_key long, line_no int, key binary"
+def _packed(found: np.ndarray) -> np.ndarray:
+    """The first WIDE bytes of each hash, as bytes in a last axis."""
+    low = (found >> np.uint64(64 - 8 * WIDE)).astype("<u8")
+    return np.ascontiguousarray(low[..., None].view(np.uint8)[..., :WIDE])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def emit(batch, rows, at, lines):
-        i = pa.array(rows, pa.int64())
-        # A line without a shingle has no bands: only equal ones are its copies.
-        long = np.array([len(x) >= SHINGLE for x in lines])
-        flat = common.binaries(bands([x for x in lines if len(x) >= SHINGLE]).view(np.uint8))
-        at_band = pa.array(np.cumsum(long) - 1, pa.int64(), mask=~long)
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(i),
-                batch.column(1).take(i),
-                pa.array(at, pa.int32()),
-                pa.array([line_key(x) for x in lines], pa.binary()),
-                flat.take(at_band),
-            ],
-            names=["doc_id", "text_key", "line_no", "key", "bands"],
-        )
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // WIDE, 8), np.uint8)
+    out[:, :WIDE] = np.frombuffer(data, np.uint8).reshape(-1, WIDE)
+    return out.view("<u8").ravel()
 
-    for batch in batches:
-        rows, at, lines, size = [], [], [], 0
-        for i, k, line in _lines_of(batch, 2):
-            rows.append(i)
-            at.append(k)
-            lines.append(line)
-            size += len(line)
-            if size > 4 * common.CHUNK:
-                yield emit(batch, rows, at, lines)
-                rows, at, lines, size = [], [], [], 0
-        if lines:
-            yield emit(batch, rows, at, lines)
 
+# Columns of lines as they lie in a chunk, each as one string of bytes; ``many`` is the number of a line's bands.
+_KINDS = {"doc_id": "<i8", "text_key": "<i8", "line_no": "<i4", "n": "<i8", "key": f"V{KEY}", "many": "<u1"}
+_ARROW = {"<i8": pa.int64(), "<i4": pa.int32()}
+_PLACED = ["doc_id", "text_key", "line_no", "key"]
+_SQL = {"doc_id": "long", "text_key": "long", "line_no": "int", "n": "long", "key": "binary"}
 
-_PLACE = "place struct<doc_id:bigint,line_no:int,text_key:bigint>"
-_CHUNK = "chunk long, key array<binary>, n array<bigint>, place array<struct<doc_id:bigint,line_no:int,text_key:bigint>>, banded array<boolean>, bands binary"
 
+def _chunk_schema(names: list[str]) -> str:
+    return "chunk long, " + ", ".join(f"{c} binary" for c in [*names, "many", "bands"])
 
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct lines ``key, n, place, bands`` in chunks of one row."""
+
+def _chunks(parts: Iterator[dict[str, bytes]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Chunks of about CHUNK_LINES lines, one row each, of smaller parts."""
     chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
 
     def emit():
-        t = pa.Table.from_batches(held).combine_chunks()
-        column = lambda c: t.column(c).combine_chunks()
-        found = column("bands")
-        one = lambda c: pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), c)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), *(one(column(c)) for c in ("key", "n", "place")), one(found.is_valid()),
-             pa.array([common.matrix(found.drop_null(), 8 * BANDS).tobytes()], pa.binary())],
-            names=["chunk", "key", "n", "place", "banded", "bands"],
-        )
+        columns = [pa.array([b"".join(p[c] for p in held)], pa.binary()) for c in (*names, "many", "bands")]
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *columns], names=["chunk", *names, "many", "bands"])
 
-    for b in batches:
-        if b.num_rows:
-            held.append(b)
-            size += b.num_rows
+    for part in parts:
+        held.append(part)
+        size += len(part["many"])
         if size >= CHUNK_LINES:
             yield emit()
             chunk, held, size = chunk + 1, [], 0
-    if held:
+    if size:
         yield emit()
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of all lines. A line without a shingle has one band for itself, from its key: only
+    equal ones are its copies."""
+
+    def part(batch, rows, at, lines):
+        rows = np.array(rows)
+        keys = [line_key(x) for x in lines]
+        many = np.array([BANDS if len(x) >= SHINGLE else 1 for x in lines], np.uint8)
+        own = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY)[:, :WIDE]
+        found = np.empty((int(many.sum()), WIDE), np.uint8)
+        long = np.repeat(many == BANDS, many)
+        found[long] = _packed(bands([x for x in lines if len(x) >= SHINGLE])).reshape(-1, WIDE)
+        found[~long] = own[many == 1]
+        columns = [batch.column(k).to_numpy()[rows].astype("<i8").tobytes() for k in (0, 1)]
+        columns += [np.array(at, "<i4").tobytes(), b"".join(keys), many.tobytes(), found.tobytes()]
+        return dict(zip((*_PLACED, "many", "bands"), columns))
+
+    def parts():
+        for batch in batches:
+            rows, at, lines, size = [], [], [], 0
+            for i, k, line in _lines_of(batch, 2):
+                rows.append(i)
+                at.append(k)
+                lines.append(line)
+                size += len(line)
+                if size > 4 * common.CHUNK or len(lines) >= CHUNK_LINES:
+                    yield part(batch, rows, at, lines)
+                    rows, at, lines, size = [], [], [], 0
+            if lines:
+                yield part(batch, rows, at, lines)
+
+    return _chunks(parts(), _PLACED)
+
+
+def _chunked(names: list[str]):
+    """Lines (columns ``names`` and ``bands``) in chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def part(batch):
+            found = batch.column("bands").to_pylist()
+            out = {"many": bytes(len(x) // WIDE for x in found), "bands": b"".join(found)}
+            for c in names:
+                column = batch.column(c)
+                out[c] = b"".join(column.to_pylist()) if c == "key" else column.to_numpy().astype(_KINDS[c]).tobytes()
+            return out
+
+        return _chunks((part(b.slice(i, CHUNK_LINES)) for b in batches for i in range(0, b.num_rows, CHUNK_LINES)), names)
+
+    return run
+
+
+def _starts(asked: np.ndarray, blocks: int) -> np.ndarray:
+    """Where in the sorted bands each block's range starts (and the last one's ends)."""
+    place = (asked * np.uint64(blocks)) >> np.uint64(8 * WIDE)
+    return np.searchsorted(place, np.arange(blocks + 1, dtype=np.uint64))
+
+
+def _new(values: np.ndarray) -> np.ndarray:
+    """Which of the sorted values differ from the one before."""
+    return np.append(np.ones(min(1, len(values)), bool), values[1:] != values[:-1])
+
+
 def _ask(blocks: int):
-    """The distinct bands of a chunk, dealt to blocks."""
+    """The distinct bands of a chunk, dealt to blocks by ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, found in zip(b.column(0).to_pylist(), b.column(1)):
-                asked = np.unique(np.frombuffer(found.as_buffer(), np.uint64) >> ASKED)
-                place = asked % np.uint64(blocks)
-                parts = [(k, pack(asked[place == k], sorted_=True)) for k in np.unique(place).tolist()]
+            for chunk, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                asked = np.sort(_unpacked(found))
+                asked = asked[_new(asked)]
+                start = _starts(asked, blocks)
+                some = np.flatnonzero(np.diff(start))
+                parts = [pack(asked[start[k] : start[k + 1]], sorted_=True) for k in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in parts], pa.int64()), pa.array([chunk] * len(parts), pa.int64()),
-                     pa.array([x for _, x in parts], pa.binary())],
+                    [pa.array(some, pa.int64()), pa.array([chunk] * len(parts), pa.int64()), pa.array(parts, pa.binary())],
                     names=["block", "chunk", "asked"],
                 )
 
@@ -190,47 +276,77 @@ def _ask(blocks: int):
 
 
 def _shared(rows: pa.Table) -> pa.Table:
-    """To each chunk those of its bands in a block that another chunk has, too."""
+    """To each chunk a bit for each of its bands in a block: another chunk has it, too."""
     asked = [unpack(x, np.uint64, sorted_=True) for x in rows.column("asked").to_pylist()]
-    found, times = np.unique(np.concatenate(asked), return_counts=True)
-    found = found[times > 1]
-    shared = [x[np.isin(x, found, assume_unique=True)] for x in asked]
-    some = np.array([len(x) > 0 for x in shared])
-    return pa.table(
-        {"chunk": rows.column("chunk").filter(pa.array(some)), "shared": pa.array([pack(x, sorted_=True) for x in shared if len(x)], pa.binary())}
-    )
+    found = np.sort(np.concatenate(asked))
+    found = found[1:][found[1:] == found[:-1]]
+    bits = []
+    for x in asked:
+        at = np.searchsorted(found, x)
+        at[at == len(found)] = 0
+        bits.append(np.packbits(found[at] == x).tobytes() if len(found) else b"")
+    some = pa.array([any(x) for x in bits])
+    return pa.table({c: rows.column(c).combine_chunks().filter(some) for c in ("chunk", "block")} | {"bits": pa.array(bits, pa.binary()).filter(some)})
+
+
+def _met(names: list[str], blocks: int, all_lines: bool):
+    """The lines of a chunk that are repeated or share a band, with the bands they share."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                many = np.frombuffer(row["many"], np.uint8).astype(np.int64)
+                found = _unpacked(row["bands"])
+                order = np.argsort(found)
+                new = _new(found[order])
+                first = np.flatnonzero(new)
+                start = _starts(found[order[first]], blocks)
+                told = np.diff(np.append(first, len(found))) > 1  # twice in the chunk
+                for reply in row["replies"] or []:
+                    a, b = start[reply["block"]], start[reply["block"] + 1]
+                    told[a:b] |= np.unpackbits(np.frombuffer(reply["bits"], np.uint8), count=b - a).view(bool)
+                shared = np.empty(len(found), bool)
+                shared[order] = told[np.cumsum(new) - 1]
+                line = np.repeat(np.arange(len(many)), many)
+                count = np.bincount(line[shared], minlength=len(many))
+                keep = count > 0
+                if all_lines:  # a single band of a line without a shingle has done its work
+                    shared &= (many == BANDS)[line]
+                    count[many == 1] = 0
+                else:
+                    keep |= np.frombuffer(row["n"], _KINDS["n"]) > 1
+                at = np.flatnonzero(keep)
+                ends = pa.array(np.append(0, np.cumsum(count[at]) * WIDE), pa.int32())
+                data = np.frombuffer(row["bands"], np.uint8).reshape(-1, WIDE)[shared]
+                out = [pa.Array.from_buffers(pa.binary(), len(at), [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(data))])]
+                for c in names:
+                    values = np.frombuffer(row[c], _KINDS[c])[at]
+                    out.append(common.binaries(values.view(np.uint8).reshape(-1, KEY)) if c == "key" else pa.array(values, _ARROW[_KINDS[c]]))
+                yield pa.RecordBatch.from_arrays(out, names=["bands", *names])
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of a chunk that are repeated or share a band, with the bands they share."""
-    for b in batches:
-        for i in range(b.num_rows):
-            row = b.slice(i, 1)
-            key, n, place, banded = (row.column(c).flatten() for c in ("key", "n", "place", "banded"))
-            full = np.frombuffer(row.column("bands")[0].as_buffer(), np.uint64)
-            asked = full >> ASKED
-            own, times = np.unique(asked, return_counts=True)
-            told = [unpack(x, np.uint64, sorted_=True) for x in row.column("replies")[0].as_py() or []]
-            shared = np.isin(asked, np.concatenate([own[times > 1], *told])).reshape(-1, BANDS)
-            count = np.zeros(len(key), np.int64)
-            count[banded.to_numpy(zero_copy_only=False)] = shared.sum(axis=1)
-            at = np.flatnonzero((count > 0) | (n.to_numpy() > 1))
-            ends = np.append(0, np.cumsum(count[at]))
-            out = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(full[shared.ravel()].view(np.int64)))
-            at = pa.array(at)
-            yield pa.RecordBatch.from_arrays([key.take(at), n.take(at), place.take(at), out], names=["key", "n", "place", "bands"])
-
-
-def _meeting(distinct: DataFrame, blocks: int) -> DataFrame:
-    """The lines of ``distinct (key, n, place, bands)`` that are repeated or share a band with
-    another line, each with the bands it shares (none if it is repeated only)."""
-    chunks = common.written(distinct.select("key", "n", "place", "bands").mapInArrow(_chunked, _CHUNK), "line-chunks")
+    return run
+
+
+def _meeting(chunks: DataFrame, names: list[str], blocks: int, name: str, all_lines: bool = False) -> DataFrame:
+    """The lines of ``chunks`` that are repeated or share a band with another line, each with
+    the bands it shares (none if it is repeated only, or has no shingle)."""
+    chunks = common.written(chunks, f"{name}-chunks")
     asked = chunks.select("chunk", "bands").mapInArrow(_ask(blocks), "block long, chunk long, asked binary")
-    told = asked.repartition(blocks, "block").groupBy("block").applyInArrow(_shared, "chunk long, shared binary")
-    told = common.written(told.groupBy("chunk").agg(F.collect_list("shared").alias("replies")), "shared-bands")
-    size = told.agg(F.sum(F.aggregate("replies", F.lit(0).cast("long"), lambda m, x: m + F.length(x)))).first()[0] or 0
-    rows = chunks.join(F.broadcast(told) if size <= common.SMALL else told, "chunk", "left")
-    return common.written(rows.mapInArrow(_met, f"key binary, n long, {_PLACE}, bands array<bigint>"), "lines")
+    told = asked.repartition(blocks, "block").groupBy("block").applyInArrow(_shared, "chunk long, block long, bits binary")
+    told = common.written(told.groupBy("chunk").agg(F.collect_list(F.struct("block", "bits")).alias("replies")), "shared-bands")
+    size = told.agg(F.sum(F.aggregate("replies", F.lit(0).cast("long"), lambda m, x: m + F.length(x["bits"]) + 16))).first()[0] or 0
+    rows = chunks.join(F.broadcast(told) if size <= common.SMALL else told, "chunk", "left").drop("chunk")
+    schema = "bands binary, " + ", ".join(f"{c} {_SQL[c]}" for c in names)
+    return common.written(rows.mapInArrow(_met(names, blocks, all_lines), schema), name)
+
+
+def _each_band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each band of a line (last column)."""
+    for b in batches:
+        found = b.column(b.num_columns - 1).to_pylist()
+        at = pa.array(np.repeat(np.arange(len(found)), [len(x) // WIDE for x in found]), pa.int64())
+        each = pa.array(_unpacked(b"".join(found)).view("<i8"), pa.int64())
+        yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns[:-1]), each], names=[*b.schema.names[:-1], "band"])
 
 
 def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
@@ -250,48 +366,56 @@ def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The wanted lines of each text, with the sizes of their sets and their sketches."""
+    """The wanted lines of each text, with the sizes of their sets, their sketches and further bands."""
     for batch in batches:
-        keys, lines, sizes, bits = [], [], [], []
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        keys, lines, again = [], [], []
+        for text, wanted, twice in zip(*(batch.column(k).to_pylist() for k in range(3))):
             parts = text.split("\n")
             for w in wanted:
                 keys.append(w["key"])
                 lines.append(normal(parts[w["line_no"]]))
-                found = np.unique(char_shingles(lines[-1]))
-                sizes.append(len(found))
-                bits.append(crowded.sketch(found, BITS).tobytes())
+                again.append(twice)
+        sizes, bits = np.zeros(len(lines), np.int64), np.zeros((len(lines), BITS // 8), np.uint8)
+        more = np.zeros((len(lines), BANDS, WIDE), np.uint8)
+        for lo, hi in _pieces(lines):
+            found, ends = _sets(lines[lo:hi])
+            more[lo:hi] = _packed(_bands(found, ends, range(BANDS, 2 * BANDS)))
+            sizes[lo:hi] = np.diff(ends, prepend=0)
+            bits[lo:hi] = crowded.sketches(found, sizes[lo:hi], BITS)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(lines, pa.string()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())],
-            names=["key", "line", "size", "bits"],
+            [pa.array(keys, pa.binary()), pa.array(lines, pa.string()), pa.array(sizes), common.binaries(bits),
+             common.binaries(more.reshape(-1, BANDS * WIDE)), pa.array(again, pa.bool_())],
+            names=["key", "line", "size", "bits", "more", "again"],
         )
 
 
-HELD_LINES, HELD_CHARS = 4096, 4096  # lines whose shingles a task keeps at hand, and their longest
-
-
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    @lru_cache(HELD_LINES)
-    def held(line: str) -> np.ndarray:
-        return np.unique(char_shingles(line))
-
-    def shingle_set(line: str) -> np.ndarray:
-        return held(line) if len(line) <= HELD_CHARS else np.unique(char_shingles(line))
-
-    for b in batches:
-        ok = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-            x, y = shingle_set(x), shingle_set(y)
-            if len(x) > len(y):
-                x, y = y, x
-            both = 0
-            if 100 * len(x) >= PERCENT * len(y):  # else their sizes alone keep them apart
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-            ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        mask = pa.array(ok, pa.bool_())
-        yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["a", "b"])
+    """Of pairs ``a, b, line_a, line_b`` the similar ones."""
+    for batch in batches:
+        left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        one, ok = [len(x) + len(y) for x, y in zip(left, right)], np.zeros(len(left), bool)
+        lo = 0
+        while lo < len(left):
+            hi, size = lo + 1, one[lo]
+            while hi < len(left) and size + one[hi] <= HELD:
+                size += one[hi]
+                hi += 1
+            ok[lo:hi] = _similar(left[lo:hi], right[lo:hi])
+            lo = hi
+        mask = pa.array(ok)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+
+
+def _similar(left: list[str], right: list[str]) -> np.ndarray:
+    found, ends = _sets([x for pair in zip(left, right) for x in pair])
+    upto, starts = ends[1::2], np.append(0, ends[1:-1:2])
+    n = upto - starts
+    for a, b in zip(starts.tolist(), upto.tolist()):
+        found[a:b].sort()
+    twice = np.zeros(len(found) + 1, np.int64)
+    np.cumsum(found[1:] == found[:-1], out=twice[1:-1])
+    both = twice[upto - 1] - twice[starts]  # equal neighbours inside the pair
+    return 100 * both >= PERCENT * (n - both)
 
 
 def _shingles_of(line: bytes) -> np.ndarray:
@@ -299,22 +423,52 @@ def _shingles_of(line: bytes) -> np.ndarray:
 
 
 def _first_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key, line, size, bits`` of the ``wanted (key, place)`` lines, each read where it stands first."""
-    there = wanted.groupBy("place.doc_id", "place.text_key").agg(
-        F.collect_list(F.struct("key", F.col("place.line_no").alias("line_no"))).alias("wanted")
+    """``key, line, size, bits, more`` of the ``wanted (key, n, doc_id, text_key, line_no)`` lines,
+    each read where it stands first."""
+    # A text that comes again, under its id, has no line that occurs once.
+    there = wanted.groupBy("doc_id", "text_key").agg(
+        F.collect_list(F.struct("key", "line_no")).alias("wanted"), (F.min("n") > 1).alias("again")
+    )
+    texts = keyed.join(common.sized(there, width=300), ["doc_id", "text_key"]).select("text", "wanted", "again")
+    found = texts.mapInArrow(_texts, "key binary, line string, size long, bits binary, more binary, again boolean")
+    found = common.written(found, "line-texts")
+    again = found.filter("again").dropDuplicates(["key"])
+    return found.filter("not again").unionByName(common.written(again, "texts-again")).drop("again")
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The similar ones of ``pairs (key_a, key_b)``, as ``a, b``."""
+    texts = texts.select("key", "line")
+    return (
+        pairs.join(texts.toDF("key_a", "line_a"), "key_a")
+        .join(texts.toDF("key_b", "line_b"), "key_b")
+        .select("key_a", "key_b", "line_a", "line_b")
+        .mapInArrow(_alike, "a binary, b binary")
     )
-    texts = keyed.join(common.sized(there, width=300), ["doc_id", "text_key"]).select("text", "wanted")
-    found = texts.mapInArrow(_texts, "key binary, line string, size long, bits binary")
-    return common.written(found.dropDuplicates(["key"]), "line-texts")
 
 
 def _settled(texts: DataFrame, banded: DataFrame, roots: DataFrame) -> DataFrame:
     """``roots`` with the links that crowded bands still lack."""
-    rows = crowded.unsettled(banded.select("band", "key", F.col("key").alias("id")), roots, NEAR + 1)
+    rows = crowded.unsettled(banded.select("band", "key", "size", "bits"), roots, NEAR + 1)
     if rows.isEmpty():
         return roots
-    lines = texts.select("key", "line").join(rows, "key")
-    return crowded.settled(roots, lines.select("root", F.col("line").cast("binary").alias("body")), PERCENT, _shingles_of)
+    # The few pairs whose bands all differ share one of further bands, but for one in 100,000 at the threshold.
+    once = rows.select("key", "root", "size", "bits").dropDuplicates(["key"])
+    more = once.join(texts.select("key", "more"), "key")
+    more = more.mapInArrow(_each_band, "key binary, root binary, size long, bits binary, band long")
+    size = more.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("x"), F.max("root").alias("y"))
+    more = more.join(size.filter("x <> y").select("band", "c"), "band")
+    rows = rows.unionByName(common.written(more.select(*rows.columns), "more-bands"))
+    small = F.col("c") <= crowded.WHOLE
+    pairs = common.written(crowded.within(rows.filter(small), "band", PERCENT, BITS), "crowded-pairs")
+    some = pairs.select(F.col("key_a").alias("key")).union(pairs.select("key_b")).distinct()
+    links = _links(pairs, texts.join(common.sized(some), "key", "left_semi"))
+    large = rows.filter(~small).select("key", "root").distinct()
+    if not large.isEmpty():
+        lines = texts.select("key", "line").join(common.sized(large, 64), "key")
+        sets = lines.select("root", F.col("line").cast("binary").alias("body"))
+        links = links.unionByName(crowded.links(sets, PERCENT, _shingles_of))
+    return crowded.settled(roots, links)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -324,33 +478,26 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     ``text_key`` is ``xxhash64(text)``: it tells texts apart that share an id.
     """
     keyed = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    place = F.struct("doc_id", "line_no", "text_key")
-    lines = common.written(keyed.mapInArrow(_keyed, f"{_LINES}, bands binary"), "all-lines")
+    place, blocks = F.struct("doc_id", "line_no", "text_key"), common.partitions(docs)
+    lines = _meeting(keyed.mapInArrow(_keyed, _chunk_schema(_PLACED)), _PLACED, blocks, "lines", all_lines=True)
     distinct = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"), F.first("bands").alias("bands"))
-    met = _meeting(distinct, common.partitions(docs))
-    texts = _first_texts(keyed, met.filter(F.size("bands") > 0).select("key", "place"))
-    banded = met.join(texts.select("key", "size", "bits"), "key").select(
-        "key",
-        (-F.least("n", F.lit(2**31 - 1))).cast("int").alias("rare"),
-        "size",
-        "bits",
-        F.explode("bands").alias("band"),
+    names = ["key", "n", "doc_id", "line_no", "text_key"]
+    distinct = distinct.select("key", "n", "place.*", "bands")
+    met = _meeting(distinct.mapInArrow(_chunked(names), _chunk_schema(names)), names, blocks, "distinct-lines")
+    shared = met.filter(F.length("bands") > 0)
+    texts = _first_texts(keyed, shared.select("key", "n", "doc_id", "text_key", "line_no"))
+    banded = shared.join(texts.select("key", "size", "bits"), "key").select(
+        (-F.least("n", F.lit(2**31 - 1))).cast("int").alias("rare"), "key", "size", "bits", "bands"
     )
+    banded = banded.mapInArrow(_each_band, "rare int, key binary, size long, bits binary, band long")
     banded = common.written(banded.select("band", "rare", "key", "size", "bits"), "banded")
     order = ["band", "rare", F.xxhash64("key", "band")]
-    ordered = banded.repartitionByRange(common.partitions(docs), *order).sortWithinPartitions(*order)
+    ordered = banded.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
     ordered = ordered.withColumn("rank", F.monotonically_increasing_id())
     pairs = close_pairs(ordered, "key_a binary, key_b binary", _same_band, NEAR, "close-lines", region="band")
-    pairs = pairs.dropDuplicates()
-    texts_of = texts.select("key", "line")
-    links = (
-        pairs.join(texts_of.toDF("key_a", "line_a"), "key_a")
-        .join(texts_of.toDF("key_b", "line_b"), "key_b")
-        .select("key_a", "key_b", "line_a", "line_b")
-        .mapInArrow(_alike, "a binary, b binary")
-    )
+    links = _links(pairs.dropDuplicates(), texts)
     roots = common.written(_settled(texts, banded, components(links)), "line-roots")
-    member = met.select("key", "place", "n").join(roots, F.col("key") == F.col("node"), "left")
+    member = met.select("key", place.alias("place"), "n").join(roots, F.col("key") == F.col("node"), "left")
     member = member.select("key", "place", "n", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
     # A line that is neither repeated nor linked to a smaller key can still be a root.
     tops = roots.select("root").distinct().withColumn("is_root", F.lit(True))
@@ -387,7 +534,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, lines that go and their numbers."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     gone = removed_lines(docs).groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
-    size = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    size = docs.select("doc_id", F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("n_lines"))
     out = size.join(gone, "doc_id", "left")
     return out.select(
         "doc_id",

@@ -84,3 +84,75 @@ def test_only_lines_that_share_a_band_are_sorted(spark, monkeypatch):
         rows = linededup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
         assert {(r.doc_id, k) for r in rows for k in r.removed_lines or []} == gone_lines(texts)
     assert max(seen) <= 12
+
+
+def _variants(rng, n, most):
+    """Texts that share much: many pairs near the threshold, few equal."""
+    base = [f"w{k}" for k in range(60)]
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for k in rng.sample(range(60), rng.randint(0, most)):
+            w[k] = f"v{rng.randint(0, 9)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_lines_without_a_partner_are_not_shuffled(spark, monkeypatch):
+    """Only lines that are repeated or share a band leave their chunk; their columns and bands stay as they were."""
+    rng = random.Random(5)
+    texts = {k: "\n".join(" ".join(f"w{rng.randint(0, 10**9)}" for _ in range(9)) for _ in range(4)) for k in range(60)}
+    texts |= {100 + k: texts[k].replace("w", "v", 1) for k in range(5)} | {200: texts[0], 201: "short\nshort\nalone", 202: None}
+    seen, meeting = [], linededup._meeting
+
+    def counted(*a, **b):
+        out = meeting(*a, **b)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(linededup, "_meeting", counted)
+    rows = linededup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)).collect()
+    assert {(r.doc_id, k) for r in rows for k in r.removed_lines or []} == gone_lines(texts)
+    assert seen == [46, 26]  # of 267: all lines of the texts with a copy, and the short ones; distinct ones
+
+
+def test_pairs_within_regions_are_all_similar_ones(spark):
+    """Regions of many rows, and one that goes over batches, by brute force."""
+    bodies = _variants(random.Random(6), 90, 14)
+    own = [np.unique(linededup.char_shingles(b)) for b in bodies]
+    bits = crowded.sketches(np.concatenate(own), np.array([len(s) for s in own]), 512)
+    assert all((b == crowded.sketch(s, 512)).all() for b, s in zip(bits, own))
+    rows = [(k % 2, f"{k:03d}".encode(), f"{k % 20}".encode(), len(s), b.tobytes()) for k, (s, b) in enumerate(zip(own, bits))]
+    rows += [(2 + k, r[1], r[2], r[3], r[4]) for k, r in enumerate(rows)]  # alone in their regions
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.createDataFrame(rows, "band long, key binary, root binary, size long, bits binary")
+        found = crowded.within(df, "band", 80, 512).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {(int(r.key_a), int(r.key_b)) for r in found}
+    sets = [set(s.tolist()) for s in own]
+    want = {
+        (i, j) for j in range(90) for i in range(j)
+        if i % 2 == j % 2 and i % 20 != j % 20 and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    }
+    assert want and want <= got and len(got) == len(found) < 3 * len(want) + 200
+
+
+def test_crowded_lines_equal_brute_force_on_both_ways(spark, monkeypatch):
+    """Regions up to WHOLE rows by their pairs, larger ones by prefixes."""
+    texts = dict(enumerate(_variants(random.Random(7), 250, 20)))
+    want = gone_lines(texts)
+    df = spark.createDataFrame([*texts.items(), *texts.items()], "doc_id long, text string")  # every row comes twice
+    for whole in (crowded.WHOLE, 5):
+        monkeypatch.setattr(crowded, "WHOLE", whole, raising=False)
+        rows = linededup.dedup_lines(df).collect()
+        assert {(r.doc_id, k) for r in rows for k in r.removed_lines or []} == want and len(rows) == 500
+
+
+def test_similar_pairs_of_lines_at_once():
+    lines = [x.replace(" ", "") for x in _variants(random.Random(8), 60, 14)] + ["abcdefgh", "abcdefghi", "a" * 300, "a" * 301, "é" * 9]
+    sets = [set(linededup.char_shingles(x).tolist()) for x in lines]
+    pairs = [(i, j) for j in range(len(lines)) for i in range(j)]
+    got = linededup._similar([lines[i] for i, _ in pairs], [lines[j] for _, j in pairs])
+    assert got.tolist() == [5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for i, j in pairs] and 0 < got.sum() < len(pairs)
