@@ -8,7 +8,7 @@ go on. Equal ones (of any length) collapse, and ask again. Inside a band the row
 and each meets its neighbours and the first of the band, unless parity sketches keep them
 apart. Candidates are confirmed by exact Jaccard similarity and joined to
 components by distributed union-find. Crowded bands that these few links per line leave in
-several components are settled exactly (``crowded``). One line of each component stays.
+several components are settled (``crowded``). One line of each component stays.
 """
 
 from __future__ import annotations
