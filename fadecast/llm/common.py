@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fadecast.session import shared_path
+from fadecast.session import deleted, shared_path
 
 CHUNK = 1 << 20  # bytes of text that one numpy step looks at
 LOWER = np.arange(256, dtype=np.uint8)
@@ -30,15 +32,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: it is computed once, survives lost
-    executors, and later reads take only the columns they need."""
+    executors, and later reads take only the columns they need. The shuffle files of its
+    computation are deleted at once, not when the driver happens to collect its garbage."""
     spark = df.sparkSession
     path = shared_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    if (scope := _passing.get()) is not None:
+        scope.append(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables written inside are deleted at its end, but for those that the function it gives
+    writes. Whatever is used afterwards has to be one of these, or read nothing written inside."""
+    made, outer = [], _passing.get()
+    token = _passing.set(made)
+
+    def stays(df: DataFrame, name: str) -> DataFrame:
+        out = written(df, name)
+        path = made.pop()
+        if outer is not None:
+            outer.append(path)
+        return out
+
+    try:
+        yield stays
+    finally:
+        _passing.reset(token)
+        for path in made:
+            deleted(spark, path)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,8 +4,9 @@ Lines are compared in a normal form (lower-cased, white space runs as one blank)
 at least SHINGLE characters gets MinHash signatures of its character shingles; BANDS bands of
 ROWS values each find at least 99 % of the lines at the threshold. Most bands are one line's
 alone; packed chunks of lines ask blocks of bands which are not, and only lines with such bands
-go on. Equal ones (of any length) collapse, and ask again. Inside a band the rows are sorted, the most frequent line first,
-and each meets its neighbours and the first of the band, unless parity sketches keep them
+go on. Equal ones (of any length) collapse, and ask again. Their texts are picked where they
+lie, by a filter of the wanted lines. Inside a band the rows are sorted, the most frequent line
+first, and each meets its neighbours and the first of the band, unless parity sketches keep them
 apart. Candidates are confirmed by exact Jaccard similarity and joined to
 components by distributed union-find. Crowded bands that these few links per line leave in
 several components are settled (``crowded``). One line of each component stays.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ CHUNK_LINES = 80_000  # lines that ask for their bands together
 WIDE = 5  # bytes of a band; an equal hash of different bands only makes candidates
 KEY = 12  # bytes of a line's key
 BITS = 512  # of a line's sketch
+SLICE = 1 << 16  # bits of a slice of the filter of wanted lines
+SPARE = 12  # bits of it for each line
 
 _rng = np.random.default_rng(4177)
 _MUL = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -330,14 +334,15 @@ def _met(names: list[str], blocks: int, all_lines: bool):
 def _meeting(chunks: DataFrame, names: list[str], blocks: int, name: str, all_lines: bool = False) -> DataFrame:
     """The lines of ``chunks`` that are repeated or share a band with another line, each with
     the bands it shares (none if it is repeated only, or has no shingle)."""
-    chunks = common.written(chunks, f"{name}-chunks")
-    asked = chunks.select("chunk", "bands").mapInArrow(_ask(blocks), "block long, chunk long, asked binary")
-    told = asked.repartition(blocks, "block").groupBy("block").applyInArrow(_shared, "chunk long, block long, bits binary")
-    told = common.written(told.groupBy("chunk").agg(F.collect_list(F.struct("block", "bits")).alias("replies")), "shared-bands")
-    size = told.agg(F.sum(F.aggregate("replies", F.lit(0).cast("long"), lambda m, x: m + F.length(x["bits"]) + 16))).first()[0] or 0
-    rows = chunks.join(F.broadcast(told) if size <= common.SMALL else told, "chunk", "left").drop("chunk")
-    schema = "bands binary, " + ", ".join(f"{c} {_SQL[c]}" for c in names)
-    return common.written(rows.mapInArrow(_met(names, blocks, all_lines), schema), name)
+    with common.passing(chunks.sparkSession) as stays:
+        chunks = common.written(chunks, f"{name}-chunks")
+        asked = chunks.select("chunk", "bands").mapInArrow(_ask(blocks), "block long, chunk long, asked binary")
+        told = asked.repartition(blocks, "block").groupBy("block").applyInArrow(_shared, "chunk long, block long, bits binary")
+        told = common.written(told.groupBy("chunk").agg(F.collect_list(F.struct("block", "bits")).alias("replies")), "shared-bands")
+        size = told.agg(F.sum(F.aggregate("replies", F.lit(0).cast("long"), lambda m, x: m + F.length(x["bits"]) + 16))).first()[0] or 0
+        rows = chunks.join(F.broadcast(told) if size <= common.SMALL else told, "chunk", "left").drop("chunk")
+        schema = "bands binary, " + ", ".join(f"{c} {_SQL[c]}" for c in names)
+        return stays(rows.mapInArrow(_met(names, blocks, all_lines), schema), name)
 
 
 def _each_band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,28 +370,69 @@ def _same_band(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
     )
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The wanted lines of each text, with the sizes of their sets, their sketches and further bands."""
-    for batch in batches:
-        keys, lines, again = [], [], []
-        for text, wanted, twice in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            parts = text.split("\n")
-            for w in wanted:
-                keys.append(w["key"])
-                lines.append(normal(parts[w["line_no"]]))
-                again.append(twice)
-        sizes, bits = np.zeros(len(lines), np.int64), np.zeros((len(lines), BITS // 8), np.uint8)
-        more = np.zeros((len(lines), BANDS, WIDE), np.uint8)
-        for lo, hi in _pieces(lines):
-            found, ends = _sets(lines[lo:hi])
-            more[lo:hi] = _packed(_bands(found, ends, range(BANDS, 2 * BANDS)))
-            sizes[lo:hi] = np.diff(ends, prepend=0)
-            bits[lo:hi] = crowded.sketches(found, sizes[lo:hi], BITS)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(lines, pa.string()), pa.array(sizes), common.binaries(bits),
-             common.binaries(more.reshape(-1, BANDS * WIDE)), pa.array(again, pa.bool_())],
-            names=["key", "line", "size", "bits", "more", "again"],
-        )
+def _spots(at: np.ndarray, line_no: np.ndarray) -> np.ndarray:
+    """Four bits of a slice of the filter for each line ``line_no`` of the text ``at``, as rows."""
+    h = common.mix(at.astype(np.uint64) + (line_no.astype(np.uint64) + np.uint64(1)) * _P1)
+    return h.view("<u2").reshape(-1, 4).astype(np.int64)
+
+
+def _marked(rows: pa.Table) -> pa.Table:
+    """A slice of the filter."""
+    seen = np.zeros(SLICE, bool)
+    seen[_spots(rows["at"].to_numpy(), rows["line_no"].to_numpy())] = True
+    return pa.table({"slice": rows["slice"].slice(0, 1), "bits": pa.array([np.packbits(seen).tobytes()], pa.binary())})
+
+
+def _marks(wanted: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of the ``n`` lines ``wanted (at, line_no)``; a text's lines are in one slice."""
+    out = np.zeros((n * SPARE // SLICE + 1, SLICE // 8), np.uint8)
+    rows = wanted.withColumn("slice", F.pmod("at", F.lit(len(out)).cast("long")))
+    found = rows.groupBy("slice").applyInArrow(_marked, "slice long, bits binary").toArrow()
+    out[found["slice"].to_numpy()] = common.matrix(found["bits"], SLICE // 8)
+    return out
+
+
+def _chosen(batch: pa.RecordBatch, marks) -> Iterator[tuple[int, int, str]]:
+    """``text's hash, line number, line`` of the lines asked for by number, or by a filter that
+    lets some others pass."""
+    for lo in range(0, batch.num_rows, 512):
+        part = batch.slice(lo, 512)
+        at, texts = part.column("at").to_numpy(), [x.split("\n") for x in part.column("text").to_pylist()]
+        if marks is None:
+            for h, lines, wanted in zip(at.tolist(), texts, part.column("wanted").to_pylist()):
+                yield from ((h, k, lines[k]) for k in wanted)
+            continue
+        many = np.array([len(x) for x in texts])
+        at = np.repeat(at, many)
+        line_no = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        spots, rows = _spots(at, line_no), (at % len(marks.value))[:, None]
+        hit = np.flatnonzero((marks.value[rows, spots >> 3] << (spots & 7).astype(np.uint8) & np.uint8(128)).all(axis=1))
+        lines = list(chain.from_iterable(texts))
+        for h, k, i in zip(at[hit].tolist(), line_no[hit].tolist(), hit.tolist()):
+            yield h, k, lines[i]
+
+
+def _texts(marks):
+    """The chosen lines of the texts, with the sizes of their sets, their sketches and further bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = [(h, k, line) for h, k, x in _chosen(batch, marks) if len(line := normal(x)) >= SHINGLE]
+            at, line_no, lines = zip(*chosen) if chosen else ((), (), ())
+            sizes, bits = np.zeros(len(lines), np.int64), np.zeros((len(lines), BITS // 8), np.uint8)
+            more = np.zeros((len(lines), BANDS, WIDE), np.uint8)
+            for lo, hi in _pieces(lines):
+                sets, ends = _sets(lines[lo:hi])
+                more[lo:hi] = _packed(_bands(sets, ends, range(BANDS, 2 * BANDS)))
+                sizes[lo:hi] = np.diff(ends, prepend=0)
+                bits[lo:hi] = crowded.sketches(sets, sizes[lo:hi], BITS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int64()), pa.array(line_no, pa.int32()), pa.array([line_key(x) for x in lines], pa.binary()),
+                 pa.array(lines, pa.string()), pa.array(sizes), common.binaries(bits), common.binaries(more.reshape(-1, BANDS * WIDE))],
+                names=["at", "line_no", "key", "line", "size", "bits", "more"],
+            )
+
+    return run
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,17 +469,24 @@ def _shingles_of(line: bytes) -> np.ndarray:
 
 
 def _first_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key, line, size, bits, more`` of the ``wanted (key, n, doc_id, text_key, line_no)`` lines,
-    each read where it stands first."""
-    # A text that comes again, under its id, has no line that occurs once.
-    there = wanted.groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("key", "line_no")).alias("wanted"), (F.min("n") > 1).alias("again")
-    )
-    texts = keyed.join(common.sized(there, width=300), ["doc_id", "text_key"]).select("text", "wanted", "again")
-    found = texts.mapInArrow(_texts, "key binary, line string, size long, bits binary, more binary, again boolean")
-    found = common.written(found, "line-texts")
-    again = found.filter("again").dropDuplicates(["key"])
-    return found.filter("not again").unionByName(common.written(again, "texts-again")).drop("again")
+    """``key, line, size, bits, more`` of the ``wanted (doc_id, text_key, line_no)`` lines, each
+    read where it stands first. Texts are read where they lie, as long as a filter of the wanted
+    lines is small; lines that pass it without being wanted, and copies of texts, go afterwards."""
+    own = F.xxhash64("doc_id", "text_key").alias("at")
+    places, n = wanted.select(own, "line_no"), wanted.count()
+    schema = "at long, line_no int, key binary, line string, size long, bits binary, more binary"
+    if n * SPARE <= 8 * common.SMALL:
+        marks = keyed.sparkSession.sparkContext.broadcast(_marks(places, n))
+        found = keyed.select(own, "text").mapInArrow(_texts(marks), schema)
+    else:
+        there = wanted.groupBy("doc_id", "text_key").agg(F.collect_list("line_no").alias("wanted"))
+        found = keyed.join(there, ["doc_id", "text_key"]).select(own, "text", "wanted").mapInArrow(_texts(None), schema)
+    found, place = common.written(found, "line-texts"), ["at", "line_no"]
+    odd = found.groupBy(place).agg(F.count(F.lit(1)).alias("c")).join(places.withColumn("asked", F.lit(True)), place, "left")
+    odd = common.written(odd.filter("asked is null or c > 1").select(*place, "asked"), "odd-lines")
+    again = found.join(common.sized(odd.filter("asked").select(place)), place, "left_semi").dropDuplicates([*place, "key"])
+    out = found.join(common.sized(odd.select(place)), place, "left_anti").unionByName(common.written(again, "texts-again"))
+    return out.drop(*place)
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -471,6 +524,23 @@ def _settled(texts: DataFrame, banded: DataFrame, roots: DataFrame) -> DataFrame
     return crowded.settled(roots, links)
 
 
+def _roots(keyed: DataFrame, shared: DataFrame, blocks: int) -> DataFrame:
+    """``node, root`` of the components of similar lines among ``shared``, those that share a band."""
+    with common.passing(keyed.sparkSession) as stays:
+        texts = _first_texts(keyed, shared.select("doc_id", "text_key", "line_no"))
+        banded = shared.join(texts.select("key", "size", "bits"), "key").select(
+            (-F.least("n", F.lit(2**31 - 1))).cast("int").alias("rare"), "key", "size", "bits", "bands"
+        )
+        banded = banded.mapInArrow(_each_band, "rare int, key binary, size long, bits binary, band long")
+        banded = common.written(banded.select("band", "rare", "key", "size", "bits"), "banded")
+        order = ["band", "rare", F.xxhash64("key", "band")]
+        ordered = banded.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+        ordered = ordered.withColumn("rank", F.monotonically_increasing_id())
+        pairs = close_pairs(ordered, "key_a binary, key_b binary", _same_band, NEAR, "close-lines", region="band")
+        links = _links(pairs.dropDuplicates(), texts)
+        return stays(_settled(texts, banded, components(links)), "line-roots")
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, line_no`` of the lines of ``docs (doc_id, text)`` that go.
 
@@ -479,38 +549,24 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     place, blocks = F.struct("doc_id", "line_no", "text_key"), common.partitions(docs)
-    lines = _meeting(keyed.mapInArrow(_keyed, _chunk_schema(_PLACED)), _PLACED, blocks, "lines", all_lines=True)
-    distinct = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"), F.first("bands").alias("bands"))
-    names = ["key", "n", "doc_id", "line_no", "text_key"]
-    distinct = distinct.select("key", "n", "place.*", "bands")
-    met = _meeting(distinct.mapInArrow(_chunked(names), _chunk_schema(names)), names, blocks, "distinct-lines")
-    shared = met.filter(F.length("bands") > 0)
-    texts = _first_texts(keyed, shared.select("key", "n", "doc_id", "text_key", "line_no"))
-    banded = shared.join(texts.select("key", "size", "bits"), "key").select(
-        (-F.least("n", F.lit(2**31 - 1))).cast("int").alias("rare"), "key", "size", "bits", "bands"
-    )
-    banded = banded.mapInArrow(_each_band, "rare int, key binary, size long, bits binary, band long")
-    banded = common.written(banded.select("band", "rare", "key", "size", "bits"), "banded")
-    order = ["band", "rare", F.xxhash64("key", "band")]
-    ordered = banded.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
-    ordered = ordered.withColumn("rank", F.monotonically_increasing_id())
-    pairs = close_pairs(ordered, "key_a binary, key_b binary", _same_band, NEAR, "close-lines", region="band")
-    links = _links(pairs.dropDuplicates(), texts)
-    roots = common.written(_settled(texts, banded, components(links)), "line-roots")
-    member = met.select("key", place.alias("place"), "n").join(roots, F.col("key") == F.col("node"), "left")
-    member = member.select("key", "place", "n", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
-    # A line that is neither repeated nor linked to a smaller key can still be a root.
-    tops = roots.select("root").distinct().withColumn("is_root", F.lit(True))
-    member = member.join(tops.withColumnRenamed("root", "k"), F.col("key") == F.col("k"), "left")
-    member = member.filter("n > 1 or linked or is_root")
-    stays = member.groupBy("root").agg(F.min("place").alias("stays"))
-    fate = member.select("key", "root").join(stays, "root").select("key", "stays")
-    return (
-        lines.select("doc_id", "text_key", "line_no", "key")
-        .join(common.sized(fate, width=64), "key")
-        .filter(place != F.col("stays"))
-        .select("doc_id", "text_key", "line_no")
-    )
+    with common.passing(docs.sparkSession) as stays:
+        lines = _meeting(keyed.mapInArrow(_keyed, _chunk_schema(_PLACED)), _PLACED, blocks, "lines", all_lines=True)
+        distinct = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"), F.first("bands").alias("bands"))
+        names = ["key", "n", "doc_id", "line_no", "text_key"]
+        distinct = distinct.select("key", "n", "place.*", "bands")
+        met = _meeting(distinct.mapInArrow(_chunked(names), _chunk_schema(names)), names, blocks, "distinct-lines")
+        shared = met.filter(F.length("bands") > 0)
+        roots = _roots(keyed, shared, blocks)
+        member = met.select("key", place.alias("place"), "n").join(roots, F.col("key") == F.col("node"), "left")
+        member = member.select("key", "place", "n", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
+        # A line that is neither repeated nor linked to a smaller key can still be a root.
+        tops = roots.select("root").distinct().withColumn("is_root", F.lit(True))
+        member = member.join(tops.withColumnRenamed("root", "k"), F.col("key") == F.col("k"), "left")
+        member = member.filter("n > 1 or linked or is_root")
+        first = member.groupBy("root").agg(F.min("place").alias("stays"))
+        fate = member.select("key", "root").join(first, "root").select("key", "stays")
+        gone = lines.select("doc_id", "text_key", "line_no", "key").join(common.sized(fate, width=64), "key").filter(place != F.col("stays"))
+        return stays(gone.select("doc_id", "text_key", "line_no"), "removed-lines")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

@@ -83,6 +83,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``shared_path`` that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _made[1:]:  # the first one stands for the registration
+        _made.remove(path)
+
+
 def _forget(jvm) -> None:
     for name in _made:
         try:

@@ -1,11 +1,14 @@
 """Lines of any length and script, and the exact join of crowded regions, by brute force."""
 
+import os
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from fadecast.llm import crowded, linededup
+from fadecast import session
+from fadecast.llm import common, crowded, linededup
 from tests.llm.test_queries import gone_lines
 
 
@@ -156,3 +159,47 @@ def test_similar_pairs_of_lines_at_once():
     pairs = [(i, j) for j in range(len(lines)) for i in range(j)]
     got = linededup._similar([lines[i] for i, _ in pairs], [lines[j] for _, j in pairs])
     assert got.tolist() == [5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for i, j in pairs] and 0 < got.sum() < len(pairs)
+
+
+def test_tables_and_shuffle_files_go_with_their_last_reader(spark):
+    """Of what the removed lines are found with, only the result stays on disk."""
+    before = set(session._made)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x and x.endswith(".data")}
+    old = shuffled()
+    texts = dict(enumerate(_variants(random.Random(9), 40, 14)))
+    docs = common.written(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5, "doc_id"), "docs")
+    for _ in range(50):  # files are deleted in the background
+        if not (left := shuffled() - old):
+            break
+        time.sleep(0.1)
+    assert not left
+    gone = linededup.removed_lines(docs)
+    assert {(r.doc_id, r.line_no) for r in gone.collect()} == gone_lines(texts)
+    there = [p for p in session._made if p not in before and os.path.exists(p.removeprefix("file:"))]
+    assert sorted(p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in there) == ["llm-docs", "llm-removed-lines"]
+
+
+def test_texts_are_read_where_they_lie(spark, monkeypatch):
+    """The lines to compare are picked by a filter, by a shuffle of the texts only beyond its size; lines
+    that pass it unasked, copies of documents and ids with two texts make no difference."""
+    texts = dict(enumerate(_variants(random.Random(10), 30, 14)))
+    texts |= {100 + k: "\n".join(f"filler {k} {j} of some length" for j in range(9)) + "\n" + texts[k] for k in range(20)}
+    want = gone_lines(texts)
+    rows = [*texts.items(), *list(texts.items())[::3], (None, texts[1]), (900, None), (901, " \n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plans, written = [], common.written
+
+    def seen(out, name):
+        if name == "line-texts":
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return written(out, name)
+
+    monkeypatch.setattr(common, "written", seen)
+    docs = written(df, "docs")
+    for small, spare, moved in ((1 << 14, 12, False), (1 << 14, 1, False), (0, 12, True)):
+        monkeypatch.setattr(common, "SMALL", small)
+        monkeypatch.setattr(linededup, "SPARE", spare, raising=False)
+        got = linededup.dedup_lines(docs).collect()
+        assert {(r.doc_id, k) for r in got for k in r.removed_lines or []} == want and len(got) == len(rows)
+        assert ("Exchange" in plans[-1]) == moved
