@@ -2,7 +2,8 @@
 
 The search makes a fixed number of candidates per row of a crowded region. Where such a
 region still has rows of different components and at most WHOLE rows, all its pairs are looked
-at, by sizes and sketches. The sets of larger regions are joined exactly by prefixes: two
+at, by sizes and sketches; in one of more than FEW rows, first a spanning forest of the
+components leaves a task, and what its similar pairs do not join is looked at again. The sets of larger regions are joined exactly by prefixes: two
 sets at the threshold share one of their first shingles in any fixed order, at places from
 which enough of both sets is left. The order puts rare shingles first, by counts of BUCKETS
 hash buckets; other counts would only make more candidates. Rows of one component need no
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from fadecast.llm import common
 from fadecast.llm.components import components
 
-WHOLE = 64  # rows of a region whose pairs are all looked at
+FEW = 64  # rows of a region whose pairs all leave the task at once
+WHOLE = 4096  # rows of a region whose pairs are all looked at
 PART = 1000  # rows with one shingle that a task's part holds
 TOKENS = 1 << 18  # shingles of a batch
 BUCKETS = 1 << 18  # counts of shingles
@@ -46,10 +48,37 @@ def unsettled(regions: DataFrame, roots: DataFrame, most: int) -> DataFrame:
     return common.written(rows.join(common.sized(mixed), at, "left_semi"), "unsettled")
 
 
-def _together(percent: int, bits: int):
+def _forest(a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Of links between groups ``a`` and ``b`` those of a cheapest spanning forest."""
+    nodes, ends = np.unique(np.stack([a, b]), return_inverse=True)
+    order = np.argsort(cost, kind="stable")
+    ends, left = ends.reshape(2, -1)[:, order], np.arange(len(order))
+    group, kept = np.arange(len(nodes)), [left[:0]]
+    while True:
+        x = group[ends[:, left]]
+        apart = x[0] != x[1]
+        left, x = left[apart], x[:, apart]
+        if not len(left):
+            return order[np.concatenate(kept)]
+        # The first link of each group that leads to another one.
+        pick = np.unique(np.unique(x.ravel(order="F"), return_index=True)[1] // 2)
+        kept.append(left[pick])
+        up = list(range(len(nodes)))
+        for p, q in x[:, pick].T.tolist():
+            while up[p] != p:
+                p = up[p]
+            while up[q] != q:
+                q = up[q]
+            up[max(p, q)] = min(p, q)
+        for k in range(len(up)):  # parents are smaller
+            up[k] = up[up[k]]
+        group = np.array(up)[group]
+
+
+def _together(percent: int, bits: int, spanning: bool):
     """Pairs of a region (rows ``at, key, root, n, bits``) that sizes and sketches allow."""
 
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def pairs(rows: pa.Table) -> Iterator[pa.Table]:
         at, root, n = (rows.column(c).to_numpy() for c in ("at", "root", "n"))
         words = common.matrix(rows.column("bits"), bits // 8).view(np.uint64)
         keys = rows.column("key").combine_chunks()
@@ -64,16 +93,17 @@ def _together(percent: int, bits: int):
             i, j = i[ok], j[ok]
             ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
             i, j = i[ok], j[ok]
-            apart = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64)
-            ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
-            a, b = keys.take(pa.array(i[ok])).to_pylist(), keys.take(pa.array(j[ok])).to_pylist()
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(map(min, a, b), keys.type), pa.array(map(max, a, b), keys.type)], names=["key_a", "key_b"]
-                )
+            apart, both = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64), n[i] + n[j]
+            ok = (100 + percent) * apart <= (100 - percent) * both
+            i, j, cost = i[ok], j[ok], (apart / both)[ok]
+            if spanning:
+                ok = _forest(root[i], root[j], cost)
+                i, j, cost = i[ok], j[ok], cost[ok]
+            if len(i):
+                yield pa.table({"a": keys.take(pa.array(i)), "b": keys.take(pa.array(j)), "x": root[i], "y": root[j], "cost": cost})
             lo = hi
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held = None
         for b in batches:
             t = pa.Table.from_batches([b])
@@ -86,16 +116,33 @@ def _together(percent: int, bits: int):
         if held is not None:
             yield from pairs(held)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = None
+        for t in regions(batches):
+            if spanning:
+                t = pa.concat_tables([tree, t]) if tree is not None else t
+                tree = t.take(pa.array(_forest(*(t.column(c).to_numpy() for c in ("x", "y", "cost"))))).combine_chunks()
+            else:
+                yield _ends(t)
+        if tree is not None:
+            yield _ends(tree)
+
     return run
 
 
-def within(rows: DataFrame, region: str, percent: int, bits: int) -> DataFrame:
+def _ends(pairs: pa.Table) -> pa.RecordBatch:
+    a, b, kind = pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), pairs.schema.field("a").type
+    return pa.RecordBatch.from_arrays([pa.array(map(min, a, b), kind), pa.array(map(max, a, b), kind)], names=["key_a", "key_b"])
+
+
+def within(rows: DataFrame, region: str, percent: int, bits: int, spanning: bool = False) -> DataFrame:
     """Pairs ``key_a, key_b`` of one region and different roots that may be similar, of
-    ``rows (region, key, root, size, bits)`` with sketches of ``bits`` bits."""
+    ``rows (region, key, root, size, bits)`` with sketches of ``bits`` bits. With ``spanning``
+    only the most similar ones that join the roots of a task's regions as far as all would."""
     kind = rows.schema["key"].dataType.simpleString()
     rows = rows.select(F.col(region).alias("at"), "key", F.xxhash64("root").alias("root"), F.col("size").alias("n"), "bits")
     dealt = rows.repartition(common.partitions(rows), "at").sortWithinPartitions("at")
-    return dealt.mapInArrow(_together(percent, bits), f"key_a {kind}, key_b {kind}").distinct()
+    return dealt.mapInArrow(_together(percent, bits, spanning), f"key_a {kind}, key_b {kind}").distinct()
 
 
 def _counted(shingles: Shingles):

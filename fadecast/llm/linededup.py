@@ -512,10 +512,21 @@ def _settled(texts: DataFrame, banded: DataFrame, roots: DataFrame) -> DataFrame
     size = more.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("x"), F.max("root").alias("y"))
     more = more.join(size.filter("x <> y").select("band", "c"), "band")
     rows = rows.unionByName(common.written(more.select(*rows.columns), "more-bands"))
-    small = F.col("c") <= crowded.WHOLE
-    pairs = common.written(crowded.within(rows.filter(small), "band", PERCENT, BITS), "crowded-pairs")
-    some = pairs.select(F.col("key_a").alias("key")).union(pairs.select("key_b")).distinct()
-    links = _links(pairs, texts.join(common.sized(some), "key", "left_semi"))
+    few, small = F.col("c") <= min(crowded.FEW, crowded.WHOLE), F.col("c") <= crowded.WHOLE
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        pairs = common.written(pairs, "crowded-pairs")
+        some = pairs.select(F.col("key_a").alias("key")).union(pairs.select("key_b")).distinct()
+        return _links(pairs, texts.join(common.sized(some), "key", "left_semi"))
+
+    crowd = rows.filter(~few)
+    trees = crowded.within(crowd.filter(small), "band", PERCENT, BITS, spanning=True)
+    pairs = crowded.within(rows.filter(few), "band", PERCENT, BITS).unionByName(trees).distinct()
+    roots = common.written(crowded.settled(roots, alike(pairs)), "crowded-roots")
+    rows = crowded.unsettled(crowd.select("band", "key", "size", "bits"), roots, 1)
+    if rows.isEmpty():
+        return roots
+    links = alike(crowded.within(rows.filter(small), "band", PERCENT, BITS))
     large = rows.filter(~small).select("key", "root").distinct()
     if not large.isEmpty():
         lines = texts.select("key", "line").join(common.sized(large, 64), "key")

@@ -203,3 +203,26 @@ def test_texts_are_read_where_they_lie(spark, monkeypatch):
         got = linededup.dedup_lines(docs).collect()
         assert {(r.doc_id, k) for r in got for k in r.removed_lines or []} == want and len(got) == len(rows)
         assert ("Exchange" in plans[-1]) == moved
+
+
+def test_forests_join_what_all_pairs_join(spark, monkeypatch):
+    """Of a region's pairs a spanning forest leaves a task; lines that its similar pairs do not join are looked at again."""
+    bodies = _variants(random.Random(11), 90, 14)
+    own = [np.unique(linededup.char_shingles(b)) for b in bodies]
+    bits = crowded.sketches(np.concatenate(own), np.array([len(s) for s in own]), 512)
+    rows = [(k % 2, f"{k:03d}".encode(), f"{k % 20}".encode(), len(s), b.tobytes()) for k, (s, b) in enumerate(zip(own, bits))]
+    df = spark.createDataFrame(rows, "band long, key binary, root binary, size long, bits binary")
+
+    def joined(pairs):
+        up = list(range(20))
+        for r in pairs:
+            a, b = up[int(r.key_a) % 20], up[int(r.key_b) % 20]
+            up = [min(a, b) if x in (a, b) else x for x in up]
+        return up
+
+    every, tree = (crowded.within(df, "band", 80, 512, spanning=s).collect() for s in (False, True))
+    assert joined(tree) == joined(every) and len(set(tree)) < 40 < len(every)
+    texts = dict(enumerate(_variants(random.Random(12), 120, 20)))
+    monkeypatch.setattr(crowded, "FEW", 3)
+    out = linededup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {(r.doc_id, k) for r in out for k in r.removed_lines or []} == gone_lines(texts)
