@@ -75,6 +75,20 @@ def _forest(a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> np.ndarray:
         group = np.array(up)[group]
 
 
+def _met_before(regions: list[list[int]], at: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j share one of their ``regions`` that comes before the region ``at`` they are in."""
+    rows, place = np.unique(np.stack([i, j]), return_inverse=True)
+    i, j = place.reshape(2, -1)
+    width = max((len(regions[r]) for r in rows.tolist()), default=0)
+    # What fills up a row's regions is no region and differs between the sides.
+    own = np.array([regions[r] + [-1] * (width - len(regions[r])) for r in rows.tolist()], np.int64).reshape(len(rows), width)
+    now, out = at[rows][i], np.zeros(len(i), bool)
+    for k in range(width):
+        x = own[i, k]
+        out |= (x >= 0) & (x < now) & (x[:, None] == own[j]).any(axis=1)
+    return out
+
+
 def _together(percent: int, bits: int, spanning: bool):
     """Pairs of a region (rows ``at, key, root, n, bits``) that sizes and sketches allow."""
 
@@ -82,6 +96,7 @@ def _together(percent: int, bits: int, spanning: bool):
         at, root, n = (rows.column(c).to_numpy() for c in ("at", "root", "n"))
         words = common.matrix(rows.column("bits"), bits // 8).view(np.uint64)
         keys = rows.column("key").combine_chunks()
+        others = rows.column("others").to_pylist() if "others" in rows.column_names else None
         end = np.searchsorted(at, at, side="right")
         later = end - np.arange(len(at)) - 1
         upto, lo = np.cumsum(later), 0
@@ -96,6 +111,9 @@ def _together(percent: int, bits: int, spanning: bool):
             apart, both = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64), n[i] + n[j]
             ok = (100 + percent) * apart <= (100 - percent) * both
             i, j, cost = i[ok], j[ok], (apart / both)[ok]
+            if others is not None:
+                ok = ~_met_before(others, at, i, j)
+                i, j, cost = i[ok], j[ok], cost[ok]
             if spanning:
                 ok = _forest(root[i], root[j], cost)
                 i, j, cost = i[ok], j[ok], cost[ok]
@@ -135,12 +153,16 @@ def _ends(pairs: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(map(min, a, b), kind), pa.array(map(max, a, b), kind)], names=["key_a", "key_b"])
 
 
-def within(rows: DataFrame, region: str, percent: int, bits: int, spanning: bool = False) -> DataFrame:
+def within(rows: DataFrame, region: str, percent: int, bits: int, spanning: bool = False, once: bool = False) -> DataFrame:
     """Pairs ``key_a, key_b`` of one region and different roots that may be similar, of
     ``rows (region, key, root, size, bits)`` with sketches of ``bits`` bits. With ``spanning``
-    only the most similar ones that join the roots of a task's regions as far as all would."""
+    only the most similar ones that join the roots of a task's regions as far as all would.
+    With ``once`` rows know their regions (of numbers from 0), and a pair leaves the first it shares."""
     kind = rows.schema["key"].dataType.simpleString()
+    own = rows.groupBy("key").agg(F.collect_list(region).alias("others")) if once else None
     rows = rows.select(F.col(region).alias("at"), "key", F.xxhash64("root").alias("root"), F.col("size").alias("n"), "bits")
+    if once:
+        rows = rows.join(own, "key").select(*rows.columns, "others")
     dealt = rows.repartition(common.partitions(rows), "at").sortWithinPartitions("at")
     return dealt.mapInArrow(_together(percent, bits, spanning), f"key_a {kind}, key_b {kind}").distinct()
 

@@ -526,7 +526,7 @@ def _settled(texts: DataFrame, banded: DataFrame, roots: DataFrame) -> DataFrame
     rows = crowded.unsettled(crowd.select("band", "key", "size", "bits"), roots, 1)
     if rows.isEmpty():
         return roots
-    links = alike(crowded.within(rows.filter(small), "band", PERCENT, BITS))
+    links = alike(crowded.within(rows.filter(small), "band", PERCENT, BITS, once=True))
     large = rows.filter(~small).select("key", "root").distinct()
     if not large.isEmpty():
         lines = texts.select("key", "line").join(common.sized(large, 64), "key")

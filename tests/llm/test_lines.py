@@ -222,6 +222,13 @@ def test_forests_join_what_all_pairs_join(spark, monkeypatch):
 
     every, tree = (crowded.within(df, "band", 80, 512, spanning=s).collect() for s in (False, True))
     assert joined(tree) == joined(every) and len(set(tree)) < 40 < len(every)
+    at = np.array([5, 5, 5, 7, 7])
+    regions = [[5, 3], [3, 5], [5], [7, 3, 9], [7, 9]]
+    i, j = np.array([0, 0, 1, 3]), np.array([1, 2, 2, 4])
+    assert crowded._met_before(regions, at, i, j).tolist() == [True, False, False, False]
+    assert crowded._met_before(regions, at, i[:0], j[:0]).tolist() == []
+    copies = df.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 2, F.col("band") + 4)))
+    assert sorted(crowded.within(copies, "band", 80, 512, once=True).collect()) == sorted(every)
     texts = dict(enumerate(_variants(random.Random(12), 120, 20)))
     monkeypatch.setattr(crowded, "FEW", 3)
     out = linededup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
